@@ -1,0 +1,78 @@
+"""Table quality on Spark: contracts, cleaning, rejects, reports, profiles and alerts."""
+
+from dqtable.contract import PEOPLE, Rule, TableContract
+from dqtable.errors import ContractError, EmptyResultError
+from dqtable.functions.apply import apply_rules
+from dqtable.functions.dates import clean_date
+from dqtable.functions.rules import (
+    clean_numeric,
+    fix_email,
+    normalize_phone,
+    validate_email,
+    validate_phone,
+)
+from dqtable.functions.sql import register_functions
+from dqtable.functions.text import clean_text, null_tokens, strip
+from dqtable.operators.clean import clean_data, clean_rows, dedup_counts, flag_rows, reject_rows
+from dqtable.operators.headers import conform, normalize_headers, schema_diff
+from dqtable.operators.outbox import outbox
+from dqtable.operators.profile import (
+    profile_correlation,
+    profile_missing,
+    profile_stats,
+    profile_summary,
+    stats_wide,
+)
+from dqtable.operators.report import cleaning_report, sum_reports
+from dqtable.operators.score import alerts, score
+from dqtable.operators.summary import run_metadata, run_summary
+from dqtable.plans.batch import run_batch
+from dqtable.session import session_options
+from dqtable.sources.csv import load_csv
+from dqtable.sources.tables import load_parquet, union_sources
+from dqtable.streaming.incremental import clean_incremental
+
+__all__ = [
+    "PEOPLE",
+    "ContractError",
+    "EmptyResultError",
+    "Rule",
+    "TableContract",
+    "alerts",
+    "apply_rules",
+    "clean_data",
+    "clean_date",
+    "clean_incremental",
+    "clean_numeric",
+    "clean_rows",
+    "clean_text",
+    "cleaning_report",
+    "conform",
+    "dedup_counts",
+    "fix_email",
+    "flag_rows",
+    "load_csv",
+    "load_parquet",
+    "normalize_headers",
+    "normalize_phone",
+    "null_tokens",
+    "outbox",
+    "profile_correlation",
+    "profile_missing",
+    "profile_stats",
+    "profile_summary",
+    "register_functions",
+    "reject_rows",
+    "run_batch",
+    "run_metadata",
+    "run_summary",
+    "schema_diff",
+    "score",
+    "session_options",
+    "stats_wide",
+    "strip",
+    "sum_reports",
+    "union_sources",
+    "validate_email",
+    "validate_phone",
+]

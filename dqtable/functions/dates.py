@@ -87,9 +87,12 @@ def _any_of(part: str) -> str:
     return "".join(f"${{{part}{i}}}" for i, s in enumerate(_SHAPES) if symbols & set(s))
 
 
+# With am or pm the hour is at most 12; `a` marks midnight's 12 and `p` the hours to move by 12.
 _CLOCK = (
-    r"(?:(?:(?:T|\s+)(?<h>\d{1,2}):(?<i>\d{1,2})(?::(?<s>\d{1,2}(?:\.\d+)?))?"
-    r"\s*(?<half>[AP]M)?\s*(?:Z|UTC|GMT|(?<zone>[+-]\d{2}:?(?:\d{2})?))?)"
+    r"(?:(?:(?:T|\s+)"
+    r"(?:(?![\d:.]+\s*[ap]m)|(?=12[\d:.]+\s*(?:(?<a>a)|p)m)|(?=(?:0?\d|1[01]):[\d:.]+\s*(?:a|(?<p>p))m))"
+    r"(?<h>\d{1,2}):(?<i>\d{1,2})(?::(?<s>\d{1,2}(?:\.\d+)?))?"
+    r"\s*(?:[ap]m)?\s*(?:Z|UTC|GMT|(?<zone>[+-]\d{2}:?(?:\d{2})?))?)"
     r"|(?<=\d{8})[T ]?(?<h2>\d{2})(?<i2>\d{2})(?<s2>\d{2})?)?"
 )
 _DATE = (
@@ -107,12 +110,12 @@ _YEAR_LAST_PARTS = (
 _MARK = "\x1f"
 _REWRITTEN = (
     f"{_MARK}{_any_of('y')}-{_any_of('m')}-{_any_of('d')} ${{h}}${{h2}}:${{i}}${{i2}}:${{s}}${{s2}}"
-    f"{_MARK}${{half}}${{zone}}"
+    f"{_MARK}${{a}}${{p}}${{zone}}"
 )
 
 
 def _recognise(text: Column) -> Column:
-    """`<mark>year-month-day time[<mark>am/pm and offset]`; other text stays without a mark."""
+    """`<mark>year-month-day time[<mark>a or p, offset]`; other text stays without a mark."""
     mark = F.lit(_MARK)
     return (
         F.when(text.rlike(_ISO), F.concat(mark, text))
@@ -140,31 +143,21 @@ def _numbered_month(text: Column) -> Column:
 
 def _minutes(text: Column) -> Column:
     """Minutes to add for am/pm and to take off for an offset, which leaves UTC wall time."""
-    hour = F.regexp_extract(text, r" (\d+):", 1).try_cast("int")
-    suffix = F.lower(F.substring_index(text, _MARK, -1))
-    half = suffix.substr(1, 2)
-    zone = F.regexp_replace(suffix, "^[ap]m|:", "")
-    # An empty text would make the cast raise inside for every row, so only digits reach it.
-    hours = F.when(zone != "", zone.substr(1, 3).try_cast("int"))
-    signed_minutes = F.concat(zone.substr(1, 1), zone.substr(4, 2))
-    minutes = F.when(F.length(zone) == 5, signed_minutes.try_cast("int"))
-    clock = (
-        F.when((half == "pm") & (hour < 12), 720)
-        .when((half == "am") & (hour == 12), -720)
-        .when((hour <= 12) | ~half.isin("am", "pm"), 0)
-    )
-    return clock - F.coalesce(hours * 60, F.lit(0)) - F.coalesce(minutes, F.lit(0))
+    suffix = F.upper(F.substring_index(text, _MARK, -1))
+    half = F.when(suffix.startswith("P"), 720).when(suffix.startswith("A"), -720).otherwise(0)
+    # A midnight with that offset lies as far from UTC midnight as the offset says.
+    midnight = F.concat(F.lit("1970-01-01 00:00:00"), F.ltrim(suffix, F.lit("AP")))
+    offset = F.unix_seconds(midnight.try_cast("timestamp")) / 60
+    return half + F.when(F.length(suffix) > 1, offset.cast("int")).otherwise(0)
 
 
 def _read(text: Column) -> Column:
     """Parts that were not given leave trailing separators behind."""
-    date = F.substring_index(F.substr(text, F.lit(2)), _MARK, 1)
-    value = F.rtrim(date, F.lit(" :-")).try_cast("timestamp_ntz")
-    plain = ~F.substr(text, F.lit(2)).contains(_MARK) | text.endswith(_MARK)
-    return F.when(
-        text.startswith(_MARK),
-        F.when(plain, value).otherwise(F.timestamp_add("MINUTE", _minutes(text), value)),
-    )
+    body = F.substr(text, F.lit(2))
+    date = F.rtrim(F.substring_index(body, _MARK, 1), F.lit(" :-"))
+    shift = F.when(body.contains(_MARK) & ~text.endswith(_MARK), _minutes(text)).otherwise(0)
+    value = F.timestamp_add("MINUTE", shift, date.try_cast("timestamp_ntz"))
+    return F.when(text.startswith(_MARK), value)
 
 
 DATE_STEPS: tuple[Callable[[Column], Column], ...] = (

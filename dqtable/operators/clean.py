@@ -44,7 +44,14 @@ def flag_rows(df: DataFrame, contract: TableContract, drop_duplicates: bool = Tr
     named = normalize_headers(df, contract)
     rows = normalize_nulls(conform(named, contract), contract)
     columns = rows.columns
-    rows = dedup_counts(rows) if drop_duplicates else rows.withColumn(COPIES, F.lit(1).cast("long"))
+    if drop_duplicates:
+        # Columns the table lacks are null in every row: they join after the shuffle.
+        absent = [c for c in columns if c not in named.columns]
+        rows = dedup_counts(rows.drop(*absent)).withColumns(
+            {c: F.lit(None).cast("string") for c in absent}
+        )
+    else:
+        rows = rows.withColumn(COPIES, F.lit(1).cast("long"))
 
     clean = {column: f"_{column}" for column in contract.rules}
     rows = apply_rules(

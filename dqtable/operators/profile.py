@@ -142,19 +142,19 @@ def profile_correlation(
             F.lit("").alias("col_a"), F.lit("").alias("col_b"), F.lit(0.0).alias("corr")
         )
     rows = [(F.lit(n), _value(df, a), _value(df, b)) for n, (a, b) in enumerate(pairs)]
+    # Only rows with both values count; settled once here, not in each of the aggregates.
     both = F.col("x").isNotNull() & F.col("y").isNotNull()
-    moments = (
-        _stacked(df, rows, "pair x y")
-        .groupBy("pair")
-        .agg(
-            F.covar_pop(F.when(both, F.col("x")), F.when(both, F.col("y"))).alias("covariance"),
-            F.stddev_pop(F.when(both, F.col("x"))).alias("dev_x"),
-            F.stddev_pop(F.when(both, F.col("y"))).alias("dev_y"),
-            F.min(F.when(both, F.col("x"))).alias("min_x"),
-            F.max(F.when(both, F.col("x"))).alias("max_x"),
-            F.min(F.when(both, F.col("y"))).alias("min_y"),
-            F.max(F.when(both, F.col("y"))).alias("max_y"),
-        )
+    complete = _stacked(df, rows, "pair x y").select(
+        "pair", F.when(both, F.col("x")).alias("x"), F.when(both, F.col("y")).alias("y")
+    )
+    moments = complete.groupBy("pair").agg(
+        F.covar_pop("x", "y").alias("covariance"),
+        F.stddev_pop("x").alias("dev_x"),
+        F.stddev_pop("y").alias("dev_y"),
+        F.min("x").alias("min_x"),
+        F.max("x").alias("max_x"),
+        F.min("y").alias("min_y"),
+        F.max("y").alias("max_y"),
     )
     name = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs))
     ratio = F.try_divide(F.col("covariance"), F.col("dev_x") * F.col("dev_y"))

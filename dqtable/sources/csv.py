@@ -41,7 +41,7 @@ def has_quoted_newlines(spark: SparkSession, path: str) -> bool:
     """Whether any record spans lines: then, and only then, a line holds an odd number of quotes."""
     lines = spark.read.text(path)
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"')))
-    return not lines.where(quotes % 2 == 1).isEmpty()
+    return bool(lines.agg(F.max(quotes % 2)).first()[0])
 
 
 def _too_many_fields(record: Column, width: int) -> Column:
