@@ -181,3 +181,31 @@ def clean_date(col: Column, span: tuple[str, str] | None = NANOSECOND_RANGE) ->
     """Timestamp without zone from text, or null."""
     steps = (*DATE_STEPS, lambda value: within(value, span))
     return F.get(reduce(F.transform, steps, F.array(col)), F.lit(0))
+
+
+def date_sql(value: str, strip: Callable[[str], str], literal: Callable[[str], str]) -> str:
+    """`clean_date` as a SQL expression: the same steps, handed on as a one-value array."""
+    mark = literal(_MARK)
+    shift = (
+        f"transform(array(upper(substring_index(x, {mark}, -1))), s -> CASE WHEN s LIKE 'P%'"
+        " THEN 720 WHEN s LIKE 'A%' THEN -720 ELSE 0 END + CASE WHEN length(s) > 1 THEN"
+        " cast(unix_seconds(try_cast(concat('1970-01-01 00:00:00', ltrim('AP', s)) AS TIMESTAMP))"
+        " / 60 AS INT) ELSE 0 END)[0]"
+    )
+    date = f"try_cast(rtrim(' :-', substring_index(substr(x, 2), {mark}, 1)) AS TIMESTAMP_NTZ)"
+    low, high = (f"TIMESTAMP_NTZ'{bound}'" for bound in NANOSECOND_RANGE)
+    steps = (
+        strip("x"),
+        f"CASE WHEN x RLIKE {literal(_ISO)} THEN concat({mark}, x) ELSE"
+        f" regexp_replace(x, {literal(_DATE)}, {literal(_REWRITTEN)}) END",
+        f"CASE WHEN startswith(x, {mark}) AND substr(x, 4, 1) = '-' THEN concat({mark},"
+        f" if(substr(x, 2, 2) >= '{FIRST_SHORT_YEAR}', '19', '20'), substr(x, 2)) ELSE x END",
+        f"CASE WHEN startswith(x, {mark}) AND substr(x, 7, 1) >= 'A' THEN concat(substr(x, 1, 6),"
+        f" cast(floor((position(lower(substr(x, 7, 3)), '{MONTHS}') + 2) / 3) AS STRING),"
+        " substr(x, 10)) ELSE x END",
+        f"CASE WHEN startswith(x, {mark}) THEN timestampadd(MINUTE, CASE WHEN"
+        f" contains(substr(x, 2), {mark}) AND NOT endswith(x, {mark}) THEN {shift} ELSE 0 END,"
+        f" {date}) END",
+        f"CASE WHEN x BETWEEN {low} AND {high} THEN x END",
+    )
+    return reduce(lambda array, step: f"transform({array}, x -> {step})", steps, f"array({value})") + "[0]"

@@ -4,18 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from dqtable.functions import dates
 from dqtable.functions.rules import EMAIL, NOT_PHONE, NUMBER, PHONE
 from dqtable.functions.text import BLANKS
 
-SQL_FUNCTIONS = ("dq_fix_email", "dq_normalize_phone", "dq_clean_numeric", "dq_clean_text")
-
 
 def _literal(text: str) -> str:
     return "'" + "".join(f"\\u{ord(c):04x}" if not c.isalnum() else c for c in text) + "'"
 
 
 def register_functions(spark: SparkSession) -> None:
-    """Create `dq_fix_email`, `dq_normalize_phone`, `dq_clean_numeric` and `dq_clean_text`."""
+    """Create `dq_fix_email`, `dq_normalize_phone`, `dq_clean_numeric`, `dq_clean_date` and
+    `dq_clean_text`, each from text."""
 
     def strip(value: str) -> str:
         return f"btrim({value}, {_literal(BLANKS)})"
@@ -30,6 +30,7 @@ def register_functions(spark: SparkSession) -> None:
         "dq_clean_numeric": "DOUBLE RETURN (SELECT CASE WHEN n >= 0 THEN n END FROM (SELECT"
         f" CASE WHEN t != '' THEN try_cast(replace(t, '_') AS DOUBLE) END AS n"
         f" FROM (SELECT {number} AS t)))",
+        "dq_clean_date": f"TIMESTAMP_NTZ RETURN {dates.date_sql('v', strip, _literal)}",
         "dq_clean_text": f"STRING RETURN nullif({strip('v')}, '')",
     }
     for name, body in bodies.items():

@@ -91,13 +91,13 @@ def profile_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     numeric = numeric_columns(df, columns)
     rows = [
         (
-            F.lit(c),
+            F.lit(n),
             _value(df, c),
             _quoted(c).cast("long")
             if isinstance(df.schema[c].dataType, T.IntegralType)
             else F.lit(None).cast("long"),
         )
-        for c in numeric
+        for n, c in enumerate(numeric)
     ]
     if not rows:
         return df.limit(0).select(
@@ -105,14 +105,15 @@ def profile_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
         )
     total = F.coalesce(F.try_sum("whole").cast("double"), F.sum("value"), F.lit(0.0))
     stats = (
-        _stacked(df, rows, "column value whole")
-        .groupBy("column")
+        _stacked(df, rows, "number value whole")
+        .groupBy("number")
         .agg(
             F.avg("value").alias("mean"),
             F.min("value").alias("min"),
             F.max("value").alias("max"),
             total.alias("sum"),
         )
+        .withColumn("column", F.get(F.array(*map(F.lit, numeric)), F.col("number")))
     )
     return stats.unpivot("column", list(STATISTICS), "statistic", "value").select(
         "statistic", "column", "value"

@@ -46,7 +46,8 @@ def percent_label(rate: Column) -> Column:
         F.rint(F.bround(value, 2) * 100).cast("long")
     )
     whole = F.floor(hundredths / 100).cast("long")
-    return F.format_string("%d.%02d%%", whole, hundredths.cast("long") - whole * 100)
+    label = F.format_string("%d.%02d%%", whole, hundredths.cast("long") - whole * 100)
+    return F.when(rate.isNotNull(), label)
 
 
 def score(report: DataFrame) -> DataFrame:

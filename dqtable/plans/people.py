@@ -106,12 +106,10 @@ def drifted_people(spark: SparkSession, sf_dir: str, without: tuple[str, ...] =
 
 def thresholds(spark: SparkSession) -> DataFrame:
     """Limits for three clients; the others run on the defaults."""
-    return spark.createDataFrame(
-        [
-            ("AUTOMOBILE", 0.9, 10, 100, "automobile@example.com"),
-            ("BUILDING", 0.5, None, None, "building@example.com"),
-            ("MACHINERY", None, 100, 50, "machinery@example.com"),
-        ],
-        "client_id string, max_drop_rate double, max_invalid_emails long,"
-        " max_invalid_phones long, recipient string",
+    return spark.sql(
+        """select * from values
+        ('AUTOMOBILE', 0.9D, 10L, 100L, 'automobile@example.com'),
+        ('BUILDING', 0.5D, null, null, 'building@example.com'),
+        ('MACHINERY', null, 100L, 50L, 'machinery@example.com')
+        as t(client_id, max_drop_rate, max_invalid_emails, max_invalid_phones, recipient)"""
     )

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from dqtable.contract import TableContract
 from dqtable.errors import ContractError
 from dqtable.operators.headers import normalize_headers, normalize_nulls, require_columns
+from dqtable.sources.tables import SOURCE
 
 CORRUPT = "_corrupt_record"
 
@@ -60,6 +61,7 @@ def load_csv(
     required: list[str] | None = None,
     multi_line: bool | None = None,
     on_malformed: str = "error",
+    with_source: bool = False,
 ) -> DataFrame:
     """A file, or a directory of files with the same header (a differing one is an error).
 
@@ -68,6 +70,8 @@ def load_csv(
 
     `on_malformed`: what to do with records of too many fields: "error" fails the job, "reject"
     keeps them, with their text in `_corrupt_record`, which is null for all other rows.
+
+    `with_source`: add the path of the file a row comes from as `source`.
     """
     if on_malformed not in ("error", "reject"):
         raise ValueError("on_malformed is 'error' or 'reject'")
@@ -86,6 +90,8 @@ def load_csv(
         .schema(schema)
         .csv(path)
     )
+    if with_source:
+        rows = rows.withColumn(SOURCE, F.col("_metadata.file_path"))
     too_many = _too_many_fields(F.col(CORRUPT), len(names))
     if on_malformed == "error":
         complaint = F.raise_error(F.concat(F.lit("too many fields: "), F.col(CORRUPT)))

@@ -20,6 +20,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.debug.maxToStringFields", "1000")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
         .getOrCreate()

@@ -6,10 +6,12 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
+from test_dates import LITERAL
 
 from dqtable import (
     Rule,
     apply_rules,
+    clean_date,
     clean_numeric,
     clean_text,
     fix_email,
@@ -158,6 +160,7 @@ def test_sql_functions_equal_the_columns(spark, texts):
         ("dq_fix_email", fix_email, EMAILS),
         ("dq_normalize_phone", normalize_phone, PHONES),
         ("dq_clean_numeric", clean_numeric, NUMBERS),
+        ("dq_clean_date", clean_date, LITERAL),
         ("dq_clean_text", clean_text, [" a ", "  ", "", " b "]),
     ):
         df = texts(values)
