@@ -28,7 +28,7 @@ from dqtable.operators.score import alerts, score
 from dqtable.operators.summary import run_metadata, run_summary
 from dqtable.plans.batch import run_batch
 from dqtable.session import session_options
-from dqtable.sources.csv import load_csv
+from dqtable.sources.csv import load_csv, stream_csv
 from dqtable.sources.tables import load_parquet, union_sources
 from dqtable.streaming.incremental import clean_incremental
 
@@ -70,6 +70,7 @@ __all__ = [
     "score",
     "session_options",
     "stats_wide",
+    "stream_csv",
     "strip",
     "sum_reports",
     "union_sources",

@@ -11,6 +11,9 @@ from dqtable.functions.text import NULL_TOKENS
 # Rule kind -> default part of the counter name, `invalid_<label>_dropped`.
 RULE_LABELS = {"email": "emails", "phone": "phones", "number": "numbers", "date": "dates"}
 
+# Text of a record that could not be read as a row; null for all other rows.
+CORRUPT = "_corrupt_record"
+
 
 @dataclass(frozen=True)
 class Rule:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 from operator import and_
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dqtable.contract import TableContract
+from dqtable.contract import CORRUPT, TableContract
 from dqtable.functions.apply import apply_rules
 from dqtable.functions.text import clean_text
 from dqtable.operators.headers import conform, normalize_headers, normalize_nulls, schema_diff
@@ -18,6 +19,7 @@ COPIES = "copies"
 KEPT = "kept"
 RAW = "raw"
 REASONS = "reject_reasons"
+MALFORMED = "malformed"
 
 
 def bad(column: str) -> str:
@@ -37,11 +39,14 @@ def flag_rows(df: DataFrame, contract: TableContract, drop_duplicates: bool = Tr
     """One row per distinct input row: keys and cleaned columns, `raw` values, a `bad_<column>`
     flag per rule, `reject_reasons`, `kept` and `copies`.
 
-    Rows are compared as delivered, before any value is cleaned. Everything downstream (kept rows,
-    rejects, report) reads this frame; when more than one of them is needed, write it once, see
+    Rows are compared as delivered, before any value is cleaned. Records that `load_csv` could not
+    read as rows are rejected as `malformed`. Everything downstream (kept rows, rejects, report)
+    reads this frame; when more than one of them is needed, write it once, see
     `dqtable.plans.batch`.
     """
     named = normalize_headers(df, contract)
+    if CORRUPT in named.columns and CORRUPT not in contract.keys:
+        contract = replace(contract, keys=(*contract.keys, CORRUPT))
     rows = normalize_nulls(conform(named, contract), contract)
     columns = rows.columns
     if drop_duplicates:
@@ -59,10 +64,14 @@ def flag_rows(df: DataFrame, contract: TableContract, drop_duplicates: bool = Tr
         {clean[column]: (column, rule) for column, rule in contract.rules.items()},
         contract.date_range,
     )
-    valid = [F.col(name).isNotNull() for name in clean.values()]
+    failures = {c: F.col(name).isNull() for c, name in clean.items()}
+    if CORRUPT in columns:
+        failures[MALFORMED] = F.col(CORRUPT).isNotNull()
     # The partition number never is negative: the test only makes `kept` non-deterministic, and
     # a filter on it is then not copied below the rules, where it would evaluate them again.
-    kept = reduce(and_, valid, F.spark_partition_id() >= 0)
+    kept = reduce(and_, (~failed for failed in failures.values()), F.spark_partition_id() >= 0)
+    named_failures = F.array(*(F.when(failed, F.lit(c)) for c, failed in failures.items()))
+    reasons = F.array_compact(named_failures.cast("array<string>"))
 
     texts = {
         c
@@ -74,23 +83,26 @@ def flag_rows(df: DataFrame, contract: TableContract, drop_duplicates: bool = Tr
         if c in clean
         else (clean_text(F.col(f"`{c}`")).alias(c) if c in texts else F.col(f"`{c}`"))
         for c in columns
+        if c != CORRUPT
     ]
-    reasons = F.array_compact(
-        F.array(*(F.when(F.col(name).isNull(), F.lit(c)) for c, name in clean.items()))
-    ) if clean else F.array().cast("array<string>")
     return rows.select(
         *values,
         F.struct(*(F.col(f"`{c}`") for c in columns)).alias(RAW),
-        *(F.col(name).isNull().alias(bad(c)) for c, name in clean.items()),
+        *(failed.alias(bad(c)) for c, failed in failures.items() if c in clean),
         reasons.alias(REASONS),
         kept.alias(KEPT),
         F.col(COPIES),
     )
 
 
+def value_columns(flagged: DataFrame) -> list[str]:
+    """Keys and contract columns of flagged rows."""
+    return [c for c in flagged.schema[RAW].dataType.names if c != CORRUPT]
+
+
 def clean_rows(flagged: DataFrame) -> DataFrame:
     """Rows that passed every rule, with cleaned values."""
-    return flagged.where(KEPT).select(*(F.col(f"`{c}`") for c in flagged.schema[RAW].dataType.names))
+    return flagged.where(KEPT).select(*(F.col(f"`{c}`") for c in value_columns(flagged)))
 
 
 def reject_rows(flagged: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dqtable.contract import TableContract
+from dqtable.contract import CORRUPT, TableContract
 from dqtable.errors import ContractError
 from dqtable.functions.text import null_tokens
 
@@ -26,7 +26,7 @@ def normalize_headers(df: DataFrame, contract: TableContract | None = None) -> D
 
 def schema_diff(df: DataFrame, contract: TableContract) -> tuple[list[str], list[str]]:
     """(missing required columns, unexpected columns) of a table with normalised headers."""
-    present = set(df.columns)
+    present = set(df.columns) - {CORRUPT}
     missing = sorted(set(contract.required) - present)
     return missing, sorted(present - set(contract.columns))
 
@@ -60,9 +60,10 @@ def conform(df: DataFrame, contract: TableContract) -> DataFrame:
 
 def normalize_nulls(df: DataFrame, contract: TableContract) -> DataFrame:
     """Null tokens to null in every text column except the keys."""
+    untouched = {*contract.keys, CORRUPT}
     texts = [
         f.name
         for f in df.schema.fields
-        if isinstance(f.dataType, T.StringType) and f.name not in contract.keys
+        if isinstance(f.dataType, T.StringType) and f.name not in untouched
     ]
     return df.withColumns({c: null_tokens(F.col(f"`{c}`"), contract.null_tokens) for c in texts})

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dqtable.contract import TableContract
-from dqtable.operators.clean import COPIES, KEPT, RAW, REASONS, bad, flag_rows
+from dqtable.operators.clean import COPIES, KEPT, RAW, REASONS, bad, flag_rows, value_columns
+from dqtable.operators.headers import normalize_headers, schema_diff
 from dqtable.operators.outbox import DEFAULT_TEMPLATE, outbox
 from dqtable.operators.profile import (
     numeric_columns,
@@ -22,7 +23,13 @@ from dqtable.operators.profile import (
 from dqtable.operators.report import REPORT_VERSION, cleaning_report
 from dqtable.operators.score import alerts, score
 from dqtable.operators.summary import run_metadata, run_summary
-from dqtable.sinks.tables import check_not_empty, observe_counts, run_path, write_report
+from dqtable.sinks.tables import (
+    check_not_empty,
+    observe_counts,
+    run_path,
+    write_csv,
+    write_report,
+)
 
 
 @dataclass(frozen=True)
@@ -43,7 +50,7 @@ class WrittenRows:
 
 def write_rows(flagged: DataFrame, path: str) -> WrittenRows:
     """Write flagged rows partitioned by `kept`; raw values go with the rejects only."""
-    columns = tuple(flagged.schema[RAW].dataType.names)
+    columns = tuple(value_columns(flagged))
     flags = [c for c in flagged.columns if c == COPIES or c in {bad(x) for x in columns}]
     halves = flagged.select(
         *(F.col(f"`{c}`") for c in columns),
@@ -68,15 +75,25 @@ def run_batch(
     thresholds: DataFrame | None = None,
     template: str = DEFAULT_TEMPLATE,
     drop_duplicates: bool = True,
+    client_name: str = "Customer",
+    clean_csv: bool = False,
 ) -> dict[str, str]:
-    """Clean a table and write rows, report sheets, outbox and run record; returns the paths."""
+    """Clean a table and write rows, report sheets, outbox and run record; returns the paths.
+
+    `by` names the report keys; without any, the whole table is the delivery of `client_name`.
+    `clean_csv` also writes the kept rows as CSV.
+    """
     spark: SparkSession = df.sparkSession
     totals = Observation(f"counts_{run_id}")
     flagged = observe_counts(flag_rows(df, contract, drop_duplicates), contract, totals)
     rows_path = run_path(path, "rows", run_id)
     rows = write_rows(flagged, rows_path)
 
-    report = cleaning_report(rows.flagged, contract, by)
+    drift = schema_diff(normalize_headers(df, contract), contract)
+    report = cleaning_report(rows.flagged, contract, by, drift)
+    if not by:
+        by = ("client_id",)
+        report = report.select(F.lit(client_name).alias(by[0]), "*")
     paths = write_report({"report": report}, path, run_id)
     alerted = alerts(score(spark.read.parquet(paths["report"])), thresholds, by)
     clean = rows.clean
@@ -92,6 +109,9 @@ def run_batch(
         "outbox": outbox(alerted, template, by[0]),
     }
     paths |= write_report(sheets, path, run_id)
+    if clean_csv:
+        paths["clean_csv"] = run_path(path, "clean_csv", run_id)
+        write_csv(clean, paths["clean_csv"])
     counts = totals.get
     record = spark.range(1).select(
         F.lit(run_id).alias("run"),

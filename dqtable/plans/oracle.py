@@ -265,7 +265,8 @@ where rows > present""",
     " case when event_type <> 'click' then user_id end as user_id, 0.1::double as constant"
     " from events) " + correlation("e", ("event_id", "value", "user_id", "constant")),
     "csv_roundtrip_clean": f"{WITH} select {CLEAN} from flagged where kept",
-    "report_tables": f"{WITH} select client_id, {COUNTERS} from flagged group by client_id",
+    "report_tables": f"""{WITH} select client_id, {COUNTERS}, '' as missing_required_columns,
+  '' as extra_columns from flagged group by client_id""",
     "run_record": f"""{WITH} select 'r1' as run, * from ({scored(
         '''select cast(sum(copies) as bigint) as original_rows,
   count(*) filter (kept) as final_rows from flagged'''

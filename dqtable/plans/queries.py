@@ -46,7 +46,7 @@ from dqtable.plans.people import (
     thresholds,
 )
 from dqtable.sinks.tables import shared_folder, write_csv
-from dqtable.sources.csv import load_csv
+from dqtable.sources.csv import load_csv, stream_csv
 from dqtable.sources.tables import union_sources
 from dqtable.streaming.incremental import clean_incremental
 
@@ -283,7 +283,9 @@ def report_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = run_batch(
         people, PEOPLE_BY_CLIENT, _folder(spark), "r1", thresholds=thresholds(spark)
     )
-    return spark.read.parquet(paths["report"])
+    lists = ("missing_required_columns", "extra_columns")
+    report = spark.read.parquet(paths["report"]).drop("cleaning_version")
+    return report.withColumns({c: F.array_join(c, ",") for c in lists})
 
 
 def run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -296,14 +298,12 @@ def run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two deliveries: everyone, then the copies again. Summed reports per client."""
+    """Two CSV deliveries: everyone, then the copies again. Summed reports per client."""
     folder = _folder(spark)
     people = people_with_copies(spark, sf_dir)
     for delivery in (people, people.where("copies > 1")):
-        delivery.select(*COLUMNS).write.mode("append").parquet(f"{folder}/in")
-        stream = spark.readStream.schema(
-            T.StructType([T.StructField(c, T.StringType()) for c in COLUMNS])
-        ).parquet(f"{folder}/in")
+        write_csv(delivery.select(*COLUMNS), f"{folder}/in", mode="append")
+        stream = stream_csv(spark, f"{folder}/in", list(COLUMNS), contract=PEOPLE_BY_CLIENT)
         clean_incremental(
             stream, PEOPLE_BY_CLIENT, f"{folder}/out", f"{folder}/checkpoint"
         ).awaitTermination()

@@ -43,10 +43,10 @@ def write_report(tables: Mapping[str, DataFrame], path: str, run_id: str) -> dic
     return written
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with header, quoting as `load_csv` reads it; blanks are kept."""
     (
-        df.write.mode("overwrite")
+        df.write.mode(mode)
         .option("header", True)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)

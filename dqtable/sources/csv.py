@@ -6,13 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dqtable.contract import TableContract
+from dqtable.contract import CORRUPT, TableContract
 from dqtable.errors import ContractError
 from dqtable.operators.headers import normalize_headers, normalize_nulls, require_columns
 from dqtable.sources.tables import SOURCE
 
-CORRUPT = "_corrupt_record"
-
 
 def _options(encoding: str, multi_line: bool) -> dict[str, str]:
     """Quotes inside quoted fields are doubled; blanks belong to the field."""
@@ -52,6 +50,38 @@ def _too_many_fields(record: Column, width: int) -> Column:
     return F.coalesce(commas >= width, F.lit(False))
 
 
+def _as_text(reader, names: list[str], options: dict[str, str]):
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, CORRUPT)])
+    return (
+        reader.options(**options)
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        # With pruned columns the parser would not see that a record has too many of them.
+        .option("columnPruning", False)
+        .schema(schema)
+    )
+
+
+def _settle(
+    rows: DataFrame, width: int, on_malformed: str, contract: TableContract | None
+) -> DataFrame:
+    """Deal with malformed records, then normalise headers and null tokens."""
+    if on_malformed not in ("error", "reject"):
+        raise ValueError("on_malformed is 'error' or 'reject'")
+    too_many = _too_many_fields(F.col(CORRUPT), width)
+    # Spark refuses scans that need nothing but the record text, such as a count of the rows; the
+    # mention of a field, which is never used as the text is there, makes them ordinary scans.
+    record = F.coalesce(F.col(CORRUPT), F.col(f"`{rows.columns[0]}`"))
+    if on_malformed == "error":
+        complaint = F.raise_error(F.concat(F.lit("too many fields: "), record))
+        rows = rows.where(F.when(too_many, complaint.cast("boolean")).otherwise(True)).drop(CORRUPT)
+    else:
+        rows = rows.withColumn(CORRUPT, F.when(too_many, record))
+    return normalize_nulls(normalize_headers(rows, contract), contract or TableContract(required=()))
+
+
 def load_csv(
     spark: SparkSession,
     path: str,
@@ -69,36 +99,37 @@ def load_csv(
     first (one pass over the lines, itself split) and gives up splitting only if it must.
 
     `on_malformed`: what to do with records of too many fields: "error" fails the job, "reject"
-    keeps them, with their text in `_corrupt_record`, which is null for all other rows.
+    keeps them, with their text in `_corrupt_record`, and `flag_rows` rejects them.
 
     `with_source`: add the path of the file a row comes from as `source`.
     """
-    if on_malformed not in ("error", "reject"):
-        raise ValueError("on_malformed is 'error' or 'reject'")
     if multi_line is None:
         wide = encoding.upper().replace("-", "").startswith(("UTF16", "UTF32"))
         multi_line = wide or has_quoted_newlines(spark, path)
-    options = _options(encoding, multi_line)
-    names = _header(spark, path, options)
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, CORRUPT)])
-    rows = (
-        spark.read.options(**options)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .schema(schema)
-        .csv(path)
-    )
+    names = _header(spark, path, _options(encoding, multi_line))
+    rows = _as_text(spark.read, names, _options(encoding, multi_line)).csv(path)
     if with_source:
         rows = rows.withColumn(SOURCE, F.col("_metadata.file_path"))
-    too_many = _too_many_fields(F.col(CORRUPT), len(names))
-    if on_malformed == "error":
-        complaint = F.raise_error(F.concat(F.lit("too many fields: "), F.col(CORRUPT)))
-        rows = rows.where(F.when(too_many, complaint.cast("boolean")).otherwise(True)).drop(CORRUPT)
-    else:
-        rows = rows.withColumn(CORRUPT, F.when(too_many, F.col(CORRUPT)))
-    rows = normalize_headers(rows, contract)
-    if required:
-        rows = require_columns(rows, required)
-    return normalize_nulls(rows, contract or TableContract(required=()))
+    rows = _settle(rows, len(names), on_malformed, contract)
+    return require_columns(rows, required) if required else rows
+
+
+def stream_csv(
+    spark: SparkSession,
+    path: str,
+    names: list[str],
+    encoding: str = "UTF-8",
+    *,
+    contract: TableContract | None = None,
+    multi_line: bool = True,
+    on_malformed: str = "error",
+    max_files: int | None = None,
+) -> DataFrame:
+    """CSV files as they are delivered to a directory, `max_files` per micro-batch if given.
+
+    A stream must know its columns beforehand: `names` are the headers every file has to carry.
+    """
+    reader = _as_text(spark.readStream, names, _options(encoding, multi_line))
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return _settle(reader.csv(path), len(names), on_malformed, contract)

@@ -4,7 +4,15 @@ import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
-from dqtable import EmptyResultError, cleaning_report, flag_rows, run_batch, sum_reports
+from dqtable import (
+    PEOPLE,
+    EmptyResultError,
+    cleaning_report,
+    flag_rows,
+    load_csv,
+    run_batch,
+    sum_reports,
+)
 from dqtable.plans.people import COLUMNS, PEOPLE_BY_CLIENT, dirty_people, thresholds
 from dqtable.session import session_options
 from dqtable.sinks.tables import check_not_empty, shared_folder
@@ -36,6 +44,19 @@ def test_run_without_survivors(spark, scratch):
     assert spark.read.parquet(paths["statistics"]).isEmpty()
 
 
+def test_run_for_one_client_with_malformed_records(spark, scratch):
+    with open(f"{scratch}/in.csv", "w") as file:
+        file.write("ID,Name,Email,Phone,Salary,Date,badge\n1,n,a@x.co,1234567,5,2024-01-05,b\n")
+        file.write("2,n,a@x.co,1234567,5,2024-01-05,b,c,d\n3,n,a@x,1234567,5,2024-01-05,b\n")
+    people = load_csv(spark, f"{scratch}/in.csv", contract=PEOPLE, on_malformed="reject")
+    paths = run_batch(people, PEOPLE, scratch, "r1", by=(), client_name="Acme", clean_csv=True)
+    report = spark.read.parquet(paths["report"]).first()
+    assert (report.client_id, report.original_rows, report.final_rows) == ("Acme", 3, 1)
+    assert (report.invalid_emails_dropped, report.extra_columns) == (1, ["badge"])
+    assert [r.id for r in load_csv(spark, paths["clean_csv"]).collect()] == ["1"]
+    assert spark.read.parquet(paths["outbox"]).first().body.startswith("Dear Acme,")
+
+
 def test_deliveries(spark, scratch):
     people = dirty_people(spark, SF_DIR)
 

@@ -1,6 +1,16 @@
 import pytest
 
-from dqtable import PEOPLE, ContractError, TableContract, load_csv, load_parquet, union_sources
+from dqtable import (
+    PEOPLE,
+    ContractError,
+    TableContract,
+    clean_rows,
+    flag_rows,
+    load_csv,
+    load_parquet,
+    reject_rows,
+    union_sources,
+)
 from dqtable.sinks.tables import write_csv
 from dqtable.sources.csv import has_quoted_newlines
 
@@ -28,6 +38,11 @@ def test_text_only_quotes_blanks_and_null_tokens(spark, csv):
     assert rows(df) == [("007", 'say "hi", ok'), (None, " x "), (None, None), ("1", None)]
 
 
+def test_rows_can_be_counted(spark, csv):
+    path = csv("a,b\n1,2\n3\n")
+    assert load_csv(spark, path).count() == load_csv(spark, path, on_malformed="reject").count() == 2
+
+
 def test_quoted_newlines(spark, csv):
     path = csv('a,b\n1,"x\ny"\n2,z\n')
     assert has_quoted_newlines(spark, path)
@@ -46,8 +61,15 @@ def test_too_many_fields(spark, csv):
     path = csv('a,b\n1,2\n1,2,3\n"x,y",4\n5\n')
     with pytest.raises(Exception, match="too many fields"):
         load_csv(spark, path).collect()
+    with pytest.raises(Exception, match="too many fields"):
+        load_csv(spark, path).select("b").collect()
     kept = load_csv(spark, path, on_malformed="reject")
+    assert kept.select("_corrupt_record").where("_corrupt_record is not null").count() == 1
     assert [r[-1] for r in rows(kept)] == [None, "1,2,3", None, None]
+    flagged = flag_rows(kept, PLAIN)
+    assert clean_rows(flagged).columns == ["a", "b"] and clean_rows(flagged).count() == 3
+    reject = reject_rows(flagged).first()
+    assert (reject["_corrupt_record"], reject.reject_reasons) == ("1,2,3", ["malformed"])
 
 
 def test_headers(spark, csv, scratch):
