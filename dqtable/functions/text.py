@@ -52,6 +52,6 @@ def clean_text(col: Column) -> Column:
     return F.nullif(strip(col), F.lit(""))
 
 
-def null_tokens(col: Column, tokens: Iterable[str] = NULL_TOKENS) -> Column:
+def null_tokens(col: Column, tokens: Iterable[str | Column] = NULL_TOKENS) -> Column:
     """Null where the whole field is one of `tokens` (exact, untrimmed match)."""
     return F.when(~col.isin(*tokens), col)

@@ -47,16 +47,14 @@ def flag_rows(df: DataFrame, contract: TableContract, drop_duplicates: bool = Tr
     named = normalize_headers(df, contract)
     if CORRUPT in named.columns and CORRUPT not in contract.keys:
         contract = replace(contract, keys=(*contract.keys, CORRUPT))
-    rows = normalize_nulls(conform(named, contract), contract)
+    rows = conform(named, contract)
     columns = rows.columns
-    if drop_duplicates:
-        # Columns the table lacks are null in every row: they join after the shuffle.
-        absent = [c for c in columns if c not in named.columns]
-        rows = dedup_counts(rows.drop(*absent)).withColumns(
-            {c: F.lit(None).cast("string") for c in absent}
-        )
-    else:
-        rows = rows.withColumn(COPIES, F.lit(1).cast("long"))
+    # Columns the table lacks are null in every row: they join after the shuffle.
+    absent = [c for c in columns if c not in named.columns]
+    rows = normalize_nulls(rows.drop(*absent), contract)
+    rows = dedup_counts(rows) if drop_duplicates else rows.withColumn(COPIES, F.lit(1).cast("long"))
+    if absent:
+        rows = rows.withColumns({c: F.lit(None).cast("string") for c in absent})
 
     clean = {column: f"_{column}" for column in contract.rules}
     rows = apply_rules(

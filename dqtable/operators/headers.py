@@ -66,4 +66,5 @@ def normalize_nulls(df: DataFrame, contract: TableContract) -> DataFrame:
         for f in df.schema.fields
         if isinstance(f.dataType, T.StringType) and f.name not in untouched
     ]
-    return df.withColumns({c: null_tokens(F.col(f"`{c}`"), contract.null_tokens) for c in texts})
+    tokens = [F.lit(token) for token in contract.null_tokens]
+    return df.withColumns({c: null_tokens(F.col(f"`{c}`"), tokens) for c in texts})

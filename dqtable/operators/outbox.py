@@ -9,6 +9,8 @@ from string import Template
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dqtable.operators.report import REPORT_VERSION
+
 # Subject lines by severity.
 SUBJECT_HIGH = "[ACTION REQUIRED] Data Quality Alert: High Drop Rate"
 SUBJECT_MEDIUM = "[NOTICE] Data Quality Report: Moderate Issues"
@@ -61,8 +63,12 @@ def outbox(
     template: str = DEFAULT_TEMPLATE,
     key: str = "client_id",
     frequency: str = "weekly",
+    extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Recipient, subject, body, severity and alert states per key."""
+    """Recipient, subject, body, severity and alert states per key.
+
+    Templates may name the values below, every counter of the report, and what `extra` adds.
+    """
     values = {
         "CLIENT_NAME": F.col(key),
         "EMAIL_FREQUENCY": F.lit(frequency),
@@ -70,13 +76,14 @@ def outbox(
         "ROWS_CLEANED": F.col("final_rows"),
         "DROP_RATE": F.col("drop_rate_pct"),
         "SEVERITY": F.col("severity"),
+        "PIPELINE_VERSION": F.lit(REPORT_VERSION),
     }
     counters = {c: F.col(c) for c in alerted.columns if c.endswith("_dropped")}
     return alerted.select(
         key,
         "recipient",
         subject(F.col("severity")).alias("subject"),
-        render(template, {**counters, **values}).alias("body"),
+        render(template, {**counters, **values, **(extra or {})}).alias("body"),
         "severity",
         "drop_rate_alert",
         "invalid_emails_alert",

@@ -17,13 +17,13 @@ MAX_CORRELATED = 10
 
 
 def numeric_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
-    """Numeric columns (booleans are not), or those among `columns`; unknown names are an error."""
-    if columns is not None:
+    """Numeric columns (booleans are not), or those among `columns` if any are given; unknown names
+    are an error."""
+    if columns:
         unknown = sorted(set(columns) - set(df.columns))
         if unknown:
             raise ContractError(f"missing numeric columns: {unknown}")
-    names = df.columns if columns is None else columns
-    return [c for c in names if isinstance(df.schema[c].dataType, T.NumericType)]
+    return [c for c in columns or df.columns if isinstance(df.schema[c].dataType, T.NumericType)]
 
 
 def _quoted(name: str) -> Column:

@@ -106,7 +106,9 @@ def run_batch(
         "statistics": stats_wide(stats, numeric) if numeric else stats,
         "correlation": profile_correlation(clean),
         "summary": run_summary(alerted, by),
-        "outbox": outbox(alerted, template, by[0]),
+        "outbox": outbox(
+            alerted, template, by[0], extra={"REPORT_PATH": F.lit(paths["report"])}
+        ),
     }
     paths |= write_report(sheets, path, run_id)
     if clean_csv:

@@ -85,5 +85,7 @@ def test_helpers(spark):
     with pytest.raises(EmptyResultError, match="runs"):
         check_not_empty(spark.range(0), "runs")
     assert shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
-    assert session_options(100 * 10**12, 5000)["spark.sql.shuffle.partitions"] == "745059"
+    large = session_options(100 * 10**12, 5000)
+    assert large["spark.sql.shuffle.partitions"] == "50000"
+    assert large["spark.sql.files.maxPartitionBytes"] == "2000000000"
     assert session_options(10**6, 8)["spark.sql.shuffle.partitions"] == "8"
