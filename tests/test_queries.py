@@ -5,8 +5,8 @@ from compare import connect, duck_rows, spark_rows
 from conftest import SF_DIR
 
 import __spark_entry__ as registered
-
-ORACLE = registered.oracle_sql()
+from dqtable.plans.oracle import ORACLE
+from dqtable.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -21,9 +21,11 @@ def test_flagship(spark):
 
 
 def test_every_query_has_its_sql():
-    assert set(ORACLE) == set(registered.queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(registered.queries())
+    assert set(ORACLE) <= set(registered.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    assert spark_rows(registered.queries()[name](spark, SF_DIR)) == duck_rows(duck, ORACLE[name])
+    assert spark_rows(QUERIES[name](spark, SF_DIR)) == duck_rows(duck, ORACLE[name])
