@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dqtable.llm.common import read_table
+from dqtable.llm.decontaminate import decontaminated
 from dqtable.llm.quality import quality_verdicts
 from dqtable.llm.simhash_dedup import simhash_components
 
@@ -15,12 +16,18 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(read_table(spark, sf_dir, "documents"))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = read_table(spark, sf_dir, "benchmark")
+    return decontaminated(read_table(spark, sf_dir, "documents"), benchmark, window=10)
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op8_simhash_dedup": op8_simhash_dedup,
 }
 
