@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dqtable.llm.common import fill
+from dqtable.llm.common import fill, with_columns
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Code points per chunk, and how far a chunk reaches into the next one.
@@ -82,9 +82,7 @@ def _tokenized(rows: DataFrame, sent, pattern: str, carry: list[str], ids: bool)
     added = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
     added = added + [("ids", pa.list_(pa.int32()))] * ids
     sql = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
-    schema = rows.select(*carry).schema
-    for column in rows.sparkSession.createDataFrame([], sql).schema:
-        schema = schema.add(column)
+    schema = with_columns(rows.select(*carry), sql)
 
     def run(batches):
         codec = Codec(sent.value, pattern)
@@ -115,9 +113,7 @@ def _chunks(rows: DataFrame) -> DataFrame:
 
 def _pieces(chunks: DataFrame, sent, pattern: str) -> DataFrame:
     """(uid, piece, text): the texts cut where neighbouring chunks agree."""
-    schema = chunks.schema
-    for name in ("head", "tail"):
-        schema = schema.add(chunks.sparkSession.createDataFrame([], f"{name} array<long>").schema[0])
+    schema = with_columns(chunks, "head array<long>, tail array<long>")
 
     def run(batches):
         codec = Codec(sent.value, pattern)
@@ -134,11 +130,11 @@ def _pieces(chunks: DataFrame, sent, pattern: str) -> DataFrame:
     rows = rows.withColumn("cut", F.when(F.col("no") == 0, F.lit(0)).otherwise(meet))
     sofar = order.rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("agreed", F.min(F.col("cut").isNotNull()).over(sofar))
-    rows = rows.withColumn("cut", F.when("agreed", F.col("cut")))
+    rows = rows.withColumn("cut", F.when(F.col("agreed"), F.col("cut")))
     rows = rows.withColumn("next", F.lead("cut").over(order))
-    rows = rows.withColumn("piece", F.max(F.when("agreed", F.col("no"))).over(sofar))
+    rows = rows.withColumn("piece", F.max(F.when(F.col("agreed"), F.col("no"))).over(sofar))
     start = F.coalesce("cut", F.lit(0))
-    stop = F.when("last", F.length("text")).otherwise(
+    stop = F.when(F.col("last"), F.length("text")).otherwise(
         F.coalesce(CHUNK + F.col("next"), F.lit(CHUNK))
     )
     own = F.col("text").substr((start + 1).cast("int"), (stop - start).cast("int"))
@@ -181,10 +177,8 @@ def encoded(
 
 def _digested(rows: DataFrame, sent, pattern: str, ids: bool) -> DataFrame:
     """Rows with the ids of a whole text, as `_tokenized` gives them."""
-    schema = rows.select("doc_id").schema
     sql = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
-    for column in rows.sparkSession.createDataFrame([], sql).schema:
-        schema = schema.add(column)
+    schema = with_columns(rows.select("doc_id"), sql)
 
     def run(batches):
         codec = Codec(sent.value, pattern)
@@ -207,7 +201,7 @@ def decoded(tokens: DataFrame, ranks: str = "") -> DataFrame:
     sent = tokens.sparkSession.sparkContext.broadcast(
         {i: t for t, i in read_ranks(ranks or public_tokenizers.path(RANKS)).items()}
     )
-    schema = tokens.select("doc_id").schema.add("text", "string")
+    schema = with_columns(tokens.select("doc_id"), "text string")
 
     def run(batches):
         for batch in batches:

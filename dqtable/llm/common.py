@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Text bytes that a Python task turns into words at once.
 SLICE_BYTES = 4 << 20
@@ -41,6 +42,11 @@ def fill(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def with_columns(df: DataFrame, added: str) -> StructType:
+    """The schema of `df` and, behind it, columns given as in `n long, name string`."""
+    return StructType(df.schema.fields + StructType.fromDDL(added).fields)
+
+
 def pieces(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator:
     """(slice of the batch, its texts as bytes); a slice holds `limit` bytes or one longer text."""
     texts = batch.column(batch.schema.get_field_index(column)).cast(pa.binary())

@@ -185,19 +185,18 @@ def _proposal(run: Column, kind: int, base: Column, loose: Column) -> Column:
     )
 
 
+def _judged(run: Column, kind: int, loose: Column) -> Column:
+    """The base spans of a kind within a run, and the run as a proposal."""
+
+    def both(found):
+        return F.struct(found.alias("base"), _proposal(run, kind, found, loose).alias("cand"))
+
+    return let(_base_in(run, kind), both)
+
+
 def _kinds_of(run: Column) -> Column:
-    """A run of digits: per kind, its base spans and a proposal."""
-    parts = []
-    for kind in (IP, CARD, PHONE):
-        odd = run["m"].rlike(LOOSE[kind])
-        part = let(
-            _base_in(run, kind),
-            lambda b, kind=kind, odd=odd: F.struct(
-                b.alias("base"), _proposal(run, kind, b, odd).alias("cand")
-            ),
-        )
-        parts.append(part)
-    return F.array(*parts)
+    """A run of digits, judged once per kind that it could be."""
+    return F.array(*[_judged(run, k, run["m"].rlike(LOOSE[k])) for k in (IP, CARD, PHONE)])
 
 
 def proposals(docs: DataFrame, carry: list[str]) -> DataFrame:
@@ -210,15 +209,7 @@ def proposals(docs: DataFrame, carry: list[str]) -> DataFrame:
     rows = rows.withColumn("at_words", F.when(spelled, located(text, AT_WORD)).otherwise(none))
     number = F.filter(located(text, NUMBER_RUN), lambda r: F.length(_digits(r["m"])) >= 4)
     rows = rows.withColumn("number_runs", number).drop("text")
-    mails = F.transform(
-        "at_runs",
-        lambda r: let(
-            _base_in(r, EMAIL),
-            lambda b: F.struct(
-                b.alias("base"), _proposal(r, EMAIL, b, F.lit(False)).alias("cand")
-            ),
-        ),
-    )
+    mails = F.transform("at_runs", lambda r: _judged(r, EMAIL, F.lit(False)))
     words = F.transform(
         "at_words", lambda r: _proposal(r, EMAIL, F.array(), F.lit(True))
     )

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dqtable.llm.common import fill, pieces, stored, work_folder
+from dqtable.llm.common import fill, pieces, stored, with_columns, work_folder
 
 SYMBOLS = b"#*$%&|<>"
 _CONTINUED = bytes(range(0x80, 0xC0))  # bytes that continue a code point
@@ -97,11 +97,8 @@ def _features(s: np.ndarray) -> np.ndarray:
 def with_stats(docs: DataFrame, carry: list[str]) -> DataFrame:
     """The carried columns of `docs` (which needs `text`) with statistics and vectors."""
     wanted = docs.select(*carry, fill().alias("text"))
-    schema = wanted.select(*carry).schema
-    for name in STATS:
-        schema = schema.add(name, "long")
-    for name in NAMES:
-        schema = schema.add(name, "integer")
+    added = [f"{n} long" for n in STATS] + [f"{n} int" for n in NAMES]
+    schema = with_columns(wanted.select(*carry), ", ".join(added))
 
     def run(batches):
         for batch in batches:

@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dqtable.llm.byte_bpe import encoded
 from dqtable.llm.common import read_table
 from dqtable.llm.decontaminate import decontaminated
+from dqtable.llm.pii import personal_data
 from dqtable.llm.quality import quality_verdicts
 from dqtable.llm.simhash_dedup import simhash_components
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(read_table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(read_table(spark, sf_dir, "documents"))
 
@@ -21,13 +27,19 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminated(read_table(spark, sf_dir, "documents"), benchmark, window=10)
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(read_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op2_quality_rules": op2_quality_rules,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op6_byte_bpe": op6_byte_bpe,
     "op8_simhash_dedup": op8_simhash_dedup,
 }
 

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dqtable.llm.common import arrays, fill, pieces, stored, work_folder
+from dqtable.llm.common import arrays, fill, pieces, stored, with_columns, work_folder
 from dqtable.llm.components import components
 
 BITS = 64
@@ -252,7 +252,7 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -
 def fingerprints_of_texts(docs: DataFrame, shingle: int) -> DataFrame:
     """(doc, fingerprint): whole rows as a struct beside the fingerprint of their text."""
     kept = docs.select(F.struct("*").alias("doc"), fill().alias("text"))
-    schema = kept.select("doc").schema.add("fp", "long")
+    schema = with_columns(kept.select("doc"), "fp long")
 
     def run(batches):
         for batch in batches:
