@@ -12,6 +12,8 @@ from dqtable.llm.decontaminate import decontaminated
 from dqtable.llm.pii import personal_data
 from dqtable.llm.quality import quality_verdicts
 from dqtable.llm.simhash_dedup import simhash_components
+from dqtable.llm.token_counts import token_counts
+from dqtable.llm.warc import archive_round_trip
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,16 +33,40 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(read_table(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starts from an empty cache of its own."""
+    return token_counts(read_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(read_table(spark, sf_dir, "pages"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_quality_rules": op2_quality_rules,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_token_counts": op7_token_counts,
     "op8_simhash_dedup": op8_simhash_dedup,
+    "op10_warc": op10_warc,
 }
 
-LLM_ORACLE: dict[str, str] = {}
+WARC_SQL = """
+with p as (
+  select page_id, coalesce(html, '') as body, strlen(coalesce(html, '')) as n from pages
+),
+k as (select *, max(page_id) over (partition by body) as kept from p)
+select page_id, n as payload_bytes, sha1(body) as payload_digest,
+  case when n >= 1000 and page_id is distinct from kept and kept is not null
+    then 'revisit' else 'response' end as record_type,
+  case when n >= 1000 and page_id is distinct from kept then kept end as refers_to
+from k
+"""
+
+#: The others have no SQL form, or none that is fast on whole tables; tests use brute force.
+LLM_ORACLE: dict[str, str] = {"op10_warc": WARC_SQL}
