@@ -13,6 +13,8 @@ from pyspark.sql.types import StructType
 #: Text bytes that a Python task turns into words at once.
 SLICE_BYTES = 4 << 20
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -32,8 +34,20 @@ def work_folder(spark: SparkSession, name: str) -> str:
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:
-    """Write a table and read it back: lineage ends here, and its size is known to the planner."""
-    df.write.mode("overwrite").parquet(path)
+    """Write a table and read it back: lineage ends here, and its size is known to the planner.
+
+    Shuffle files of the write go at its end, so a chain of such tables holds one step's at a time.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    conf.set(_CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        if before is None:
+            conf.unset(_CLEANUP)
+        else:
+            conf.set(_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -12,6 +12,8 @@ from dqtable.llm.decontaminate import decontaminated
 from dqtable.llm.pii import personal_data
 from dqtable.llm.quality import quality_verdicts
 from dqtable.llm.simhash_dedup import simhash_components
+from dqtable.llm.substring_dedup import without_repeats
+from dqtable.llm.suffix_dedup import without_repeated_bytes
 from dqtable.llm.token_counts import token_counts
 from dqtable.llm.warc import archive_round_trip
 
@@ -24,11 +26,19 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(read_table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeated_bytes(read_table(spark, sf_dir, "documents"), window=100, kept=False)
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = read_table(spark, sf_dir, "benchmark")
     return decontaminated(read_table(spark, sf_dir, "documents"), benchmark, window=10)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(read_table(spark, sf_dir, "documents"), window=20, texts=False)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(read_table(spark, sf_dir, "documents"))
 
@@ -49,7 +59,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_quality_rules": op2_quality_rules,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_token_counts": op7_token_counts,
     "op8_simhash_dedup": op8_simhash_dedup,
