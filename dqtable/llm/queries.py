@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from dqtable.llm.byte_bpe import encoded
 from dqtable.llm.common import read_table
 from dqtable.llm.decontaminate import decontaminated
+from dqtable.llm.lm_scoring import language_scores
 from dqtable.llm.pii import personal_data
 from dqtable.llm.quality import quality_verdicts
 from dqtable.llm.simhash_dedup import simhash_components
@@ -52,6 +53,10 @@ def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_scores(read_table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(read_table(spark, sf_dir, "pages"))
 
@@ -65,6 +70,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_byte_bpe": op6_byte_bpe,
     "op7_token_counts": op7_token_counts,
     "op8_simhash_dedup": op8_simhash_dedup,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_warc": op10_warc,
 }
 
