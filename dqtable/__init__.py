@@ -17,11 +17,16 @@ from dqtable.operators.clean import clean_data, clean_rows, dedup_counts, flag_r
 from dqtable.operators.headers import conform, normalize_headers, schema_diff
 from dqtable.operators.outbox import outbox
 from dqtable.operators.profile import (
+    missing_of,
+    profile_columns,
     profile_correlation,
+    profile_exact,
     profile_missing,
     profile_stats,
     profile_summary,
+    stats_of,
     stats_wide,
+    summary_of,
 )
 from dqtable.operators.report import cleaning_report, sum_reports
 from dqtable.operators.score import alerts, score
@@ -53,11 +58,14 @@ __all__ = [
     "flag_rows",
     "load_csv",
     "load_parquet",
+    "missing_of",
     "normalize_headers",
     "normalize_phone",
     "null_tokens",
     "outbox",
+    "profile_columns",
     "profile_correlation",
+    "profile_exact",
     "profile_missing",
     "profile_stats",
     "profile_summary",
@@ -69,10 +77,12 @@ __all__ = [
     "schema_diff",
     "score",
     "session_options",
+    "stats_of",
     "stats_wide",
     "stream_csv",
     "strip",
     "sum_reports",
+    "summary_of",
     "union_sources",
     "validate_email",
     "validate_phone",

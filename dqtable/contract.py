@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from dqtable.functions.dates import NANOSECOND_RANGE
 from dqtable.functions.text import NULL_TOKENS
 
 # Rule kind -> default part of the counter name, `invalid_<label>_dropped`.
@@ -37,6 +36,7 @@ class Rule:
 class TableContract:
     """`keys` are carried along untouched (report keys, not part of the contract proper).
 
+    `date_range` limits accepted dates, both ends included; without one any date is accepted.
     `on_missing` says whether an absent required column is added as null or is an error;
     `extra` whether columns outside the contract are dropped or kept.
     """
@@ -47,7 +47,7 @@ class TableContract:
     rules: Mapping[str, Rule] = field(default_factory=dict)
     aliases: Mapping[str, str] = field(default_factory=dict)
     null_tokens: tuple[str, ...] = NULL_TOKENS
-    date_range: tuple[str, str] | None = NANOSECOND_RANGE
+    date_range: tuple[str, str] | None = None
     on_missing: str = "null"
     extra: str = "drop"
 

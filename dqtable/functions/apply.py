@@ -34,7 +34,7 @@ def rule_steps(kind: str, data_type: T.DataType, date_range: tuple[str, str] | N
 def apply_rules(
     df: DataFrame,
     targets: Mapping[str, tuple[str, Rule]],
-    date_range: tuple[str, str] | None = dates.NANOSECOND_RANGE,
+    date_range: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Add each target column, `{target: (source column, rule)}`: the standardised value or null.
 

@@ -123,7 +123,9 @@ def _recognise(text: Column) -> Column:
             text.rlike(_YEAR_LAST),
             F.concat(mark, F.regexp_replace(text, _YEAR_LAST_PARTS, "$5-$2$3-$1$4")),
         )
-        .otherwise(F.regexp_replace(text, _DATE, _REWRITTEN))
+        # every accepted shape holds a digit
+        .when(text.rlike("[0-9]"), F.regexp_replace(text, _DATE, _REWRITTEN))
+        .otherwise(text)
     )
 
 
@@ -177,14 +179,15 @@ def within(value: Column, span: tuple[str, str] | None) -> Column:
     return F.when((value >= low) & (value <= high), value)
 
 
-def clean_date(col: Column, span: tuple[str, str] | None = NANOSECOND_RANGE) -> Column:
+def clean_date(col: Column, span: tuple[str, str] | None = None) -> Column:
     """Timestamp without zone from text, or null."""
     steps = (*DATE_STEPS, lambda value: within(value, span))
     return F.get(reduce(F.transform, steps, F.array(col)), F.lit(0))
 
 
 def date_sql(value: str, strip: Callable[[str], str], literal: Callable[[str], str]) -> str:
-    """`clean_date` as a SQL expression: the same steps, handed on as a one-value array."""
+    """`clean_date` as a SQL expression: the same steps, handed on as a one-value array. It reads
+    the year-last shape with the general pattern; a test holds both against each other."""
     mark = literal(_MARK)
     shift = (
         f"transform(array(upper(substring_index(x, {mark}, -1))), s -> CASE WHEN s LIKE 'P%'"
@@ -193,7 +196,6 @@ def date_sql(value: str, strip: Callable[[str], str], literal: Callable[[str], s
         " / 60 AS INT) ELSE 0 END)[0]"
     )
     date = f"try_cast(rtrim(' :-', substring_index(substr(x, 2), {mark}, 1)) AS TIMESTAMP_NTZ)"
-    low, high = (f"TIMESTAMP_NTZ'{bound}'" for bound in NANOSECOND_RANGE)
     steps = (
         strip("x"),
         f"CASE WHEN x RLIKE {literal(_ISO)} THEN concat({mark}, x) ELSE"
@@ -206,6 +208,5 @@ def date_sql(value: str, strip: Callable[[str], str], literal: Callable[[str], s
         f"CASE WHEN startswith(x, {mark}) THEN timestampadd(MINUTE, CASE WHEN"
         f" contains(substr(x, 2), {mark}) AND NOT endswith(x, {mark}) THEN {shift} ELSE 0 END,"
         f" {date}) END",
-        f"CASE WHEN x BETWEEN {low} AND {high} THEN x END",
     )
     return reduce(lambda array, step: f"transform({array}, x -> {step})", steps, f"array({value})") + "[0]"

@@ -6,17 +6,24 @@ from dataclasses import replace
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from dqtable.contract import CORRUPT, TableContract
 from dqtable.functions.apply import apply_rules
-from dqtable.functions.text import clean_text
-from dqtable.operators.headers import conform, normalize_headers, normalize_nulls, schema_diff
+from dqtable.errors import ContractError
+from dqtable.functions.text import clean_text, null_tokens
+from dqtable.operators.headers import (
+    conform,
+    normalize_headers,
+    nullable_texts,
+    schema_diff,
+    unused,
+)
 
 COPIES = "copies"
 KEPT = "kept"
+ROW = "row"
 RAW = "raw"
 REASONS = "reject_reasons"
 MALFORMED = "malformed"
@@ -26,44 +33,69 @@ def bad(column: str) -> str:
     return f"bad_{column}"
 
 
-def dedup_counts(df: DataFrame) -> DataFrame:
-    """Distinct rows with the number of `copies` of each.
+def dedup_counts(df: DataFrame, name: str = COPIES) -> DataFrame:
+    """Distinct rows with the number of copies of each, in a column `name`.
 
     One shuffle gives the rows and the counts. Copies are merged before it, in every map task, so
     a row that fills a third of the table reaches the reducers once per task.
     """
-    return df.groupBy(*(F.col(f"`{c}`") for c in df.columns)).agg(F.count(F.lit(1)).alias(COPIES))
-
-
-def flag_rows(df: DataFrame, contract: TableContract, drop_duplicates: bool = True) -> DataFrame:
-    """One row per distinct input row: keys and cleaned columns, `raw` values, a `bad_<column>`
-    flag per rule, `reject_reasons`, `kept` and `copies`.
-
-    Rows are compared as delivered, before any value is cleaned. Records that `load_csv` could not
-    read as rows are rejected as `malformed`. Everything downstream (kept rows, rejects, report)
-    reads this frame; when more than one of them is needed, write it once, see
+    if unused(name, df.columns) != name:
+        raise ContractError(f"the table has a column {name}; name the count otherwise")
+    return df.groupBy(*(F.col(f"`{c}`") for c in df.columns)).agg(F.count(F.lit(1)).alias(name))
+
+
+def flag_rows(
+    df: DataFrame,
+    contract: TableContract,
+    drop_duplicates: bool = True,
+    where: Column | str | None = None,
+) -> DataFrame:
+    """One row per distinct input row: `row` (cleaned columns), `raw` (the same as delivered), a
+    `bad_<column>` flag per rule, `reject_reasons`, `kept` and `copies`.
+
+    The table's columns are fields of `row` and `raw`, so none of them can meet a name of ours.
+    Rows are compared as delivered: neither cleaning nor null tokens make two rows copies. Records
+    that `load_csv` could not read as rows are rejected as `malformed`. `where` is a condition on
+    delivered columns; it is applied first and reaches the scan. (A filter on the result cannot, as
+    `kept` keeps filters from repeating the rules below it.) Everything downstream (kept rows,
+    rejects, report) reads this frame; when more than one of them is needed, write it once, see
     `dqtable.plans.batch`.
     """
     named = normalize_headers(df, contract)
+    if where is not None:
+        named = named.where(where)
     if CORRUPT in named.columns and CORRUPT not in contract.keys:
         contract = replace(contract, keys=(*contract.keys, CORRUPT))
     rows = conform(named, contract)
     columns = rows.columns
     # Columns the table lacks are null in every row: they join after the shuffle.
     absent = [c for c in columns if c not in named.columns]
-    rows = normalize_nulls(rows.drop(*absent), contract)
-    rows = dedup_counts(rows) if drop_duplicates else rows.withColumn(COPIES, F.lit(1).cast("long"))
+    rows = rows.drop(*absent)
+    copies = unused(COPIES, columns)
+    rows = (
+        dedup_counts(rows, copies)
+        if drop_duplicates
+        else rows.withColumn(copies, F.lit(1).cast("long"))
+    )
     if absent:
         rows = rows.withColumns({c: F.lit(None).cast("string") for c in absent})
 
-    clean = {column: f"_{column}" for column in contract.rules}
+    texts = nullable_texts(rows.select(*(F.col(f"`{c}`") for c in columns)), contract)
+    tokens = [F.lit(token) for token in contract.null_tokens]
+    clean: dict[str, str] = {}
+    for column in dict.fromkeys((*contract.rules, *texts)):
+        clean[column] = unused(f"_{column}", [*columns, copies, *clean.values()])
+    ruled = contract.rules.keys()
+    rows = rows.withColumns({clean[c]: null_tokens(F.col(f"`{c}`"), tokens) for c in texts})
     rows = apply_rules(
         rows,
-        {clean[column]: (column, rule) for column, rule in contract.rules.items()},
+        {clean[c]: (clean[c] if c in texts else c, rule) for c, rule in contract.rules.items()},
         contract.date_range,
     )
-    failures = {c: F.col(name).isNull() for c, name in clean.items()}
+    failures = {c: F.col(f"`{clean[c]}`").isNull() for c in ruled}
     if CORRUPT in columns:
+        # What is no row of the table has no fields that could fail their rules.
+        failures = {c: failed & F.col(CORRUPT).isNull() for c, failed in failures.items()}
         failures[MALFORMED] = F.col(CORRUPT).isNotNull()
     # The partition number never is negative: the test only makes `kept` non-deterministic, and
     # a filter on it is then not copied below the rules, where it would evaluate them again.
@@ -71,40 +103,29 @@ def flag_rows(df: DataFrame, contract: TableContract, drop_duplicates: bool = Tr
     named_failures = F.array(*(F.when(failed, F.lit(c)) for c, failed in failures.items()))
     reasons = F.array_compact(named_failures.cast("array<string>"))
 
-    texts = {
-        c
-        for c in contract.optional
-        if c not in clean and isinstance(rows.schema[c].dataType, T.StringType)
-    }
-    values = [
-        F.col(clean[c]).alias(c)
-        if c in clean
-        else (clean_text(F.col(f"`{c}`")).alias(c) if c in texts else F.col(f"`{c}`"))
-        for c in columns
-        if c != CORRUPT
-    ]
+    def value(c: str) -> Column:
+        own = F.col(f"`{clean.get(c, c)}`")
+        return clean_text(own) if c in texts and c in contract.optional and c not in ruled else own
+
     return rows.select(
-        *values,
+        F.struct(*(value(c).alias(c) for c in columns if c != CORRUPT)).alias(ROW),
         F.struct(*(F.col(f"`{c}`") for c in columns)).alias(RAW),
-        *(failed.alias(bad(c)) for c, failed in failures.items() if c in clean),
+        *(failed.alias(bad(c)) for c, failed in failures.items()),
         reasons.alias(REASONS),
         kept.alias(KEPT),
-        F.col(COPIES),
+        F.col(f"`{copies}`").alias(COPIES),
     )
 
 
-def value_columns(flagged: DataFrame) -> list[str]:
-    """Keys and contract columns of flagged rows."""
-    return [c for c in flagged.schema[RAW].dataType.names if c != CORRUPT]
-
-
 def clean_rows(flagged: DataFrame) -> DataFrame:
     """Rows that passed every rule, with cleaned values."""
-    return flagged.where(KEPT).select(*(F.col(f"`{c}`") for c in value_columns(flagged)))
+    return flagged.where(KEPT).select(f"{ROW}.*")
 
 
 def reject_rows(flagged: DataFrame) -> DataFrame:
     """Rows that failed a rule, as delivered, with the columns at fault."""
+    if unused(REASONS, flagged.schema[RAW].dataType.names) != REASONS:
+        raise ContractError(f"the table has a column {REASONS}; read `{RAW}` of the flagged rows")
     return flagged.where(~F.col(KEPT)).select(f"{RAW}.*", REASONS)
 
 

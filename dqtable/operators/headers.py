@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,13 +13,25 @@ from dqtable.errors import ContractError
 from dqtable.functions.text import null_tokens
 
 
+def column_name(header: str, contract: TableContract | None = None) -> str:
+    """Trimmed, lower case, blanks as underscores, then the contract's alias."""
+    name = header.strip().lower().replace(" ", "_")
+    return contract.aliases.get(name, name) if contract else name
+
+
+def unused(name: str, taken: Iterable[str]) -> str:
+    """The name, with underscores in front until no column of the table has it."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name = f"_{name}"
+    return name
+
+
 def normalize_headers(df: DataFrame, contract: TableContract | None = None) -> DataFrame:
-    """Trim, lower-case, blanks to underscores, then the contract's aliases."""
-    aliases = contract.aliases if contract else {}
+    """The table with `column_name` of each header; two headers for one column are an error."""
     named: dict[str, list[str]] = {}
     for column in df.columns:
-        name = column.strip().lower().replace(" ", "_")
-        named.setdefault(aliases.get(name, name), []).append(column)
+        named.setdefault(column_name(column, contract), []).append(column)
     clashes = {name: sources for name, sources in named.items() if len(sources) > 1}
     if clashes:
         raise ContractError(f"several headers mean the same column: {clashes}")
@@ -31,9 +45,12 @@ def schema_diff(df: DataFrame, contract: TableContract) -> tuple[list[str], list
     return missing, sorted(present - set(contract.columns))
 
 
-def require_columns(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The table itself; an error before any job if a column is absent."""
-    missing = sorted({c.strip().lower() for c in columns} - set(df.columns))
+def require_columns(
+    df: DataFrame, columns: Sequence[str], contract: TableContract | None = None
+) -> DataFrame:
+    """The table itself; an error before any job if a column is absent. The names may be written
+    as headers are."""
+    missing = sorted({column_name(c, contract) for c in columns} - set(df.columns))
     if missing:
         raise ContractError(f"missing required columns: {missing}")
     return df
@@ -58,13 +75,18 @@ def conform(df: DataFrame, contract: TableContract) -> DataFrame:
     return df.select(*columns, *kept)
 
 
-def normalize_nulls(df: DataFrame, contract: TableContract) -> DataFrame:
-    """Null tokens to null in every text column except the keys."""
+def nullable_texts(df: DataFrame, contract: TableContract) -> list[str]:
+    """Columns in which a null token means null: texts, except the keys."""
     untouched = {*contract.keys, CORRUPT}
-    texts = [
+    return [
         f.name
         for f in df.schema.fields
         if isinstance(f.dataType, T.StringType) and f.name not in untouched
     ]
+
+
+def normalize_nulls(df: DataFrame, contract: TableContract) -> DataFrame:
+    """Null tokens to null in every text column except the keys."""
+    texts = nullable_texts(df, contract)
     tokens = [F.lit(token) for token in contract.null_tokens]
     return df.withColumns({c: null_tokens(F.col(f"`{c}`"), tokens) for c in texts})

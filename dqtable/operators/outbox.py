@@ -58,6 +58,25 @@ def unresolved(template: str, names: Mapping[str, Column] | set[str]) -> list[st
     return sorted(set(re.findall(r"\$\{(\w+)\}", template)) - set(names))
 
 
+def listed(names: Column) -> Column:
+    """An array of names as text, `['a', 'b']`."""
+    quoted = F.transform(names, lambda x: F.concat(F.lit("'"), x, F.lit("'")))
+    return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
+
+
+def profile_values(stats: DataFrame) -> dict[str, Column]:
+    """MEAN_VALUES, MIN_VALUES and MAX_VALUES of `profile_stats` for a template, as
+    `{'a': 1.0, 'b': 2.5}`: one text each, looked up by the same job that writes the messages."""
+
+    def values(statistic: str) -> Column:
+        pair = F.concat(F.lit("'"), "column", F.lit("': "), F.coalesce(F.col("value").cast("string"), F.lit("None")))
+        pairs = F.array_sort(F.collect_list(F.when(F.col("statistic") == statistic, pair)))
+        text = F.concat(F.lit("{"), F.array_join(pairs, ", "), F.lit("}"))
+        return stats.agg(text.alias("text")).scalar()
+
+    return {f"{s.upper()}_VALUES": values(s) for s in ("mean", "min", "max")}
+
+
 def outbox(
     alerted: DataFrame,
     template: str = DEFAULT_TEMPLATE,
@@ -67,7 +86,8 @@ def outbox(
 ) -> DataFrame:
     """Recipient, subject, body, severity and alert states per key.
 
-    Templates may name the values below, every counter of the report, and what `extra` adds.
+    Templates may name the values below, every counter of the report, the lists of missing and
+    extra columns if it has them, and what `extra` adds (see `profile_values`).
     """
     values = {
         "CLIENT_NAME": F.col(key),
@@ -79,13 +99,13 @@ def outbox(
         "PIPELINE_VERSION": F.lit(REPORT_VERSION),
     }
     counters = {c: F.col(c) for c in alerted.columns if c.endswith("_dropped")}
+    drift = ("missing_required_columns", "extra_columns")
+    counters |= {c: listed(F.col(c)) for c in drift if c in alerted.columns}
     return alerted.select(
         key,
         "recipient",
         subject(F.col("severity")).alias("subject"),
         render(template, {**counters, **values, **(extra or {})}).alias("body"),
         "severity",
-        "drop_rate_alert",
-        "invalid_emails_alert",
-        "invalid_phones_alert",
+        *(c for c in alerted.columns if c.endswith("_alert")),
     )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +12,8 @@ from dqtable.errors import ContractError
 
 PROFILE_VERSION = "1.0"
 STATISTICS = ("mean", "min", "max", "sum")
-MAX_CORRELATED = 10
+# Columns beside the stacked one: six sums for each stay within compiled code.
+BLOCK = 8
 
 
 def numeric_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
@@ -83,6 +83,17 @@ def _stacked(df: DataFrame, rows: Sequence[tuple[Column, ...]], names: str) -> D
     return df.select(F.stack(F.lit(len(rows)), *cells).alias(*names.split()))
 
 
+def _moments() -> list[Column]:
+    """Mean, min, max and sum of stacked values; `whole` holds the exact value of whole numbers."""
+    total = F.coalesce(F.try_sum("whole").cast("double"), F.sum("value"), F.lit(0.0))
+    return [
+        F.avg("value").alias("mean"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        total.alias("sum"),
+    ]
+
+
 def profile_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(statistic, column, value) over the values that are not missing.
 
@@ -103,16 +114,10 @@ def profile_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
         return df.limit(0).select(
             F.lit("").alias("statistic"), F.lit("").alias("column"), F.lit(0.0).alias("value")
         )
-    total = F.coalesce(F.try_sum("whole").cast("double"), F.sum("value"), F.lit(0.0))
     stats = (
         _stacked(df, rows, "number value whole")
         .groupBy("number")
-        .agg(
-            F.avg("value").alias("mean"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-            total.alias("sum"),
-        )
+        .agg(*_moments())
         .withColumn("column", F.get(F.array(*map(F.lit, numeric)), F.col("number")))
     )
     return stats.unpivot("column", list(STATISTICS), "statistic", "value").select(
@@ -125,52 +130,173 @@ def stats_wide(stats: DataFrame, columns: Sequence[str]) -> DataFrame:
     return stats.groupBy("statistic").pivot("column", list(columns)).agg(F.first("value"))
 
 
-def profile_correlation(
-    df: DataFrame, columns: Sequence[str] | None = None, max_columns: int = MAX_CORRELATED
-) -> DataFrame:
+def profile_columns(df: DataFrame) -> DataFrame:
+    """One row per column: number, column, numeric, rows, missing, mean, min, max, sum.
+
+    The summary, missing values and statistics of a table in one pass; write it once and read them
+    from it. Without rows for an empty table.
+    """
+    numeric = set(numeric_columns(df))
+    none = F.lit(None)
+    rows = [
+        (
+            F.lit(n),
+            _is_missing(df, c).cast("int"),
+            _value(df, c) if c in numeric else none.cast("double"),
+            _quoted(c).cast("long")
+            if isinstance(df.schema[c].dataType, T.IntegralType)
+            else none.cast("long"),
+        )
+        for n, c in enumerate(df.columns)
+    ]
+    grouped = _stacked(df, rows, "number missing value whole").groupBy("number")
+    sums = grouped.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum("missing").alias("missing"),
+        *_moments(),
+    )
+    named = F.array(*(F.struct(F.lit(c).alias("c"), F.lit(c in numeric).alias("n")) for c in df.columns))
+    return sums.withColumn("x", F.get(named, F.col("number"))).select(
+        "number",
+        F.col("x.c").alias("column"),
+        F.col("x.n").alias("numeric"),
+        "rows",
+        "missing",
+        *STATISTICS,
+    )
+
+
+def summary_of(profile: DataFrame) -> DataFrame:
+    """`profile_summary` from a written profile."""
+    names = F.array_sort(F.collect_list(F.when(F.col("numeric"), F.struct("number", "column"))))
+    return (
+        profile.agg(
+            F.max("rows").alias("row_count"),
+            F.count(F.lit(1)).alias("column_count"),
+            F.transform(names, lambda x: x["column"]).alias("numeric_columns"),
+            F.lit(PROFILE_VERSION).alias("analysis_version"),
+        )
+        .where("row_count > 0")
+    )
+
+
+def missing_of(profile: DataFrame) -> DataFrame:
+    """`profile_missing` from a written profile."""
+    return profile.where("missing > 0").select("column", "missing")
+
+
+def stats_of(profile: DataFrame) -> DataFrame:
+    """`profile_stats` from a written profile."""
+    numeric = profile.where("numeric")
+    return numeric.unpivot("column", list(STATISTICS), "statistic", "value").select(
+        "statistic", "column", "value"
+    )
+
+
+def profile_exact(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(statistic, column, exact): min, max and sum of whole and decimal columns, without doubles.
+
+    `exact` is a decimal of 38 digits with as many decimals as the finest column; a sum that needs
+    more digits is null.
+    """
+    exact = {
+        c: df.schema[c].dataType
+        for c in numeric_columns(df, columns)
+        if isinstance(df.schema[c].dataType, (T.IntegralType, T.DecimalType))
+    }
+    scale = max((t.scale for t in exact.values() if isinstance(t, T.DecimalType)), default=0)
+    kind = f"decimal(38,{scale})"
+    if not exact:
+        nothing = F.lit("").alias("statistic"), F.lit("").alias("column")
+        return df.limit(0).select(*nothing, F.lit(0).cast(kind).alias("exact"))
+    rows = [(F.lit(n), _quoted(c).cast(kind)) for n, c in enumerate(exact)]
+    stats = _stacked(df, rows, "number value").groupBy("number")
+    stats = stats.agg(
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        F.coalesce(F.try_sum("value"), F.when(F.count("value") == 0, F.lit(0)))
+        .cast(kind)
+        .alias("sum"),
+    ).withColumn("column", F.get(F.array(*map(F.lit, exact)), F.col("number")))
+    return stats.unpivot("column", ["min", "max", "sum"], "statistic", "exact").select(
+        "statistic", "column", "exact"
+    )
+
+
+def _centred(df: DataFrame, numeric: Sequence[str]) -> list[Column]:
+    """The columns less their means, which come from one earlier pass (a scalar subquery): products
+    of values far from zero would lose the digits that tell them apart."""
+    # NaN is missing; infinite values leave the mean undefined, then nothing is subtracted
+    means = [F.avg(_value(df, c)).alias(f"m{i}") for i, c in enumerate(numeric)]
+    centre = df.agg(F.struct(*means).alias("means")).scalar()
+    out = []
+    for i, c in enumerate(numeric):
+        mean = centre[f"m{i}"]
+        finite = mean.isNotNull() & (F.abs(mean) < float("inf"))
+        out.append(_value(df, c) - F.when(finite, mean).otherwise(0.0))
+    return out
+
+
+def profile_correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(col_a, col_b, corr): the full Pearson matrix over rows where both values are present.
 
-    Empty unless 2 to `max_columns` numeric columns take part. Null where a column is constant or
-    has a single value: `corr` would raise there, and a rounding residue in the merged variance
-    would pass for variation, so constancy is read from minimum and maximum.
+    Any number of columns; name some for a smaller matrix. Empty for fewer than two. Each row is
+    stacked once per column and block of other columns, so p columns make p * p / BLOCK rows, and
+    the sums of a pair's two sides meet in a table of p * p rows. Null where a column is constant
+    or has a single value: a rounding residue in the variance would pass for variation, so
+    constancy is read from minimum and maximum.
     """
     numeric = numeric_columns(df, columns)
-    if not 2 <= len(numeric) <= max_columns:
-        numeric = []
-    pairs = list(combinations_with_replacement(numeric, 2))
-    if not pairs:
+    if len(numeric) < 2:
         return df.limit(0).select(
             F.lit("").alias("col_a"), F.lit("").alias("col_b"), F.lit(0.0).alias("corr")
         )
-    rows = [(F.lit(n), _value(df, a), _value(df, b)) for n, (a, b) in enumerate(pairs)]
-    # Only rows with both values count; settled once here, not in each of the aggregates.
-    both = F.col("x").isNotNull() & F.col("y").isNotNull()
-    complete = _stacked(df, rows, "pair x y").select(
-        "pair", F.when(both, F.col("x")).alias("x"), F.when(both, F.col("y")).alias("y")
-    )
-    moments = complete.groupBy("pair").agg(
-        F.covar_pop("x", "y").alias("covariance"),
-        F.stddev_pop("x").alias("dev_x"),
-        F.stddev_pop("y").alias("dev_y"),
-        F.min("x").alias("min_x"),
-        F.max("x").alias("max_x"),
-        F.min("y").alias("min_y"),
-        F.max("y").alias("max_y"),
+    names = [f"v{i}" for i in range(len(numeric))]
+    centred = df.select(*(v.alias(n) for v, n in zip(_centred(df, numeric), names, strict=True)))
+    blocks = [names[i : i + BLOCK] for i in range(0, len(names), BLOCK)]
+    nothing = F.lit(None).cast("double")
+    rows = [
+        (F.lit(a), F.lit(b * BLOCK), F.col(x), *map(F.col, ys), *[nothing] * (BLOCK - len(ys)))
+        for a, x in enumerate(names)
+        for b, ys in enumerate(blocks)
+    ]
+    others = [f"y{k}" for k in range(BLOCK)]
+    stacked = _stacked(centred, rows, "a first x " + " ".join(others)).where("x is not null")
+
+    def sums(k: int) -> list[Column]:
+        y = F.col(f"y{k}")
+        x = F.when(y.isNotNull(), F.col("x"))
+        parts = {"n": F.count(x), "s": F.sum(x), "q": F.sum(x * x), "p": F.sum(F.col("x") * y)}
+        parts |= {"low": F.min(x), "high": F.max(x)}
+        return [v.alias(f"{name}{k}") for name, v in parts.items()]
+
+    grouped = stacked.groupBy("a", "first").agg(*(c for k in range(BLOCK) for c in sums(k)))
+    one = [
+        F.struct(
+            (F.col("first") + k).alias("b"),
+            *(F.col(f"{name}{k}").alias(name) for name in ("n", "s", "q", "p", "low", "high")),
+        )
+        for k in range(BLOCK)
+    ]
+    sides = grouped.select("a", F.inline(F.array(*one))).where(F.col("b") < len(numeric))
+    other = sides.select(
+        F.col("a").alias("b"),
+        F.col("b").alias("a"),
+        *(F.col(c).alias(f"{c}_b") for c in ("s", "q", "low", "high")),
     )
-    name = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs))
-    ratio = F.try_divide(F.col("covariance"), F.col("dev_x") * F.col("dev_y"))
-    varies = (F.col("min_x") < F.col("max_x")) & (F.col("min_y") < F.col("max_y"))
-    named = moments.select(
-        F.get(name, F.col("pair")).alias("p"), F.when(varies, ratio).alias("ratio")
+    both = sides.join(other, ["a", "b"])
+    covariance = F.col("p") - F.try_divide(F.col("s") * F.col("s_b"), F.col("n"))
+    spread = (F.col("q") - F.try_divide(F.col("s") * F.col("s"), F.col("n"))) * (
+        F.col("q_b") - F.try_divide(F.col("s_b") * F.col("s_b"), F.col("n"))
     )
+    varies = (F.col("low") < F.col("high")) & (F.col("low_b") < F.col("high_b"))
+    ratio = F.when(varies & (spread > 0), F.try_divide(covariance, F.sqrt(spread)))
     corr = (
-        F.when(F.col("ratio").isNull() | F.isnan("ratio"), None)
-        .when(F.col("p.a") == F.col("p.b"), 1.0)
-        .otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("ratio"))))
+        F.when(ratio.isNull() | F.isnan(ratio), None)
+        .when(F.col("a") == F.col("b"), 1.0)
+        .otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), ratio)))
     )
-    sides = F.array(
-        F.struct(F.col("p.a").alias("col_a"), F.col("p.b").alias("col_b"), corr.alias("corr")),
-        F.struct(F.col("p.b").alias("col_a"), F.col("p.a").alias("col_b"), corr.alias("corr")),
+    name = F.array(*map(F.lit, numeric))
+    return both.select(
+        F.get(name, F.col("a")).alias("col_a"), F.get(name, F.col("b")).alias("col_b"), corr.alias("corr")
     )
-    once = F.when(F.col("p.a") == F.col("p.b"), F.slice(sides, 1, 1)).otherwise(sides)
-    return named.select(F.inline(once))

@@ -8,13 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dqtable.contract import TableContract
-from dqtable.operators.clean import COPIES, KEPT, bad
+from dqtable.operators.clean import COPIES, KEPT, MALFORMED, ROW, bad
 
 REPORT_VERSION = "1.0"
 
 
-def report_aggregates(contract: TableContract) -> list[Column]:
-    """Failures are counted after duplicates are dropped and per rule: a row that fails two rules
+def report_aggregates(contract: TableContract, malformed: bool = False) -> list[Column]:
+    """The counters; `malformed` adds records that could not be read as rows.
+
+    Failures are counted after duplicates are dropped and per rule: a row that fails two rules
     counts in both. Rules that share a label share a counter."""
 
     def total(value: Column) -> Column:
@@ -33,6 +35,7 @@ def report_aggregates(contract: TableContract) -> list[Column]:
         total(F.col(COPIES)).alias("original_rows"),
         total(F.col(COPIES) - 1).alias("duplicates_dropped"),
         *failures,
+        *([total(F.col(bad(MALFORMED)).cast("int")).alias(f"{MALFORMED}_dropped")] * malformed),
         total(F.col(KEPT).cast("int")).alias("final_rows"),
     ]
 
@@ -44,11 +47,14 @@ def cleaning_report(
     drift: tuple[Sequence[str], Sequence[str]] | None = None,
 ) -> DataFrame:
     """One row, or one per value of `by`. Counts are summed in every task before the shuffle, so
-    a key that holds most rows costs no more than another.
+    a key that holds most rows costs no more than another. Tables that may hold malformed records
+    get a counter for them: a row that failed nothing else is still accounted for.
 
     `drift` adds the (missing, unexpected) column names as arrays.
     """
-    report = flagged.groupBy(*by).agg(*report_aggregates(contract))
+    keys = [F.col(ROW)[c].alias(c) for c in by]
+    counters = report_aggregates(contract, bad(MALFORMED) in flagged.columns)
+    report = flagged.groupBy(*keys).agg(*counters)
     if drift is None:
         return report
     names = [F.array(*map(F.lit, side)).cast("array<string>") for side in drift]

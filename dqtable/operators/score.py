@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 LOW_BELOW = 0.10
 MEDIUM_UP_TO = 0.30
 DEFAULT_MAX_DROP_RATE = 0.5
-DEFAULT_MAX_INVALID_EMAILS = 1000
+# Counters that are watched without a table of limits; None is no limit.
+DEFAULT_LIMITS = {"emails": 1000, "phones": None}
 EXCEEDED, OK = "EXCEEDED", "OK"
 
 
@@ -62,36 +64,53 @@ def alert(value: Column, limit: Column) -> Column:
     return F.when(limit.isNotNull(), F.when(value > limit, EXCEEDED).otherwise(OK))
 
 
+def strictest(thresholds: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row per key: the smallest of its limits, and the first of its recipients by name."""
+    limits = [c for c in thresholds.columns if c not in by]
+    return thresholds.groupBy(*by).agg(*(F.min(c).alias(c) for c in limits))
+
+
+def counted(report: DataFrame) -> list[str]:
+    """Labels of the failure counters of a report, as in `invalid_<label>_dropped`."""
+    pattern = re.compile(r"invalid_(\w+)_dropped")
+    return [m[1] for c in report.columns if (m := pattern.fullmatch(c))]
+
+
 def alerts(
     scored: DataFrame, thresholds: DataFrame | None = None, by: Sequence[str] = ("client_id",)
 ) -> DataFrame:
     """Add limits and alert states, from a table of limits per key or from the defaults.
 
+    A counter of the report is watched if it has a default limit or the table has a column
+    `max_invalid_<label>` for it; limits on counters that the report lacks are ignored. A key that
+    occurs in several rows of the table is held to the strictest limits.
+
     The join carries no broadcast hint: report and limits have one row per key, so their sizes
     grow with the number of keys, and Spark broadcasts the limits only while their size allows.
     """
-    wanted = {
-        "max_drop_rate": ("double", DEFAULT_MAX_DROP_RATE),
-        "max_invalid_emails": ("long", DEFAULT_MAX_INVALID_EMAILS),
-        "max_invalid_phones": ("long", None),
-        "recipient": ("string", None),
-    }
-    joined = scored if thresholds is None else scored.join(thresholds, list(by), "left")
+    given = thresholds.columns if thresholds is not None else []
+    labels = [
+        label
+        for label in counted(scored)
+        if label in DEFAULT_LIMITS or f"max_invalid_{label}" in given
+    ]
+    wanted = {"max_drop_rate": ("double", DEFAULT_MAX_DROP_RATE)}
+    wanted |= {f"max_invalid_{x}": ("long", DEFAULT_LIMITS.get(x)) for x in labels}
+    wanted |= {"recipient": ("string", None)}
+    joined = scored
+    if thresholds is not None:
+        used = strictest(thresholds, by).select(*by, *(c for c in wanted if c in given))
+        joined = scored.join(used, list(by), "left")
     limited = joined.withColumns(
         {
-            name: F.coalesce(F.col(name) if name in joined.columns else F.lit(None), F.lit(default))
+            name: F.coalesce(F.col(name) if name in given else F.lit(None), F.lit(default))
             .cast(kind)
             for name, (kind, default) in wanted.items()
         }
     )
-    return limited.withColumns(
-        {
-            "drop_rate_alert": alert(F.col("drop_rate"), F.col("max_drop_rate")),
-            "invalid_emails_alert": alert(
-                F.col("invalid_emails_dropped"), F.col("max_invalid_emails")
-            ),
-            "invalid_phones_alert": alert(
-                F.col("invalid_phones_dropped"), F.col("max_invalid_phones")
-            ),
-        }
-    )
+    states = {"drop_rate_alert": alert(F.col("drop_rate"), F.col("max_drop_rate"))}
+    states |= {
+        f"invalid_{x}_alert": alert(F.col(f"invalid_{x}_dropped"), F.col(f"max_invalid_{x}"))
+        for x in labels
+    }
+    return limited.withColumns(states)

@@ -4,21 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dqtable.contract import TableContract
-from dqtable.operators.clean import COPIES, KEPT, RAW, REASONS, bad, flag_rows, value_columns
+from dqtable.operators.clean import COPIES, KEPT, MALFORMED, RAW, REASONS, ROW, bad, flag_rows
 from dqtable.operators.headers import normalize_headers, schema_diff
-from dqtable.operators.outbox import DEFAULT_TEMPLATE, outbox
+from dqtable.operators.outbox import DEFAULT_TEMPLATE, outbox, profile_values
 from dqtable.operators.profile import (
+    missing_of,
     numeric_columns,
+    profile_columns,
     profile_correlation,
-    profile_missing,
-    profile_stats,
-    profile_summary,
+    stats_of,
     stats_wide,
+    summary_of,
 )
 from dqtable.operators.report import REPORT_VERSION, cleaning_report
 from dqtable.operators.score import alerts, score
@@ -37,11 +39,10 @@ class WrittenRows:
     """The flagged rows of a run, as written. Each view reads its partition and columns only."""
 
     flagged: DataFrame
-    columns: tuple[str, ...]
 
     @property
     def clean(self) -> DataFrame:
-        return self.flagged.where(KEPT).select(*(F.col(f"`{c}`") for c in self.columns))
+        return self.flagged.where(KEPT).select(f"{ROW}.*")
 
     @property
     def rejects(self) -> DataFrame:
@@ -50,11 +51,11 @@ class WrittenRows:
 
 def write_rows(flagged: DataFrame, path: str) -> WrittenRows:
     """Write flagged rows partitioned by `kept`; raw values go with the rejects only."""
-    columns = tuple(value_columns(flagged))
-    flags = [c for c in flagged.columns if c == COPIES or c in {bad(x) for x in columns}]
+    fields = flagged.schema[ROW].dataType.names
+    known = {COPIES, bad(MALFORMED), *map(bad, fields)}
     halves = flagged.select(
-        *(F.col(f"`{c}`") for c in columns),
-        *flags,
+        ROW,
+        *(c for c in flagged.columns if c in known),
         F.when(~F.col(KEPT), F.col(RAW)).alias(RAW),
         REASONS,
         KEPT,
@@ -62,7 +63,7 @@ def write_rows(flagged: DataFrame, path: str) -> WrittenRows:
     halves.write.mode("overwrite").partitionBy(KEPT).parquet(path)
     # Read with the schema that was written: the partition column stays boolean, and a run that
     # kept no row at all is still a table.
-    return WrittenRows(flagged.sparkSession.read.schema(halves.schema).parquet(path), columns)
+    return WrittenRows(flagged.sparkSession.read.schema(halves.schema).parquet(path))
 
 
 def run_batch(
@@ -77,50 +78,59 @@ def run_batch(
     drop_duplicates: bool = True,
     client_name: str = "Customer",
     clean_csv: bool = False,
+    where: Column | str | None = None,
+    time: datetime | None = None,
 ) -> dict[str, str]:
     """Clean a table and write rows, report sheets, outbox and run record; returns the paths.
 
     `by` names the report keys; without any, the whole table is the delivery of `client_name`.
-    `clean_csv` also writes the kept rows as CSV.
+    `clean_csv` also writes the kept rows as CSV; `where` is a condition on delivered columns;
+    `time` goes to the run record (now, in UTC, if it is not given). A run over no rows at all is
+    an error; one that keeps none is not.
     """
     spark: SparkSession = df.sparkSession
+    time = time or datetime.now(UTC).replace(tzinfo=None)
     totals = Observation(f"counts_{run_id}")
-    flagged = observe_counts(flag_rows(df, contract, drop_duplicates), contract, totals)
+    flagged = flag_rows(df, contract, drop_duplicates, where)
     rows_path = run_path(path, "rows", run_id)
-    rows = write_rows(flagged, rows_path)
+    rows = write_rows(observe_counts(flagged, contract, totals), rows_path)
 
     drift = schema_diff(normalize_headers(df, contract), contract)
     report = cleaning_report(rows.flagged, contract, by, drift)
     if not by:
         by = ("client_id",)
         report = report.select(F.lit(client_name).alias(by[0]), "*")
-    paths = write_report({"report": report}, path, run_id)
-    alerted = alerts(score(spark.read.parquet(paths["report"])), thresholds, by)
     clean = rows.clean
-    numeric = numeric_columns(clean)
-    stats = profile_stats(clean)
+    paths = write_report({"report": report, "profile": profile_columns(clean)}, path, run_id)
+    written = check_not_empty(
+        spark.read.parquet(paths["report"]), "report", F.col("original_rows") > 0
+    )
+    paths |= write_report({"alerts": alerts(score(written), thresholds, by)}, path, run_id)
+    alerted = spark.read.parquet(paths["alerts"])
+    profile = spark.read.parquet(paths["profile"])
+    numeric, stats = numeric_columns(clean), stats_of(profile)
+    messages = {"REPORT_PATH": F.lit(paths["report"]), **profile_values(stats)}
+    counts = totals.get
+    record = spark.range(1).select(
+        F.lit(run_id).alias("run"),
+        F.lit(time).cast("timestamp_ntz").alias("time"),
+        F.lit(rows_path).alias("rows_path"),
+        F.lit(paths["report"]).alias("report_path"),
+        *(F.lit(counts[c]).cast("long").alias(c) for c in ("original_rows", "final_rows")),
+        F.lit(REPORT_VERSION).alias("version"),
+    )
     sheets = {
         "metadata": run_metadata(alerted, run_id, by),
-        "meta": profile_summary(clean),
-        "missing": profile_missing(clean),
+        "meta": summary_of(profile),
+        "missing": missing_of(profile),
         "statistics": stats_wide(stats, numeric) if numeric else stats,
         "correlation": profile_correlation(clean),
         "summary": run_summary(alerted, by),
-        "outbox": outbox(
-            alerted, template, by[0], extra={"REPORT_PATH": F.lit(paths["report"])}
-        ),
+        "outbox": outbox(alerted, template, by[0], extra=messages),
+        "runs": score(record),
     }
     paths |= write_report(sheets, path, run_id)
     if clean_csv:
         paths["clean_csv"] = run_path(path, "clean_csv", run_id)
         write_csv(clean, paths["clean_csv"])
-    counts = totals.get
-    record = spark.range(1).select(
-        F.lit(run_id).alias("run"),
-        F.lit(rows_path).alias("rows_path"),
-        *(F.lit(counts[c]).cast("long").alias(c) for c in ("original_rows", "final_rows")),
-        F.lit(REPORT_VERSION).alias("version"),
-    )
-    paths |= write_report({"runs": score(record)}, path, run_id)
-    check_not_empty(spark.read.parquet(paths["runs"]), "runs")
     return {"rows": rows_path, **paths}

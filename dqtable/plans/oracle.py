@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dqtable.operators.outbox import SUBJECT_HIGH, SUBJECT_LOW, SUBJECT_MEDIUM
 from dqtable.plans.people import COLUMNS, PEOPLE_SQL
 
 COLS = ", ".join(COLUMNS)
@@ -77,7 +76,15 @@ from (select *, 1 - final_rows::double / original_rows::double as drop_rate from
 
 BY_CLIENT = scored(f"select client_id, {COUNTERS} from flagged group by client_id")
 
-ALERTED = f"""select r.*,
+LIMITS = """(
+  values ('AUTOMOBILE', 0.9::double, 10::bigint, 100::bigint, 'automobile@example.com'),
+         ('BUILDING', 0.5::double, null, null, 'building@example.com'),
+         ('MACHINERY', null, 100::bigint, 50::bigint, 'machinery@example.com')
+) t(client_id, max_drop_rate, max_invalid_emails, max_invalid_phones, recipient)"""
+
+
+def alerted(report: str) -> str:
+    return f"""select r.*,
   coalesce(t.max_drop_rate, 0.5::double) as max_drop_rate,
   coalesce(t.max_invalid_emails, 1000::bigint) as max_invalid_emails,
   t.max_invalid_phones, t.recipient,
@@ -88,12 +95,36 @@ ALERTED = f"""select r.*,
   case when t.max_invalid_phones is null then null
        when invalid_phones_dropped > t.max_invalid_phones then 'EXCEEDED' else 'OK' end
     as invalid_phones_alert
-from ({BY_CLIENT}) r left join (
-  values ('AUTOMOBILE', 0.9::double, 10::bigint, 100::bigint, 'automobile@example.com'),
-         ('BUILDING', 0.5::double, null, null, 'building@example.com'),
-         ('MACHINERY', null, 100::bigint, 50::bigint, 'machinery@example.com')
-) t(client_id, max_drop_rate, max_invalid_emails, max_invalid_phones, recipient)
-on r.client_id = t.client_id"""
+from ({report}) r left join {LIMITS} on r.client_id = t.client_id"""
+
+
+ALERTED = alerted(BY_CLIENT)
+
+SUBJECT = """case severity
+  when 'HIGH' then '[ACTION REQUIRED] Data Quality Alert: High Drop Rate'
+  when 'MEDIUM' then '[NOTICE] Data Quality Report: Moderate Issues'
+  else 'Data Quality Report: Clean Run' end"""
+
+# Copies come in a later delivery, so no delivery holds any.
+DELIVERED = """delivered as (
+  select 1 as d, * replace (1 as copies) from flagged
+  union all select 2 as d, * replace (1 as copies) from flagged where copies = 2
+)"""
+
+BY_NATION = """select c_nationkey, count(*) as original_rows, 0::bigint as duplicates_dropped,
+  count(*) filter (c_acctbal < 0) as invalid_numbers_dropped,
+  count(*) filter (c_acctbal >= 0) as final_rows from customer group by c_nationkey"""
+
+# Every token as text, then three fields that are none.
+TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+NO_TOKENS = (" NA", "n/A", "x")
+ALIASES = {
+    "comments": "notes", "date": "date_joined", "dept": "department", "division": "department",
+    "joindate": "date_joined", "joiningdate": "date_joined", "remarks": "notes",
+}
 
 SUMMARY = (
     ("Rows Loaded", "original_rows"),
@@ -124,6 +155,56 @@ def key_values(pairs: tuple[tuple[str, str], ...]) -> str:
     return f"{WITH}, a as ({ALERTED}) {rows}"
 
 
+def cells(sheet: str, source: str, key: str, values: dict[str, str]) -> str:
+    return " union all ".join(
+        f"select '{sheet}' as sheet, {key} as key, '{item}' as item,"
+        f" cast({value} as varchar) as value from {source}"
+        for item, value in values.items()
+    )
+
+
+def every_sheet() -> str:
+    counters = ("original_rows", "duplicates_dropped", "invalid_emails_dropped",
+                "invalid_phones_dropped", "invalid_numbers_dropped", "invalid_dates_dropped",
+                "final_rows")
+    drift = {"missing_required_columns": "''", "extra_columns": "''"}
+    absent = ("position", "location", "status", "manager", "dob", "gender", "contract_type",
+              "last_updated")
+    run = "(values ('timestamp', 'r1')) v(k, x)"
+    metadata = dict(METADATA) | {"timestamp": f"(select x from {run})"}
+    parts = [
+        cells("report", "a", "client_id", {c: c for c in counters} | drift),
+        cells("metadata", "a", "client_id", metadata),
+        cells("summary", "a", "client_id", dict(SUMMARY)),
+        cells("meta", "c", "''", {"rows": "count(*)", "columns": "max(17)"}),
+        *(cells("missing", "c", f"'{c}'", {"missing": "count(*)"}) for c in absent),
+        *(
+            f"select * from ({cells('missing', 'c', repr(c), {'missing': f'count(*) - count({c})'})})"
+            " where value <> '0'"
+            for c in ("department", "notes")
+        ),
+        *(
+            cells("statistics", "c", f"'{label}'", {"salary": f"round({call}(salary))::bigint"})
+            for label, call in (("mean", "avg"), ("min", "min"), ("max", "max"), ("sum", "sum"))
+        ),
+        cells(
+            "outbox",
+            "a",
+            "client_id",
+            {"subject": SUBJECT, "body": "'[] [] ' || severity || ' ' || original_rows"},
+        ),
+        cells("runs", "t", "'r1'", {"rows": "original_rows", "label": "drop_rate_pct"}),
+    ]
+    total = scored(
+        "select cast(sum(copies) as bigint) as original_rows,"
+        " count(*) filter (kept) as final_rows from flagged"
+    )
+    return (
+        f"{WITH}, a as ({ALERTED}), c as (select {CLEAN} from flagged where kept), t as ({total}) "
+        + " union all ".join(f"select * from ({part})" for part in parts)
+    )
+
+
 BODY = (
     "'Dear ' || client_id || ',' || chr(10) || chr(10) || "
     "'your weekly data quality report is ready.' || chr(10) || "
@@ -154,14 +235,14 @@ def stats_wide(name: str, columns: tuple[str, ...]) -> str:
     )
 
 
-def correlation(source: str, columns: tuple[str, ...]) -> str:
+def correlation(source: str, columns: tuple[str, ...], digits: int = 9) -> str:
     def r(a: str, b: str) -> str:
         value = f"corr({a}::double, {b}::double)"
         constant = " or ".join(
             f"min({x}) filter ({y} is not null) = max({x}) filter ({y} is not null)"
             for x, y in ((a, b), (b, a))
         )
-        value = "1.0::double" if a == b else f"round({value}, 9)"
+        value = "1.0::double" if a == b else f"round({value}, {digits})"
         return f"case when {constant} then null else {value} end"
 
     return " union all ".join(
@@ -188,7 +269,11 @@ ORACLE: dict[str, str] = {
        when l_linenumber = 5 then floor(l_extendedprice) * 100
        else round(l_extendedprice, 2) end as number
 from lineitem""",
-    "date_clean": dirty(f"id, {DATE} as date"),
+    "date_clean": f"""{WITH}, days as (
+  select id, date_joined from dirty union all
+  select id, case when date_joined like '%/%' then regexp_replace(date_joined, '/20([0-9][0-9])$', '/30\\1')
+    else regexp_replace(date_joined, '^20', '16') end from dirty
+) select id, {DATE} as date from days""",
     "date_shapes": """select o_orderkey,
   case when o_orderpriority like '3%' then date_trunc('minute', o_orderdate)
        else date_trunc('day', o_orderdate)::timestamp end as date
@@ -199,6 +284,19 @@ from orders""",
     "null_tokens": dirty(
         "id, case when salary not in ('NaN', '') then salary end as salary, department"
     ),
+    "null_tokens_all": "select c_custkey, case c_custkey % 22 "
+    + " ".join(f"when {19 + i} then '{t}'" for i, t in enumerate(NO_TOKENS))
+    + f" end as text from customer -- {len(TOKENS)} tokens, {len(NO_TOKENS)} others",
+    "sql_functions": dirty(
+        f"id, {EMAIL} as email, {PHONE} as phone, {number('salary')} as salary,"
+        f" {DATE} as date_joined, {text('department')} as department"
+    ),
+    "header_aliases": " union all ".join(
+        f"select c_custkey as id, '{alias}' as alias, c_name as value from customer"
+        for alias in ALIASES
+        for _ in range(2)
+    ),
+    "required_columns": dirty("id, date_joined, department, notes, email"),
     "header_alias_conform": dirty(f"{COLS}, {OPTIONAL_NULLS}"),
     "schema_drift_report": f"""{WITH}, d as (
   select client_id, id, name, email, salary, date_joined, department, notes, count(*) as copies
@@ -225,23 +323,43 @@ select s_suppkey as id, s_name as name, s_acctbal as salary, 'supplier' as sourc
     {DATE} as c_date from dirty
 ) where c_email is not null and c_phone is not null and c_salary is not null
   and c_date is not null""",
-    "rejects": f"""{WITH} select client_id, id, name, email, phone,
-  case when salary <> 'NaN' then salary end as salary, date_joined, department, notes,
+    "rejects": f"""{WITH} select client_id, id, name, email, phone, salary, date_joined,
+  department, notes,
   concat_ws(',', case when bad_email then 'email' end, case when bad_phone then 'phone' end,
     case when bad_salary then 'salary' end, case when bad_date then 'date_joined' end)
     as reject_reasons
 from flagged where not kept""",
     "cleaning_report": f"{WITH} {scored(f'select {COUNTERS} from flagged')}",
     "cleaning_report_by_client": f"{WITH} {BY_CLIENT}",
-    "severity_by_nation": scored(
-        """select c_nationkey, count(*) as original_rows, 0::bigint as duplicates_dropped,
-  count(*) filter (c_acctbal < 0) as invalid_numbers_dropped,
-  count(*) filter (c_acctbal >= 0) as final_rows from customer group by c_nationkey"""
-    ),
+    "extra_columns_kept": f"""{WITH} select id, c_email as email, '_email ' || id as _email,
+  'copies ' || id as copies, 'kept ' || id as kept, 'raw ' || id as raw, 'row ' || id as row,
+  'bad_email ' || id as bad_email from flagged where kept""",
+    "empty_report": """select 0::bigint as original_rows, 0::bigint as duplicates_dropped,
+  0::bigint as invalid_emails_dropped, 0::bigint as invalid_phones_dropped,
+  0::bigint as invalid_numbers_dropped, 0::bigint as invalid_dates_dropped,
+  0::bigint as final_rows, null::double as drop_rate, null::varchar as drop_rate_pct,
+  null::varchar as severity""",
+    "malformed_report": """select count(*) as original_rows, 0::bigint as duplicates_dropped,
+  0::bigint as invalid_emails_dropped,
+  count(*) filter (c_custkey % 7 <> 0 and c_custkey % 5 <> 0 and c_custkey % 3 = 0)
+    as invalid_phones_dropped,
+  count(*) filter (c_custkey % 7 = 0 or c_custkey % 5 = 0) as malformed_dropped,
+  count(*) filter (c_custkey % 7 <> 0 and c_custkey % 5 <> 0 and c_custkey % 3 <> 0)
+    as final_rows
+from customer""",
+    "severity_by_nation": scored(BY_NATION),
+    "nation_alerts": f"""select r.*, coalesce(t.rate, 0.5::double) as max_drop_rate,
+  t.numbers as max_invalid_numbers, t.recipient,
+  case when drop_rate > coalesce(t.rate, 0.5::double) then 'EXCEEDED' else 'OK' end
+    as drop_rate_alert,
+  case when t.numbers is null then null when invalid_numbers_dropped > t.numbers then 'EXCEEDED'
+       else 'OK' end as invalid_numbers_alert
+from ({scored(BY_NATION)}) r left join (
+  values (0, 0.01::double, 0::bigint, 'zero@example.com'),
+         (1, 0.2::double, 100000::bigint, 'one@example.com'), (2, null, 1::bigint, null)
+) t(c_nationkey, rate, numbers, recipient) on r.c_nationkey = t.c_nationkey""",
     "threshold_alerts": f"{WITH} {ALERTED}",
-    "alert_outbox": f"""{WITH} select client_id, recipient,
-  case severity when 'HIGH' then '{SUBJECT_HIGH}' when 'MEDIUM' then '{SUBJECT_MEDIUM}'
-       else '{SUBJECT_LOW}' end as subject,
+    "alert_outbox": f"""{WITH} select client_id, recipient, {SUBJECT} as subject,
   {BODY} as body, severity, drop_rate_alert, invalid_emails_alert, invalid_phones_alert
 from ({ALERTED})""",
     "summary_sheet": key_values(SUMMARY),
@@ -260,20 +378,51 @@ where rows > present""",
     "profile_stats_orders": stats("orders", ORDERS),
     "profile_stats_events": stats("events", ("value", "user_id")),
     "profile_stats_wide": stats_wide("lineitem", LINEITEM),
+    "profile_stats_exact": " union all ".join(
+        f"select '{call}' as statistic, '{name}' as \"column\","
+        f" cast(cast({call}({value}) as decimal(38, 2)) as varchar) as exact from lineitem"
+        for call in ("min", "max", "sum")
+        for name, value in (
+            ("order_key", "l_orderkey + 9007199254740993"),
+            ("part_key", "l_partkey - 1152921504606846976"),
+            ("price", "cast(l_extendedprice as decimal(15, 2))"),
+        )
+    ),
+    "profile_empty": " union all ".join(
+        f"select '{part}' as part, 0::bigint as \"values\""
+        for part in ("summary", "missing", "statistics", "correlation")
+    ),
     "profile_correlation": correlation("lineitem", LINEITEM),
+    "profile_correlation_wide": f"""with w as (select {", ".join(LINEITEM)},
+  case when l_linenumber <> 2 then l_quantity end as gap_quantity,
+  case when l_linenumber > 3 then l_discount end as gap_discount,
+  l_tax + l_discount as charges, l_partkey + 1000000 as far_key,
+  l_quantity * -2 as negative, sqrt(l_extendedprice) as root from lineitem) """
+    + correlation(
+        "w",
+        (*LINEITEM, "gap_quantity", "gap_discount", "charges", "far_key", "negative", "root"),
+        7,
+    ),
+    "csv_encoding": """select c_custkey::varchar as id, 'é ü ' || c_name || ' "ß", ñ' as name
+from customer""",
     "profile_correlation_gaps": "with e as (select event_id, value,"
     " case when event_type <> 'click' then user_id end as user_id, 0.1::double as constant"
     " from events) " + correlation("e", ("event_id", "value", "user_id", "constant")),
     "csv_roundtrip_clean": f"{WITH} select {CLEAN} from flagged where kept",
-    "report_tables": f"""{WITH} select client_id, {COUNTERS}, '' as missing_required_columns,
-  '' as extra_columns from flagged group by client_id""",
-    "run_record": f"""{WITH} select 'r1' as run, * from ({scored(
+    "report_tables": every_sheet(),
+    "run_record": f"""{WITH} select 'r1' as run, timestamp '2024-01-05 10:30:00' as time,
+  'report/run_id=r1' as report_path, * from ({scored(
         '''select cast(sum(copies) as bigint) as original_rows,
   count(*) filter (kept) as final_rows from flagged'''
     )})""",
-    # Copies come in a later delivery, so no delivery holds any.
-    "incremental_clean": f"""{WITH}, again as (
-  select * replace (1 as copies) from flagged
-  union all select * replace (1 as copies) from flagged where copies = 2
-) {scored(f'select client_id, {COUNTERS} from again group by client_id')}""",
+    "checked_report": f"""{WITH} select client_id, cast(sum(copies) as bigint) as original_rows,
+  0::bigint as final_rows from flagged group by client_id""",
+    "incremental_clean": f"""{WITH}, {DELIVERED}
+{scored(f'select client_id, {COUNTERS}, 0::bigint as malformed_dropped from delivered group by client_id')}""",
+    "incremental_outbox": f"""{WITH}, {DELIVERED} select client_id, recipient,
+  {SUBJECT} as subject, client_id || ' ' || original_rows || ' ' || final_rows || ' []' as body,
+  drop_rate_alert
+from ({alerted(scored(f'select d, client_id, {COUNTERS} from delivered group by d, client_id'))})""",
+    "incremental_runs": f"""{WITH}, {DELIVERED} select original_rows, final_rows, severity
+from ({scored(f'select d, {COUNTERS} from delivered group by d')})""",
 }

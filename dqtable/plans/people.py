@@ -104,11 +104,22 @@ def drifted_people(spark: SparkSession, sf_dir: str, without: tuple[str, ...] =
     return renamed.toDF(*names).withColumn("badge", F.lit("B"))
 
 
+def nation_limits(spark: SparkSession) -> DataFrame:
+    """Limits per nation for the customer contract."""
+    return spark.sql(
+        """select * from values
+        (0L, 0.01D, 0L, 'zero@example.com'), (1L, 0.5D, 100000L, 'one@example.com'),
+        (1L, 0.2D, null, 'one@example.com'), (2L, null, 1L, null)
+        as t(c_nationkey, max_drop_rate, max_invalid_numbers, recipient)"""
+    )
+
+
 def thresholds(spark: SparkSession) -> DataFrame:
-    """Limits for three clients; the others run on the defaults."""
+    """Limits for three clients, one of them twice; the others run on the defaults."""
     return spark.sql(
         """select * from values
-        ('AUTOMOBILE', 0.9D, 10L, 100L, 'automobile@example.com'),
+        ('AUTOMOBILE', 0.9D, 10L, null, 'automobile@example.com'),
+        ('AUTOMOBILE', 0.95D, 2000L, 100L, 'second@example.com'),
         ('BUILDING', 0.5D, null, null, 'building@example.com'),
         ('MACHINERY', null, 100L, 50L, 'machinery@example.com')
         as t(client_id, max_drop_rate, max_invalid_emails, max_invalid_phones, recipient)"""

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dqtable.contract import PEOPLE, Rule
+from dqtable.contract import PEOPLE, Rule, TableContract
 from dqtable.functions.apply import apply_rules
 from dqtable.functions.rules import validate_email, validate_phone
-from dqtable.functions.text import clean_text, null_tokens
+from dqtable.functions.sql import register_functions
+from dqtable.functions.text import NULL_TOKENS, clean_text, null_tokens
 from dqtable.operators.clean import (
     bad,
     clean_rows,
@@ -26,6 +28,7 @@ from dqtable.operators.outbox import outbox
 from dqtable.operators.profile import (
     numeric_columns,
     profile_correlation,
+    profile_exact,
     profile_missing,
     profile_stats,
     profile_summary,
@@ -41,11 +44,12 @@ from dqtable.plans.people import (
     PEOPLE_BY_CLIENT,
     dirty_people,
     drifted_people,
+    nation_limits,
     people_with_copies,
     table,
     thresholds,
 )
-from dqtable.sinks.tables import shared_folder, write_csv
+from dqtable.sinks.tables import check_not_empty, shared_folder, write_csv
 from dqtable.sources.csv import load_csv, stream_csv
 from dqtable.sources.tables import union_sources
 from dqtable.streaming.incremental import clean_incremental
@@ -53,12 +57,6 @@ from dqtable.streaming.incremental import clean_incremental
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _folder(spark: SparkSession) -> str:
-    """Shared folder of the cluster; a local one only where none is named (local runs)."""
-    local = spark.sparkContext.master.startswith("local")
-    return shared_folder(spark, tempfile.gettempdir() if local else None)
-
-
 def _rule(kind: str, column: str, target: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         people = dirty_people(spark, sf_dir).select("id", column)
@@ -87,6 +85,36 @@ def null_token_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return people.select("id", *(null_tokens(F.col(c)).alias(c) for c in ("salary", "department")))
 
 
+def every_null_token(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each token, padded ones and ordinary text, by customer."""
+    tokens = [F.lit(t) for t in (*NULL_TOKENS, " NA", "n/A", "x")]
+    key = F.col("c_custkey")
+    text = F.get(F.array(*tokens), (key % len(tokens)).cast("int"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", text.alias("text"))
+    return customers.select("c_custkey", null_tokens(F.col("text")).alias("text"))
+
+
+def date_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates as delivered, and the same days in other centuries: no range unless one is asked for."""
+    people = dirty_people(spark, sf_dir).select("id", "date_joined")
+    early = F.regexp_replace("date_joined", "^20", "16")
+    late = F.regexp_replace("date_joined", "/20([0-9]{2})$", "/30$1")
+    other = F.when(F.col("date_joined").contains("/"), late).otherwise(early)
+    people = people.unionByName(people.select("id", other.alias("date_joined")))
+    return apply_rules(people, {"date": ("date_joined", Rule("date"))}).select("id", "date")
+
+
+def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules as SQL functions over the people table."""
+    register_functions(spark)
+    return spark.sql(
+        """select id, dq_fix_email(email) as email, dq_normalize_phone(phone) as phone,
+          dq_clean_numeric(salary) as salary, dq_clean_date(date_joined) as date_joined,
+          dq_clean_text(department) as department from {people}""",
+        people=dirty_people(spark, sf_dir),
+    )
+
+
 def number_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices written in several ways and read back."""
     price = F.format_string("%.2f", F.col("l_extendedprice"))
@@ -133,6 +161,29 @@ def header_alias_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(normalize_headers(drifted, PEOPLE_BY_CLIENT), PEOPLE_BY_CLIENT)
 
 
+def header_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every alias of the contract, in several spellings, as the header of one column."""
+    customers = table(spark, sf_dir, "customer")
+    parts = []
+    for alias, target in sorted(PEOPLE.aliases.items()):
+        for header in (alias, f" {alias.title()} "):
+            named = customers.select(F.col("c_custkey").alias("ID"), F.col("c_name").alias(header))
+            conformed = conform(normalize_headers(named, PEOPLE), PEOPLE)
+            parts.append(
+                conformed.select("id", F.lit(alias).alias("alias"), F.col(target).alias("value"))
+            )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def required_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Required names written as headers are, with blanks, capitals and aliases."""
+    path = shared_folder(spark)
+    write_csv(drifted_people(spark, sf_dir), path)
+    names = ["Date Joined", " ID", "Dept", "Remarks", "email"]
+    people = load_csv(spark, path, contract=PEOPLE_BY_CLIENT, required=names)
+    return people.select("id", "date_joined", "department", "notes", "email")
+
+
 def schema_drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table without phones and with an unexpected column: reported, not silently lost."""
     drifted = drifted_people(spark, sf_dir, without=("phone",))
@@ -183,7 +234,7 @@ def all_rows_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def invalid_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = _flagged(spark, sf_dir)
-    return flagged.select("id", *(bad(c) for c in PEOPLE.rules), "kept", "copies")
+    return flagged.select("row.id", *(bad(c) for c in PEOPLE.rules), "kept", "copies")
 
 
 def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,6 +242,46 @@ def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*COLUMNS, F.array_join("reject_reasons", ",").alias("reject_reasons"))
 
 
+def extra_columns_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of the table that bear names the cleaner uses itself."""
+    contract = replace(PEOPLE_BY_CLIENT, extra="keep", optional=())
+    names = ("_email", "copies", "kept", "raw", "row", "bad_email")
+    people = dirty_people(spark, sf_dir).drop("department", "notes")
+    people = people.withColumns({n: F.concat(F.lit(f"{n} "), "id") for n in names})
+    return clean_rows(flag_rows(people, contract)).select("id", "email", *names)
+
+
+def empty_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a table without rows: zeros, and nothing to divide by."""
+    nobody = dirty_people(spark, sf_dir).where("client_id = 'none'")
+    return score(cleaning_report(flag_rows(nobody, PEOPLE_BY_CLIENT), PEOPLE_BY_CLIENT))
+
+
+def malformed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV lines with a field too many or an open quote, counted beside the other failures."""
+    path = shared_folder(spark)
+    key = F.col("c_custkey")
+    line = F.concat_ws(
+        ",",
+        key.cast("string"),
+        F.when(key % 7 == 0, F.concat(F.lit('"open '), "c_name")).otherwise(F.col("c_name")),
+        F.when(key % 5 == 0, F.lit("x@y.zz,surplus")).otherwise(F.lit("x@y.zz")),
+        F.when(key % 3 == 0, F.lit("12")).otherwise(F.lit('"+254712000000"')),
+        F.lit('5" pipe'),
+    )
+    rows = table(spark, sf_dir, "customer").select(line.alias("value"))
+    # lines as single fields, below the header line
+    named = rows.withColumnRenamed("value", "id,name,email,phone,notes")
+    writer = named.write.option("header", True).option("quote", "").option("escape", "")
+    writer.option("sep", "\x01").csv(path)
+    contract = TableContract(
+        required=("id", "name", "email", "phone", "notes"),
+        rules={"email": Rule("email"), "phone": Rule("phone")},
+    )
+    people = load_csv(spark, path, contract=contract, on_malformed="reject", null_tokens=False)
+    return cleaning_report(flag_rows(people, contract), contract)
+
+
 def report_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(cleaning_report(_flagged(spark, sf_dir), PEOPLE_BY_CLIENT))
 
@@ -212,6 +303,11 @@ def threshold_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _alerted(spark, sf_dir)
 
 
+def nation_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts of a contract without the rules of the people table."""
+    return alerts(severity_by_nation(spark, sf_dir), nation_limits(spark), ["c_nationkey"])
+
+
 def alert_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outbox(_alerted(spark, sf_dir))
 
@@ -224,10 +320,36 @@ def metadata_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_metadata(_alerted(spark, sf_dir), run_id="20240101_000000")
 
 
+def empty_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part of a profile without rows: no row in any of them."""
+    nothing = table(spark, sf_dir, "lineitem").where("l_orderkey < 0")
+    parts = {
+        "summary": profile_summary(nothing).select(F.col("row_count").cast("double").alias("value")),
+        "missing": profile_missing(nothing).select(F.col("missing").cast("double").alias("value")),
+        "statistics": profile_stats(nothing).select("value"),
+        "correlation": profile_correlation(nothing).select(F.col("corr").alias("value")),
+    }
+    counted = [
+        part.agg(F.count("value").alias("values")).select(F.lit(name).alias("part"), "values")
+        for name, part in parts.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def stats_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys beyond 2^53, where doubles skip numbers, and prices as decimals."""
+    lineitem = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") + F.lit(2**53 + 1)).alias("order_key"),
+        (F.col("l_partkey") - F.lit(2**60)).alias("part_key"),
+        F.col("l_extendedprice").cast("decimal(15,2)").alias("price"),
+    )
+    return profile_exact(lineitem).withColumn("exact", F.col("exact").cast("string"))
+
+
 def missing_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned columns of all distinct rows, kept or not."""
-    flagged = _flagged(spark, sf_dir)
-    return profile_missing(flagged.select(*COLUMNS))
+    rows = _flagged(spark, sf_dir).select("row.*")
+    return profile_missing(rows.select(*COLUMNS))
 
 
 def lineitem_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,48 +391,158 @@ def events_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(profile_correlation(events), 9)
 
 
+def wide_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fourteen columns, some with gaps, one far from zero."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    whole = F.col("l_linenumber")
+    lineitem = lineitem.select(
+        *numeric_columns(lineitem),
+        F.when(whole != 2, F.col("l_quantity")).alias("gap_quantity"),
+        F.when(whole > 3, F.col("l_discount")).alias("gap_discount"),
+        (F.col("l_tax") + F.col("l_discount")).alias("charges"),
+        (F.col("l_partkey") + F.lit(10**6)).alias("far_key"),
+        (F.col("l_quantity") * -2).alias("negative"),
+        F.sqrt("l_extendedprice").alias("root"),
+    )
+    return _rounded(profile_correlation(lineitem), 7)
+
+
+def csv_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names with letters outside ASCII, written and read in Latin-1."""
+    path = shared_folder(spark)
+    names = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("id"),
+        F.concat(F.lit("é ü "), "c_name", F.lit(' "ß", ñ')).alias("name"),
+    )
+    write_csv(names, path, encoding="ISO-8859-1")
+    return load_csv(spark, path, "ISO-8859-1")
+
+
 def csv_roundtrip_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """People written as CSV, read back as text and cleaned."""
-    path = _folder(spark)
+    path = shared_folder(spark)
     write_csv(dirty_people(spark, sf_dir), path)
-    people = load_csv(spark, path, contract=PEOPLE_BY_CLIENT)
+    people = load_csv(spark, path, contract=PEOPLE_BY_CLIENT, null_tokens=False)
     return clean_rows(flag_rows(people, PEOPLE_BY_CLIENT)).select(*COLUMNS)
 
 
+def _sheet(df: DataFrame, sheet: str, key: str | None, values: dict[str, str]) -> DataFrame:
+    """Cells of a sheet as text: (sheet, key, item, value)."""
+    cells = F.array(
+        *(
+            F.struct(F.lit(item).alias("item"), F.expr(value).cast("string").alias("value"))
+            for item, value in values.items()
+        )
+    )
+    name = F.col(key) if key else F.lit("")
+    return df.select(F.lit(sheet).alias("sheet"), name.cast("string").alias("key"), F.inline(cells))
+
+
 def report_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A whole run; the report sheet it wrote."""
-    people = dirty_people(spark, sf_dir)
+    """Every sheet of a whole run, cell by cell."""
+    template = "${missing_required_columns} ${extra_columns} ${SEVERITY} ${ROWS_LOADED}"
     paths = run_batch(
-        people, PEOPLE_BY_CLIENT, _folder(spark), "r1", thresholds=thresholds(spark)
+        dirty_people(spark, sf_dir),
+        PEOPLE_BY_CLIENT,
+        shared_folder(spark),
+        "r1",
+        thresholds=thresholds(spark),
+        template=template,
+    )
+    sheets = {name: spark.read.parquet(path) for name, path in paths.items() if name != "rows"}
+    counters = [c for c in sheets["report"].columns if c.endswith(("_rows", "_dropped"))]
+    drift = {c: f"array_join({c}, ',')" for c in ("missing_required_columns", "extra_columns")}
+    key = "client_id"
+    pairs = [
+        sheets[name].select(
+            F.lit(name).alias("sheet"), key, F.col("key").alias("item"), "value"
+        ).withColumnRenamed(key, "key")
+        for name in ("metadata", "summary")
+    ]
+    wide = sheets["statistics"]
+    return reduce(
+        DataFrame.unionByName,
+        [
+            _sheet(sheets["report"], "report", key, {c: c for c in counters} | drift),
+            *pairs,
+            _sheet(sheets["meta"], "meta", None, {"rows": "row_count", "columns": "column_count"}),
+            _sheet(sheets["missing"], "missing", "column", {"missing": "missing"}),
+            _sheet(wide, "statistics", "statistic", {"salary": "cast(round(salary) as bigint)"}),
+            _sheet(sheets["correlation"], "correlation", "col_a", {"corr": "corr"}),
+            _sheet(sheets["outbox"], "outbox", key, {"subject": "subject", "body": "body"}),
+            _sheet(sheets["runs"], "runs", "run", {"rows": "original_rows", "label": "drop_rate_pct"}),
+        ],
     )
-    lists = ("missing_required_columns", "extra_columns")
-    report = spark.read.parquet(paths["report"]).drop("cleaning_version")
-    return report.withColumns({c: F.array_join(c, ",") for c in lists})
 
 
 def run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The history row of a run; its counts come from the pass that wrote the rows."""
-    paths = run_batch(dirty_people(spark, sf_dir), PEOPLE_BY_CLIENT, _folder(spark), "r1")
+    paths = run_batch(
+        dirty_people(spark, sf_dir),
+        PEOPLE_BY_CLIENT,
+        shared_folder(spark),
+        "r1",
+        time=datetime(2024, 1, 5, 10, 30),
+    )
     record = spark.read.parquet(paths["runs"])
     return record.select(
-        "run", "original_rows", "final_rows", "drop_rate", "drop_rate_pct", "severity"
+        "run",
+        "time",
+        F.regexp_extract("report_path", "[^/]+/[^/]+$", 0).alias("report_path"),
+        "original_rows",
+        "final_rows",
+        "drop_rate",
+        "drop_rate_pct",
+        "severity",
     )
 
 
-def incremental_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two CSV deliveries: everyone, then the copies again. Summed reports per client."""
-    folder = _folder(spark)
+def checked_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report that was checked to hold rows, though none of them was kept."""
+    people = dirty_people(spark, sf_dir).withColumn("email", F.lit("none"))
+    paths = run_batch(people, PEOPLE_BY_CLIENT, shared_folder(spark), "r1")
+    report = check_not_empty(spark.read.parquet(paths["report"]), "report")
+    return report.select("client_id", "original_rows", "final_rows")
+
+
+def _deliveries(spark: SparkSession, sf_dir: str) -> str:
+    """Two CSV deliveries, everyone, then the copies again; each a whole run below the folder."""
+    folder = shared_folder(spark)
     people = people_with_copies(spark, sf_dir)
     for delivery in (people, people.where("copies > 1")):
         write_csv(delivery.select(*COLUMNS), f"{folder}/in", mode="append")
-        stream = stream_csv(spark, f"{folder}/in", list(COLUMNS), contract=PEOPLE_BY_CLIENT)
+        stream = stream_csv(
+            spark, f"{folder}/in", list(COLUMNS), contract=PEOPLE_BY_CLIENT, null_tokens=False
+        )
         clean_incremental(
-            stream, PEOPLE_BY_CLIENT, f"{folder}/out", f"{folder}/checkpoint"
+            stream,
+            PEOPLE_BY_CLIENT,
+            f"{folder}/out",
+            f"{folder}/checkpoint",
+            thresholds=thresholds(spark),
+            template="${CLIENT_NAME} ${ROWS_LOADED} ${ROWS_CLEANED} ${extra_columns}",
         ).awaitTermination()
-    reports = spark.read.parquet(f"{folder}/out/report")
+    return f"{folder}/out"
+
+
+def incremental_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summed reports of all deliveries per client."""
+    reports = spark.read.parquet(f"{_deliveries(spark, sf_dir)}/report")
     return score(sum_reports(reports, by=["client_id"]))
 
 
+def incremental_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages of each delivery."""
+    messages = spark.read.parquet(f"{_deliveries(spark, sf_dir)}/outbox")
+    return messages.select("client_id", "recipient", "subject", "body", "drop_rate_alert")
+
+
+def incremental_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record of each delivery."""
+    records = spark.read.parquet(f"{_deliveries(spark, sf_dir)}/runs")
+    return records.select("original_rows", "final_rows", "severity")
+
+
 QUERIES: dict[str, Query] = {
     "email_fix": _rule("email", "email", "fixed"),
     "email_valid": email_valid,
@@ -318,11 +550,15 @@ QUERIES: dict[str, Query] = {
     "phone_valid": phone_valid,
     "numeric_clean": _rule("number", "salary", "number"),
     "number_shapes": number_shapes,
-    "date_clean": _rule("date", "date_joined", "date"),
+    "date_clean": date_years,
     "date_shapes": date_shapes,
     "text_clean": text_clean,
     "null_tokens": null_token_columns,
+    "null_tokens_all": every_null_token,
+    "sql_functions": sql_functions,
     "header_alias_conform": header_alias_conform,
+    "header_aliases": header_aliases,
+    "required_columns": required_columns,
     "schema_drift_report": schema_drift_report,
     "multi_source_union": multi_source_union,
     "dedup_counts": dedup_people,
@@ -331,10 +567,14 @@ QUERIES: dict[str, Query] = {
     "clean_rows": people_clean_rows,
     "all_rows_clean": all_rows_clean,
     "rejects": rejects,
+    "extra_columns_kept": extra_columns_kept,
+    "empty_report": empty_report,
+    "malformed_report": malformed_report,
     "cleaning_report": report_total,
     "cleaning_report_by_client": report_by_client,
     "severity_by_nation": severity_by_nation,
     "threshold_alerts": threshold_alerts,
+    "nation_alerts": nation_alerts,
     "alert_outbox": alert_outbox,
     "summary_sheet": summary_sheet,
     "metadata_sheet": metadata_sheet,
@@ -344,10 +584,17 @@ QUERIES: dict[str, Query] = {
     "profile_stats_orders": _stats("orders"),
     "profile_stats_events": _stats("events", ["value", "user_id", "event_type"]),
     "profile_stats_wide": lineitem_stats_wide,
+    "profile_stats_exact": stats_exact,
+    "profile_empty": empty_profile,
     "profile_correlation": lineitem_correlation,
     "profile_correlation_gaps": events_correlation,
+    "profile_correlation_wide": wide_correlation,
+    "csv_encoding": csv_encoding,
     "csv_roundtrip_clean": csv_roundtrip_clean,
     "report_tables": report_tables,
     "run_record": run_record,
+    "checked_report": checked_report,
     "incremental_clean": incremental_clean,
+    "incremental_outbox": incremental_outbox,
+    "incremental_runs": incremental_runs,
 }

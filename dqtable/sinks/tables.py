@@ -9,20 +9,21 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from dqtable.contract import TableContract
 from dqtable.errors import EmptyResultError
+from dqtable.operators.clean import MALFORMED, bad
 from dqtable.operators.report import report_aggregates
 
 
-def shared_folder(spark: SparkSession, default: str | None = None) -> str:
-    """A new folder below the one the cluster names in `spark.checkpoint.dir`."""
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below the one the cluster names in `spark.checkpoint.dir`; where that is unset,
+    below the warehouse, which driver and executors share as well."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", default
+        "spark.checkpoint.dir", None
     )
-    if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir')}/work"
     return f"{base.rstrip('/')}/dqtable-{uuid.uuid4().hex}"
 
 
@@ -33,21 +34,24 @@ def run_path(path: str, table: str, run_id: str) -> str:
 def write_report(tables: Mapping[str, DataFrame], path: str, run_id: str) -> dict[str, str]:
     """One parquet directory per table below `run_id=`.
 
-    `rebalance` lets the adaptive planner size the files: one for a report of a few rows, many for
-    a large table; `coalesce(1)` would pull the work of the last stage into a single task.
+    The adaptive planner merges the small partitions of a shuffle, so a report of a few rows is one
+    file and a large one many.
     """
     written = {}
     for name, df in tables.items():
         written[name] = run_path(path, name, run_id)
-        df.hint("rebalance").write.mode("overwrite").parquet(written[name])
+        df.write.mode("overwrite").parquet(written[name])
     return written
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_csv(
+    df: DataFrame, path: str, mode: str = "overwrite", encoding: str = "UTF-8"
+) -> None:
     """CSV with header, quoting as `load_csv` reads it; blanks are kept."""
     (
         df.write.mode(mode)
         .option("header", True)
+        .option("encoding", encoding)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
@@ -55,9 +59,9 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     )
 
 
-def check_not_empty(df: DataFrame, name: str) -> DataFrame:
-    """The table itself; an error if it holds no row (reads one row at most)."""
-    if df.isEmpty():
+def check_not_empty(df: DataFrame, name: str, where: Column | None = None) -> DataFrame:
+    """The table itself; an error if it holds no row, or none that meets `where`."""
+    if (df if where is None else df.where(where)).isEmpty():
         raise EmptyResultError(f"{name} was written without rows")
     return df
 
@@ -70,4 +74,5 @@ def observe_counts(
     Exact only if no shuffle follows before the write: Spark then counts each finished write task
     once, while a repeated shuffle task would count again.
     """
-    return flagged.observe(observation, *report_aggregates(contract))
+    malformed = bad(MALFORMED) in flagged.columns
+    return flagged.observe(observation, *report_aggregates(contract, malformed))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,7 +11,14 @@ from pyspark.sql import types as T
 from dqtable.contract import CORRUPT, TableContract
 from dqtable.errors import ContractError
 from dqtable.operators.headers import normalize_headers, normalize_nulls, require_columns
-from dqtable.sources.tables import SOURCE
+from dqtable.sources.tables import SOURCE, tagged
+
+# A field that begins with a quote and is closed; what is left of a line may hold one that is not.
+QUOTED = r'(^|,)"(?:[^"]|"")*+"(?=,|\z)'
+UNCLOSED = r'(?:^|,)"'
+# A separator no text holds, so that the reader hands over whole lines.
+_NO_SEPARATOR = "\x01"
+_FILE = "_dq_file"
 
 
 def _options(encoding: str, multi_line: bool) -> dict[str, str]:
@@ -24,36 +33,58 @@ def _options(encoding: str, multi_line: bool) -> dict[str, str]:
     }
 
 
-def _header(spark: SparkSession, path: str, options: dict[str, str]) -> list[str]:
-    """Field names from the first record, read by the same parser."""
+def _line_options(encoding: str) -> dict[str, str]:
+    """Lines as single fields."""
+    return _options(encoding, False) | {"sep": _NO_SEPARATOR, "quote": "", "escape": ""}
+
+
+def _first(spark: SparkSession, path: str, options: dict[str, str]) -> list[str]:
+    """The fields of the first record, read by the same parser; a job over one row."""
     first = spark.read.options(**options).csv(path).first()
     if first is None:
         raise ContractError(f"no header in {path}")
-    names = [value if value is not None else f"unnamed_{i}" for i, value in enumerate(first)]
+    return list(first)
+
+
+def _names(fields: Sequence[str | None]) -> list[str]:
+    names = [value if value is not None else f"unnamed_{i}" for i, value in enumerate(fields)]
     repeated = sorted({n for n in names if names.count(n) > 1})
     if repeated:
         raise ContractError(f"headers that occur more than once: {repeated}")
     return names
 
 
-def has_quoted_newlines(spark: SparkSession, path: str) -> bool:
-    """Whether any record spans lines: then, and only then, a line holds an odd number of quotes."""
-    lines = spark.read.text(path)
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"')))
-    return bool(lines.agg(F.max(quotes % 2)).first()[0])
-
-
 def _too_many_fields(record: Column, width: int) -> Column:
     """Short records are filled with nulls and are fine; this tells them from long ones."""
-    outside_quotes = F.regexp_replace(record, '"[^"]*+"', "")
+    outside_quotes = F.when(record.contains('"'), F.regexp_replace(record, '"[^"]*+"', ""))
+    outside_quotes = outside_quotes.otherwise(record)
     commas = F.length(outside_quotes) - F.length(F.replace(outside_quotes, F.lit(",")))
     return F.coalesce(commas >= width, F.lit(False))
 
 
-def _as_text(reader, names: list[str], options: dict[str, str]):
+def _unclosed(line: Column) -> Column:
+    """Whether a field opens a quote that its line does not close. A quote within a field that does
+    not begin with one is a character like others."""
+    open_ = F.regexp_replace(line, QUOTED, "$1").rlike(UNCLOSED)
+    return F.coalesce(F.when(line.contains('"'), open_), F.lit(False))
+
+
+def _lines(reader, header: str, encoding: str):
+    """A reader of lines; Spark compares each file's first line with the header and drops it."""
+    schema = T.StructType([T.StructField(header, T.StringType())])
+    return (
+        reader.options(**_line_options(encoding))
+        .option("header", True)
+        .option("enforceSchema", False)
+        .schema(schema)
+    )
+
+
+def _records(reader, names: list[str], encoding: str):
+    """A reader of records that may span lines."""
     schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, CORRUPT)])
     return (
-        reader.options(**options)
+        reader.options(**_options(encoding, True))
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
@@ -64,22 +95,42 @@ def _as_text(reader, names: list[str], options: dict[str, str]):
     )
 
 
+def _split(lines: DataFrame, names: list[str], encoding: str, extra: Sequence[str]) -> DataFrame:
+    """Fields of each line, and the line itself where it is no row of the table."""
+    line = F.col(f"`{lines.columns[0].replace('`', '``')}`")
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+    ddl = ", ".join(f"{f.name} string" for f in schema)
+    parsed = F.from_csv(line, ddl, _options(encoding, False))
+    wrong = _too_many_fields(line, len(names)) | _unclosed(line)
+    rows = lines.select(parsed.alias("f"), F.when(wrong, line).alias("wrong"), *extra)
+    fields = [F.col(f"f.c{i}").alias(n) for i, n in enumerate(names)]
+    return rows.select(*fields, F.col("wrong").alias(CORRUPT), *extra)
+
+
 def _settle(
-    rows: DataFrame, width: int, on_malformed: str, contract: TableContract | None
+    rows: DataFrame, on_malformed: str, contract: TableContract | None, null_tokens: bool
 ) -> DataFrame:
-    """Deal with malformed records, then normalise headers and null tokens."""
+    """Deal with malformed records, then normalise headers and, if asked, null tokens."""
     if on_malformed not in ("error", "reject"):
         raise ValueError("on_malformed is 'error' or 'reject'")
-    too_many = _too_many_fields(F.col(CORRUPT), width)
+    if on_malformed == "error":
+        text = F.concat(
+            F.lit("too many fields, or a quote that is not closed (records that span lines need"),
+            F.lit(" multi_line=True): "),
+            F.col(CORRUPT),
+        )
+        fine = F.when(F.col(CORRUPT).isNotNull(), F.raise_error(text).cast("boolean"))
+        rows = rows.where(fine.otherwise(True)).drop(CORRUPT)
+    rows = normalize_headers(rows, contract)
+    return normalize_nulls(rows, contract or TableContract(required=())) if null_tokens else rows
+
+
+def _malformed(rows: DataFrame, width: int) -> DataFrame:
+    """Keep the record text of multi-line records only where they have too many fields."""
     # Spark refuses scans that need nothing but the record text, such as a count of the rows; the
     # mention of a field, which is never used as the text is there, makes them ordinary scans.
     record = F.coalesce(F.col(CORRUPT), F.col(f"`{rows.columns[0]}`"))
-    if on_malformed == "error":
-        complaint = F.raise_error(F.concat(F.lit("too many fields: "), record))
-        rows = rows.where(F.when(too_many, complaint.cast("boolean")).otherwise(True)).drop(CORRUPT)
-    else:
-        rows = rows.withColumn(CORRUPT, F.when(too_many, record))
-    return normalize_nulls(normalize_headers(rows, contract), contract or TableContract(required=()))
+    return rows.withColumn(CORRUPT, F.when(_too_many_fields(F.col(CORRUPT), width), record))
 
 
 def load_csv(
@@ -89,29 +140,42 @@ def load_csv(
     *,
     contract: TableContract | None = None,
     required: list[str] | None = None,
-    multi_line: bool | None = None,
+    multi_line: bool = False,
     on_malformed: str = "error",
-    with_source: bool = False,
+    with_source: bool | str = False,
+    null_tokens: bool = True,
 ) -> DataFrame:
     """A file, or a directory of files with the same header (a differing one is an error).
 
-    `multi_line`: records may span lines. Such files cannot be split, each is one task. None looks
-    first (one pass over the lines, itself split) and gives up splitting only if it must.
+    Files are split by lines. `multi_line`: records may span lines; then a file is one task, as it
+    is in UTF-16 and UTF-32. Without it, a line that leaves a quoted field open is malformed.
+
+    `on_malformed`: what to do with such lines and with records of too many fields: "error" fails
+    the job, "reject" keeps them, with their text in `_corrupt_record`, and `flag_rows` rejects them.
 
-    `on_malformed`: what to do with records of too many fields: "error" fails the job, "reject"
-    keeps them, with their text in `_corrupt_record`, and `flag_rows` rejects them.
+    `with_source`: add the path of the file a row comes from, as `source` or under the name given.
 
-    `with_source`: add the path of the file a row comes from as `source`.
+    `null_tokens`: read them as nulls. False leaves them to `flag_rows`, which then shows rejects
+    as they were delivered.
     """
-    if multi_line is None:
-        wide = encoding.upper().replace("-", "").startswith(("UTF16", "UTF32"))
-        multi_line = wide or has_quoted_newlines(spark, path)
-    names = _header(spark, path, _options(encoding, multi_line))
-    rows = _as_text(spark.read, names, _options(encoding, multi_line)).csv(path)
-    if with_source:
-        rows = rows.withColumn(SOURCE, F.col("_metadata.file_path"))
-    rows = _settle(rows, len(names), on_malformed, contract)
-    return require_columns(rows, required) if required else rows
+    multi_line = multi_line or encoding.upper().replace("-", "").startswith(("UTF16", "UTF32"))
+    tag = SOURCE if with_source is True else with_source
+    if multi_line:
+        names = _names(_first(spark, path, _options(encoding, True)))
+        rows = _records(spark.read, names, encoding).csv(path)
+        rows = tagged(rows, F.col("_metadata.file_path"), tag) if tag else rows
+        rows = _malformed(rows, len(names))
+    else:
+        header = _first(spark, path, _line_options(encoding))[0]
+        names = _names(_first(spark, path, _options(encoding, False)))
+        lines = _lines(spark.read, header, encoding).csv(path)
+        if tag:
+            lines = lines.withColumn(_FILE, F.col("_metadata.file_path"))
+        rows = _split(lines, names, encoding, [_FILE] if tag else [])
+        if tag:
+            rows = tagged(rows, F.col(_FILE), tag).drop(_FILE)
+    rows = _settle(rows, on_malformed, contract, null_tokens)
+    return require_columns(rows, required, contract) if required else rows
 
 
 def stream_csv(
@@ -121,15 +185,22 @@ def stream_csv(
     encoding: str = "UTF-8",
     *,
     contract: TableContract | None = None,
-    multi_line: bool = True,
-    on_malformed: str = "error",
+    multi_line: bool = False,
+    on_malformed: str = "reject",
     max_files: int | None = None,
+    null_tokens: bool = True,
 ) -> DataFrame:
     """CSV files as they are delivered to a directory, `max_files` per micro-batch if given.
 
-    A stream must know its columns beforehand: `names` are the headers every file has to carry.
+    A stream must know its columns beforehand: `names` are the headers every file has to carry,
+    unquoted. Malformed records are rejected unless asked otherwise: an error would stop all later
+    deliveries too.
     """
-    reader = _as_text(spark.readStream, names, _options(encoding, multi_line))
+    reader = spark.readStream
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return _settle(reader.csv(path), len(names), on_malformed, contract)
+    if multi_line:
+        rows = _malformed(_records(reader, names, encoding).csv(path), len(names))
+    else:
+        rows = _split(_lines(reader, ",".join(names), encoding).csv(path), names, encoding, [])
+    return _settle(rows, on_malformed, contract, null_tokens)

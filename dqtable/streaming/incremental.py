@@ -8,10 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from dqtable.contract import TableContract
-from dqtable.operators.clean import flag_rows
-from dqtable.operators.report import cleaning_report
-from dqtable.plans.batch import write_rows
-from dqtable.sinks.tables import write_report
+from dqtable.operators.outbox import DEFAULT_TEMPLATE
+from dqtable.plans.batch import run_batch
 
 
 def clean_incremental(
@@ -21,20 +19,32 @@ def clean_incremental(
     checkpoint: str,
     *,
     by: Sequence[str] = ("client_id",),
+    thresholds: DataFrame | None = None,
+    template: str = DEFAULT_TEMPLATE,
+    client_name: str = "Customer",
 ) -> StreamingQuery:
-    """Clean what has arrived since the last call, then stop (`availableNow`).
+    """Run what has arrived since the last call as `run_batch` does, then stop (`availableNow`).
 
-    The checkpoint hands out every file once. A micro-batch that is repeated after a failure has
-    the same number and replaces its own directories, so rows and reports end up there once.
-    Copies are dropped within a micro-batch, not across deliveries; add reports up with
+    Every micro-batch is a whole run: rows, report with drift, profile, alerts, messages and
+    record. The checkpoint hands out every file once. A micro-batch that is repeated after a
+    failure has the same number and replaces its own directories, so rows and reports end up there
+    once. Copies are dropped within a micro-batch, not across deliveries; add reports up with
     `sum_reports`.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        run_id = f"{batch_id:012d}"
-        flagged = flag_rows(batch, contract)
-        rows = write_rows(flagged, f"{path.rstrip('/')}/rows/run_id={run_id}")
-        write_report({"report": cleaning_report(rows.flagged, contract, by)}, path, run_id)
+        if batch.isEmpty():
+            return
+        run_batch(
+            batch,
+            contract,
+            path,
+            f"{batch_id:012d}",
+            by=by,
+            thresholds=thresholds,
+            template=template,
+            client_name=client_name,
+        )
 
     return (
         stream.writeStream.foreachBatch(process)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from dqtable import (
     PEOPLE,
+    ContractError,
     Rule,
     TableContract,
     clean_data,
@@ -17,6 +18,7 @@ from dqtable import (
     cleaning_report,
     dedup_counts,
     flag_rows,
+    load_csv,
     reject_rows,
     sum_reports,
 )
@@ -120,6 +122,59 @@ def test_rules_that_share_a_label_share_a_counter(spark):
     assert cleaning_report(flag_rows(df, contract), contract).first().invalid_numbers_dropped == 3
 
 
+def test_names_of_the_cleaner_in_the_table(spark):
+    """Columns that are called as ours are kept as they are; where a result needs the name, an error."""
+    names = ("_email", "__email", "copies", "kept", "raw", "row", "bad_email")
+    contract = TableContract(required=("email",), rules={"email": Rule("email")}, extra="keep")
+    df = spark.createDataFrame(
+        [(" A@x.co", *names), ("none", *names), ("none", *names)], ["email", *names]
+    )
+    flagged = flag_rows(df, contract)
+    kept, rejected = clean_rows(flagged).first(), reject_rows(flagged).first()
+    assert kept.email == "a@x.co" and rejected.email == "none"
+    assert all(kept[n] == n and rejected[n] == n for n in names)
+    assert flagged.agg(F.sum("copies")).first()[0] == 3
+    taken = flag_rows(df.withColumnRenamed("raw", "reject_reasons"), contract)
+    with pytest.raises(ContractError, match="reject_reasons"):
+        reject_rows(taken)
+    with pytest.raises(ContractError, match="copies"):
+        dedup_counts(df)
+
+
+def test_rejects_are_as_delivered(spark):
+    contract = TableContract(required=("email", "salary"), rules={"email": Rule("email"), "salary": Rule("number")})
+    df = spark.createDataFrame([("N/A", "NaN"), ("null", "NaN"), ("a@x.co", "1")], ["email", "salary"])
+    flagged = flag_rows(df, contract)
+    assert sorted((r.email, r.salary) for r in reject_rows(flagged).collect()) == [("N/A", "NaN"), ("null", "NaN")]
+    assert clean_rows(flagged).count() == 1
+
+
+def test_malformed_records_are_counted(spark, scratch):
+    with open(f"{scratch}/in.csv", "w") as file:
+        file.write('id,email\n1,a@x.co\n2,a@x.co,c\n3,"open\n4,x\n1,a@x.co\n')
+    contract = TableContract(required=("id", "email"), rules={"email": Rule("email")})
+    rows = load_csv(spark, scratch, contract=contract, on_malformed="reject", null_tokens=False)
+    flagged = flag_rows(rows, contract)
+    report = cleaning_report(flagged, contract).first()
+    assert (report.original_rows, report.duplicates_dropped, report.final_rows) == (5, 1, 1)
+    assert (report.malformed_dropped, report.invalid_emails_dropped) == (2, 1)
+    assert report.original_rows == report.duplicates_dropped + reject_rows(flagged).count() + report.final_rows
+
+
+def test_key_filter_reaches_the_scan(spark, scratch):
+    dirty_people(spark, SF_DIR).write.parquet(f"{scratch}/people")
+    people = spark.read.parquet(f"{scratch}/people")
+    rows = clean_rows(flag_rows(people, PEOPLE_BY_CLIENT, where=F.col("client_id") == "BUILDING"))
+    logical, physical = explained(rows, "extended").split("== Optimized Logical Plan ==")[1].split(
+        "== Physical Plan =="
+    )
+    assert "EqualTo(client_id,BUILDING)" in physical
+    for pattern in ("@[A-Za-z0-9.-]+", r"{7,15}", "(?:inity)", r"3[2-9]"):
+        assert logical.count(pattern) == 1
+    whole = clean_rows(flag_rows(people, PEOPLE_BY_CLIENT)).where("client_id = 'BUILDING'")
+    assert sorted(rows.collect()) == sorted(whole.collect())
+
+
 def test_contract_without_rules(spark):
     contract = TableContract(required=("a",))
     df = spark.createDataFrame([("x",), ("x",)], ["a"])

@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from dqtable import Rule, apply_rules, clean_date
+from dqtable import Rule, apply_rules, clean_date, register_functions
 from dqtable.functions import dates
 
 LITERAL = {
@@ -37,8 +37,8 @@ LITERAL = {
     "2024-01-05 24:00": None,
     "02/30/2024": None,
     "2024-13-05": None,
-    "3000-01-01": None,
-    "1600-01-01": None,
+    "3000-01-01": datetime(3000, 1, 1),
+    "1600-01-01": datetime(1600, 1, 1),
     "Q1 2024": None,
     "janember 5, 2024": None,
     "now": None,
@@ -50,7 +50,7 @@ LITERAL = {
 }
 
 
-def layered(df, span=dates.NANOSECOND_RANGE):
+def layered(df, span=None):
     ruled = apply_rules(df, {"d": ("v", Rule("date"))}, span)
     return {r[0]: r[1] for r in ruled.select("v", "d").collect()}
 
@@ -61,7 +61,9 @@ def test_literal_rows(texts, evaluate):
 
 
 def test_range_is_optional(texts):
-    assert layered(texts(["3000-01-01"]), None) == {"3000-01-01": datetime(3000, 1, 1)}
+    values = ["3000-01-01", "1600-01-01", "2024-01-05"]
+    got = layered(texts(values), dates.NANOSECOND_RANGE)
+    assert got == {"3000-01-01": None, "1600-01-01": None, "2024-01-05": datetime(2024, 1, 5)}
 
 
 def by_pandas(text):
@@ -73,7 +75,7 @@ def by_pandas(text):
     return (value.tz_convert("UTC").tz_localize(None) if value.tzinfo else value).to_pydatetime()
 
 
-def test_shapes_against_pandas(texts):
+def test_shapes_against_pandas(spark, texts):
     rng = random.Random(5)
     shapes = (
         "{Y}-{m}-{d}", "{Y}/{m}/{d}", "{m}/{d}/{Y}", "{d}/{m}/{Y}", "{m}-{d}-{Y}", "{d}.{m}.{Y}",
@@ -95,6 +97,10 @@ def test_shapes_against_pandas(texts):
         day_given = "{d" in shape
         values.add((shape + (rng.choice(clocks) if day_given else "")).format(**parts))
     ours = layered(texts(values))
+    register_functions(spark)
+    texts(values).createOrReplaceTempView("shaped_dates")
+    by_sql = spark.sql("select v, dq_clean_date(v) as r from shaped_dates").collect()
+    assert {r[0]: r[1] for r in by_sql} == ours
     assert {v: ours[v] for v in values} == {v: by_pandas(v) for v in values}
 
 

@@ -84,9 +84,26 @@ def test_thresholds_per_client(spark, report):
     assert got["c"] == ("OK", "OK", None)
 
 
+def test_repeated_limits_do_not_repeat_rows(spark, report):
+    limits = spark.createDataFrame(
+        [("a", 0.9, "b@x.co"), ("a", 0.01, "a@x.co")],
+        "client_id string, max_drop_rate double, recipient string",
+    )
+    got = alerts(report, limits)
+    assert got.count() == 4
+    row = got.where("client_id = 'a'").first()
+    assert (row.max_drop_rate, row.drop_rate_alert, row.recipient) == (0.01, "EXCEEDED", "a@x.co")
+
+
+def test_low_subject(scored):
+    low = scored([(10, 10)]).withColumn("client_id", F.lit("a"))
+    assert outbox(alerts(low)).first().subject == SUBJECT_LOW
+
+
 def test_outbox(report):
     rows = {r.client_id: r for r in outbox(alerts(report)).collect()}
-    assert rows["a"].subject == SUBJECT_MEDIUM if rows["a"].severity == "MEDIUM" else SUBJECT_LOW
+    expected = SUBJECT_MEDIUM if rows["a"].severity == "MEDIUM" else SUBJECT_LOW
+    assert rows["a"].subject == expected
     assert (rows["b"].subject, rows["d"].subject) == (SUBJECT_MEDIUM, SUBJECT_HIGH)
     assert "Drop rate: 100.00% (HIGH)" in rows["d"].body
 

@@ -12,7 +12,6 @@ from dqtable import (
     union_sources,
 )
 from dqtable.sinks.tables import write_csv
-from dqtable.sources.csv import has_quoted_newlines
 
 PLAIN = TableContract(required=("a", "b"))
 
@@ -45,9 +44,28 @@ def test_rows_can_be_counted(spark, csv):
 
 def test_quoted_newlines(spark, csv):
     path = csv('a,b\n1,"x\ny"\n2,z\n')
-    assert has_quoted_newlines(spark, path)
-    assert rows(load_csv(spark, path)) == [("1", "x\ny"), ("2", "z")]
-    assert not has_quoted_newlines(spark, csv('a,b\n"1","x""y"\n', name="u.csv"))
+    assert rows(load_csv(spark, path, multi_line=True)) == [("1", "x\ny"), ("2", "z")]
+    with pytest.raises(Exception, match="multi_line"):
+        load_csv(spark, path).collect()
+    found = load_csv(spark, path, on_malformed="reject").where("_corrupt_record is not null")
+    assert [r[-1] for r in rows(found)] == ['1,"x']
+
+
+def test_a_stray_quote_does_not_stop_splitting(spark, csv, scratch):
+    lines = "".join(f"{i},{'x' * 100}\n" for i in range(3000))
+    path = csv(f'a,b\n5" pipe,2\n{lines}')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        df = load_csv(spark, path)
+        assert df.rdd.getNumPartitions() > 1
+        assert df.count() == 3001 and df.where("a = '5\" pipe'").count() == 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_long_quoted_fields(spark, csv):
+    path = csv('a,b\n"' + 'x""' * 200_000 + '",2\n')
+    assert len(load_csv(spark, path).first().a) == 400_000
 
 
 def test_encoding(spark, csv):
@@ -77,6 +95,9 @@ def test_headers(spark, csv, scratch):
         load_csv(spark, csv("a,a\n1,2\n"))
     with pytest.raises(ContractError, match="email"):
         load_csv(spark, csv("a,b\n1,2\n", name="b.csv"), required=["email"])
+    path = csv("Date Joined,x\n1,2\n", name="d.csv")
+    assert load_csv(spark, path, required=["Date Joined", " X"]).columns == ["date_joined", "x"]
+    assert load_csv(spark, path, contract=PEOPLE, required=["JoinDate"]).count() == 1
     path = csv("Dept,JoinDate\nx,2024\n", name="c.csv")
     assert load_csv(spark, path, contract=PEOPLE).columns == ["department", "date_joined"]
 
@@ -85,7 +106,8 @@ def test_write_and_read_back(spark, scratch):
     values = [(" a ", 'q"q'), ("x,y", "line\nbreak"), (None, "\\"), ("  ", "z")]
     df = spark.createDataFrame(values, "a string, b string")
     write_csv(df, f"{scratch}/out")
-    assert sorted(map(str, rows(load_csv(spark, f"{scratch}/out")))) == sorted(map(str, values))
+    back = load_csv(spark, f"{scratch}/out", multi_line=True)
+    assert sorted(map(str, rows(back))) == sorted(map(str, values))
 
 
 def test_sources_meet_by_name(spark, scratch):
@@ -97,6 +119,17 @@ def test_sources_meet_by_name(spark, scratch):
     assert got == {"first": ("1", "x", None), "second": ("2", None, "n")}
 
 
+def test_a_source_column_is_not_overwritten(spark, csv):
+    df = spark.createDataFrame([("1", "x")], ["id", "Source"])
+    with pytest.raises(ContractError, match="source"):
+        union_sources({"a": df})
+    assert union_sources({"a": df}, tag="origin").columns == ["id", "source", "origin"]
+    path = csv("a,source\n1,x\n")
+    with pytest.raises(ContractError, match="source"):
+        load_csv(spark, path, with_source=True)
+    assert load_csv(spark, path, with_source="file").first().source == "x"
+
+
 def test_directory_with_the_file_of_each_row(spark, csv, scratch):
     csv("a,b\n1,x\n")
     csv("a,b\n2,y\n", name="u.csv")
