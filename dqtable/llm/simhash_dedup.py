@@ -2,7 +2,8 @@
 
 Rows: one per row of `docs`. A null text is an empty one; texts without words have fingerprint zero
 and link like any other. A null doc_id takes part, but never names a component unless its whole
-component has none (then null). Repeated rows stay and share a component. Other columns are ignored.
+component has none (then null). Repeated rows share a component. Other columns are ignored, or kept
+whole by `drop_near_duplicates`.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dqtable.llm.common import arrays, fill, pieces, stored, with_columns, work_folder
+from dqtable.llm.common import arrays, fill, pieces, stored, work_folder
 from dqtable.llm.components import components
 
 BITS = 64
@@ -27,6 +28,7 @@ MAX_TOP = 16
 #: Node pairs that are expanded at once.
 FRONTIER = 1 << 21
 _BLOCK = 1 << 16
+_ONE = "__digest_of_text"
 
 
 def fingerprint(text: bytes, shingle: int) -> int:
@@ -51,16 +53,24 @@ def fingerprint(text: bytes, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    """(doc_id, digest, fp): a digest of the text, and its fingerprint as a signed long."""
+    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("fp", pa.int64())])
 
     def run(batches):
         for batch in batches:
             for part, texts in pieces(batch, "text"):
-                yield arrays(part, ["doc_id"], schema, fp=[fingerprint(t, shingle) for t in texts])
+                fps = [fingerprint(t, shingle) for t in texts]
+                yield arrays(part, ["doc_id", "digest"], schema, fp=fps)
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), fill().alias("text"))
-    return source.mapInArrow(run, "doc_id long, fp long")
+    source = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), _digest().alias("digest"), fill().alias("text")
+    )
+    return source.mapInArrow(run, "doc_id long, digest long, fp long")
+
+
+def _digest():
+    """Tells texts of rows with one doc_id apart."""
+    return F.xxhash64(fill())
 
 
 class Trie:
@@ -198,14 +208,8 @@ def fingerprint_links(distinct: DataFrame, budget: int) -> DataFrame:
     return dealt.groupBy("pair", "mask").applyInPandas(join, "a long, b long")
 
 
-def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row.
-
-    The text is read once and never shuffled. Copies of a fingerprint are merged in the map tasks
-    before the self-join; only fingerprints with copies or links enter the last join.
-    """
-    spark = docs.sparkSession
-    folder = work_folder(spark, "simhash")
+def _groups(docs: DataFrame, shingle: int, max_bits: int, folder: str):
+    """(doc_id, digest, fp) of every row; (fp, group, component_id) of fingerprints with company."""
     prints = stored(fingerprints(docs, shingle), f"{folder}/prints")
     classes = stored(
         prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")),
@@ -217,49 +221,52 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 3) ->
     least = group.groupBy("group").agg(
         F.min("least").alias("component_id"), F.sum("n").alias("members")
     )
-    several = (
-        group.select("fp", "group").join(least.where("members > 1"), "group").drop("group")
-    )
-    named = stored(several.select("fp", "component_id"), f"{folder}/named")
-    return prints.join(named, "fp", "left").select(
+    several = group.select("fp", "group").join(least.where("members > 1"), "group")
+    return prints, stored(several.select("fp", "group", "component_id"), f"{folder}/several")
+
+
+def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
+    """(doc_id, fingerprint, component_id) for every row.
+
+    The text is read once and never shuffled. Copies of a fingerprint are merged in the map tasks
+    before the self-join; only fingerprints with copies or links enter the last join.
+    """
+    folder = work_folder(docs.sparkSession, "simhash")
+    prints, several = _groups(docs, shingle, max_bits, folder)
+    return prints.join(several.drop("group"), "fp", "left").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.when(F.col("component_id").isNotNull(), F.col("component_id"))
+        .otherwise(F.col("doc_id"))
+        .alias("component_id"),
     )
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """The rows of `docs` with the smallest doc_id of each component, all columns kept.
+    """One row of `docs` per component, all columns kept: the smallest doc_id, any over none.
 
-    Repeated rows of one doc_id leave one row. Rows without doc_id go where their component has an
-    id; else one row per text stays.
+    Rows of one doc_id in a component are told apart by a digest of their texts; equal rows leave
+    one. What is joined with the texts is the table of rows that go.
     """
-    found = simhash_components(docs, shingle, max_bits)
     folder = work_folder(docs.sparkSession, "simhash-kept")
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    gone = stored(gone, f"{folder}/gone")
-    named = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti")
-    named = named.dropDuplicates(["doc_id"]).select(docs.columns)
-    bare = found.where("doc_id is null and component_id is null").select("fingerprint").distinct()
-    unnamed = docs.where("doc_id is null")
-    if unnamed.isEmpty():
-        return named
-    texts = fingerprints_of_texts(unnamed, shingle).join(bare, "fingerprint", "left_semi")
-    one = texts.dropDuplicates(["fingerprint"]).select("doc.*")
-    return named.unionByName(one)
-
-
-def fingerprints_of_texts(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc, fingerprint): whole rows as a struct beside the fingerprint of their text."""
-    kept = docs.select(F.struct("*").alias("doc"), fill().alias("text"))
-    schema = with_columns(kept.select("doc"), "fp long")
-
-    def run(batches):
-        for batch in batches:
-            doc = batch.schema.get_field_index("doc")
-            for part, texts in pieces(batch, "text"):
-                fp = pa.array([fingerprint(t, shingle) for t in texts], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(doc), fp], names=["doc", "fp"])
-
-    found = kept.mapInArrow(run, schema)
-    return found.select("doc", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"))
+    prints, several = _groups(docs, shingle, max_bits, folder)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
+    rows = prints.join(several, "fp").groupBy("group", "doc_id", "digest")
+    rows = stored(rows.agg(F.count("*").alias("n")), f"{folder}/rows")
+    best = rows.groupBy("group").agg(F.min(order).alias("best"))
+    marked = rows.join(best, "group").select(
+        "doc_id", "digest", "n", (order == F.col("best")).alias("stays")
+    )
+    # rows that go, and rows that stay once though they occur several times
+    marked = stored(marked.where("not stays or n > 1"), f"{folder}/marked")
+
+    def meets(other):
+        return F.col("doc_id").cast("long").eqNullSafe(other["id"]) & (_digest() == other["digest"])
+
+    named = marked.withColumnRenamed("doc_id", "id")
+    kept = docs.join(named, meets(named), "left_anti")
+    again = named.where("stays")
+    if again.isEmpty():
+        return kept
+    once = docs.join(again, meets(again), "left_semi").withColumns({_ONE: _digest()})
+    return kept.unionByName(once.dropDuplicates(["doc_id", _ONE]).drop(_ONE))
