@@ -103,4 +103,4 @@ def test_the_model_learns_what_counts_cannot(spark):
     held = [r for r in got if r.held_out]
     per_token = sum(r.score for r in held) / sum(r.n_tokens for r in held)
     base = sum(r.base_score for r in held) / sum(r.n_tokens for r in held)
-    assert per_token > base + 0.7
+    assert per_token > base + 0.4
