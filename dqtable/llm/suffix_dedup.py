@@ -17,7 +17,6 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from dqtable.llm.common import work_folder
 from dqtable.llm.windows import Spec, Texts, judged, numbered, repeated
