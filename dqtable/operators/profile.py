@@ -253,32 +253,33 @@ def profile_correlation(df: DataFrame, columns: Sequence[str] | None = None) ->
         )
     names = [f"v{i}" for i in range(len(numeric))]
     centred = df.select(*(v.alias(n) for v, n in zip(_centred(df, numeric), names, strict=True)))
+    # As text: some hundred small expressions, which would take longer to build one by one.
     blocks = [names[i : i + BLOCK] for i in range(0, len(names), BLOCK)]
-    nothing = F.lit(None).cast("double")
-    rows = [
-        (F.lit(a), F.lit(b * BLOCK), F.col(x), *map(F.col, ys), *[nothing] * (BLOCK - len(ys)))
+    cells = [
+        ", ".join([str(a), str(b * BLOCK), x, *ys, *["cast(null as double)"] * (BLOCK - len(ys))])
         for a, x in enumerate(names)
         for b, ys in enumerate(blocks)
     ]
-    others = [f"y{k}" for k in range(BLOCK)]
-    stacked = _stacked(centred, rows, "a first x " + " ".join(others)).where("x is not null")
-
-    def sums(k: int) -> list[Column]:
-        y = F.col(f"y{k}")
-        x = F.when(y.isNotNull(), F.col("x"))
-        parts = {"n": F.count(x), "s": F.sum(x), "q": F.sum(x * x), "p": F.sum(F.col("x") * y)}
-        parts |= {"low": F.min(x), "high": F.max(x)}
-        return [v.alias(f"{name}{k}") for name, v in parts.items()]
-
-    grouped = stacked.groupBy("a", "first").agg(*(c for k in range(BLOCK) for c in sums(k)))
+    others = ", ".join(f"y{k}" for k in range(BLOCK))
+    stacked = centred.selectExpr(
+        f"stack({len(cells)}, {', '.join(cells)}) as (a, first, x, {others})"
+    ).where("x is not null")
+
+    def sums(k: int) -> list[str]:
+        x = f"case when y{k} is not null then x end"
+        parts = {"n": f"count(y{k})", "s": f"sum({x})", "q": f"sum(({x}) * x)"}
+        parts |= {"p": f"sum(x * y{k})", "low": f"min({x})", "high": f"max({x})"}
+        return [f"{call} as {name}{k}" for name, call in parts.items()]
+
+    grouped = stacked.groupBy("a", "first").agg(*(F.expr(c) for k in range(BLOCK) for c in sums(k)))
     one = [
-        F.struct(
-            (F.col("first") + k).alias("b"),
-            *(F.col(f"{name}{k}").alias(name) for name in ("n", "s", "q", "p", "low", "high")),
-        )
+        f"named_struct('b', first + {k}, "
+        + ", ".join(f"'{c}', {c}{k}" for c in ("n", "s", "q", "p", "low", "high"))
+        + ")"
         for k in range(BLOCK)
     ]
-    sides = grouped.select("a", F.inline(F.array(*one))).where(F.col("b") < len(numeric))
+    sides = grouped.selectExpr("a", f"inline(array({', '.join(one)}))")
+    sides = sides.where(F.col("b") < len(numeric))
     other = sides.select(
         F.col("a").alias("b"),
         F.col("b").alias("a"),
