@@ -305,6 +305,27 @@ def count_words(docs: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def _frequent(counts: DataFrame) -> dict[bytes, int]:
+    """The most frequent words with their counts, at most KNOWN, most frequent first.
+
+    Words are counted by the magnitude of their counts, and whole magnitudes taken, so a task sends
+    the driver no word that is not among them.
+    """
+    size = F.floor(F.log2("c") * 64).cast("int")
+    words = counts.where("word <> x''").withColumn("size", size)
+    least, total = None, 0
+    for r in sorted(words.groupBy("size").count().collect(), key=lambda r: -r.size):
+        total += r["count"]
+        if total > KNOWN:
+            break
+        least = r.size
+    if least is None:
+        return {}
+    rows = words.where(F.col("size") >= least).select("word", "c").collect()
+    rows = sorted(((bytes(r.word), r.c) for r in rows), key=lambda r: (-r[1], r[0]))
+    return dict(rows)
+
+
 def trained(docs: DataFrame, ids: dict[bytes, int], rounds: int = ROUNDS) -> dict[str, np.ndarray]:
     """Weights after all rounds; each round averages what the tasks learned from its documents."""
     spark = docs.sparkSession
@@ -424,8 +445,7 @@ def language_scores(docs: DataFrame) -> DataFrame:
     counts = stored(count_words(docs), f"{folder}/counts")
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     tokens, distinct = total.n or 0, total.v
-    words = counts.where("word <> x''").orderBy(F.desc("c"), "word").limit(KNOWN)
-    known = {bytes(r.word): r.c for r in words.collect()}
+    known = _frequent(counts)
     frequent = list(known)[: VOCABULARY - 2]
     ids = {word: i + 2 for i, word in enumerate(frequent)}
     weights = trained(docs, ids)
