@@ -17,6 +17,7 @@ from __future__ import annotations
 import heapq
 from collections import Counter
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,11 @@ from dqtable.llm.common import fill, pieces, stored, work_folder
 #: Classes of the output, words per class, and width of embeddings and state.
 CLASSES, CLASS_SIZE, WIDTH = 32, 32, 16
 VOCABULARY = CLASSES * CLASS_SIZE
-#: Steps per window of truncated backpropagation, and documents side by side.
-STEPS, LANES = 32, 256
+#: Steps per window of truncated backpropagation, documents side by side, and tokens per lane that
+#: make another lane worth while.
+STEPS, LANES, PER_LANE = 32, 512, 2000
+#: Training cuts longer documents, so that lanes end together; scoring never does.
+SEGMENT = 2048
 #: Rounds of training, each on its share of the documents, and Adagrad's step.
 ROUNDS, RATE = 3, 0.15
 #: Words whose counts go to every task (a few MB); the others' counts are joined.
@@ -101,8 +105,9 @@ class Lanes:
 
     @classmethod
     def of(cls, docs: list[np.ndarray]) -> Lanes:
-        longest = max(len(d) for d in docs)
-        count = int(np.clip(sum(len(d) for d in docs) // longest, 1, LANES))
+        longest, total = max(map(len, docs)), sum(map(len, docs))
+        # few lanes where one long document would leave most of the table of lanes empty
+        count = int(np.clip(min(total // PER_LANE, 4 * total // longest), 1, LANES))
         loads = [(0, lane, []) for lane in range(count)]
         for number in sorted(range(len(docs)), key=lambda i: (-len(docs[i]), i)):
             load, lane, own = heapq.heappop(loads)
@@ -130,9 +135,23 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(-1, keepdims=True))
+def _softmax(x: np.ndarray, pick: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
+    """(log probability of the picked entry, unnormalised rows); overwrites `x`.
+
+    `bound`: no entry is larger. Rows are shifted by it only where exp could overflow.
+    """
+    if bound > 60:
+        x -= bound - 60
+    picked = x[np.arange(len(x)), pick]
+    np.exp(x, out=x)
+    total = x @ np.ones(x.shape[1], x.dtype)
+    x /= total[:, None]
+    return picked - np.log(total), x
+
+
+def _bound(weights: np.ndarray, bias: np.ndarray) -> float:
+    """The largest logit that a state within -1 and 1 can give."""
+    return float((np.abs(weights).sum(-2) + bias).max())
 
 
 class Network:
@@ -176,33 +195,35 @@ class Network:
     def _output(self, hidden: np.ndarray, goal: np.ndarray, learn: bool):
         """Log probability of the class, plus that of the word within it."""
         w = self.weights
-        group, word = goal // CLASS_SIZE, goal % CLASS_SIZE
-        logs = _log_softmax(hidden @ w["class"] + w["class_bias"])
-        every = np.arange(len(goal))
-        log_p = logs[every, group].astype(np.float64)
+        group, word = np.divmod(goal, CLASS_SIZE)
+        bound = _bound(w["class"], w["class_bias"])
+        log_p, d = _softmax(hidden @ w["class"] + w["class_bias"], group, bound)
+        log_p = log_p.astype(np.float64)
         grad: dict[str, np.ndarray] = {}
         d_hidden = None
         if learn:
-            d = np.exp(logs)
-            d[every, group] -= 1
+            d[np.arange(len(goal)), group] -= 1
             grad = {"class": hidden.T @ d, "class_bias": d.sum(0)}
             grad |= {n: np.zeros(_SHAPES[n], np.float32) for n in ("word", "word_bias")}
             d_hidden = d @ w["class"].T
         order = np.argsort(group, kind="stable")
         cut = np.searchsorted(group[order], np.arange(CLASSES + 1))
+        ordered, pick = hidden[order], word[order]
+        bound = _bound(w["word"], w["word_bias"])
+        inner, back = np.empty(len(order)), np.empty_like(ordered)
         for c in range(CLASSES):
-            own = order[cut[c] : cut[c + 1]]
-            if not len(own):
+            own = slice(cut[c], cut[c + 1])
+            part = ordered[own]
+            if not len(part):
                 continue
-            part = hidden[own]
-            logs = _log_softmax(part @ w["word"][c] + w["word_bias"][c])
-            row = np.arange(len(own))
-            log_p[own] += logs[row, word[own]]
+            inner[own], d = _softmax(part @ w["word"][c] + w["word_bias"][c], pick[own], bound)
             if learn:
-                d = np.exp(logs)
-                d[row, word[own]] -= 1
+                d[np.arange(len(part)), pick[own]] -= 1
                 grad["word"][c], grad["word_bias"][c] = part.T @ d, d.sum(0)
-                d_hidden[own] += d @ w["word"][c].T
+                back[own] = d @ w["word"][c].T
+        log_p[order] += inner
+        if learn:
+            d_hidden[order] += back
         return log_p, d_hidden, grad
 
     def _back(self, ids, start, before, kept, d_out) -> dict[str, np.ndarray]:
@@ -224,9 +245,11 @@ class Network:
             d_inner[t, :, 2 * WIDTH :] = d_n * r
             carry = (d * z + d_inner[t] @ back) * ~start[t][:, None]
         flat = d_gates.reshape(-1, 3 * WIDTH)
-        by_word = np.stack(
-            [np.bincount(ids.ravel(), flat[:, k], VOCABULARY) for k in range(3 * WIDTH)], axis=1
-        ).astype(np.float32)
+        order = np.argsort(ids.ravel(), kind="stable")
+        sorted_ids = ids.ravel()[order]
+        cut = np.flatnonzero(np.r_[True, sorted_ids[1:] != sorted_ids[:-1]])
+        by_word = np.zeros((VOCABULARY, 3 * WIDTH), np.float32)
+        by_word[sorted_ids[cut]] = np.add.reduceat(flat[order], cut, axis=0)
         return {
             "table": by_word @ w["input"].T,
             "input": w["table"].T @ by_word,
@@ -273,8 +296,18 @@ class Adagrad:
 
 
 def _numbered(lists: list[list[bytes]], ids: dict[bytes, int]) -> list[np.ndarray]:
-    get = ids.get
-    return [np.array([get(w, REST) for w in words] + [END], np.int32) for words in lists]
+    """Per document, its ids and the end."""
+    out = []
+    for words in lists:
+        own = np.empty(len(words) + 1, np.int32)
+        own[:-1] = np.fromiter(map(ids.get, words, repeat(REST)), np.int32, len(words))
+        own[-1] = END
+        out.append(own)
+    return out
+
+
+def _segments(docs: list[np.ndarray]) -> list[np.ndarray]:
+    return [d[i : i + SEGMENT] for d in docs for i in range(0, len(d), SEGMENT)]
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -343,9 +376,9 @@ def trained(docs: DataFrame, ids: dict[bytes, int], rounds: int = ROUNDS) -> dic
                     held += _numbered([tokens_of(t) for t in texts], words.value)
                     size = sum(map(len, held))
                     if size > CHUNK:
-                        run_lanes(network, held, step)
+                        run_lanes(network, _segments(held), step)
                         held, total = [], total + size
-            run_lanes(network, held, step)
+            run_lanes(network, _segments(held), step)
             total += sum(map(len, held))
             blob = pa.array([packed(own).astype("<f4").tobytes()] if total else [], pa.binary())
             yield pa.RecordBatch.from_arrays(
