@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dqtable.llm.common import fill, work_folder
+from dqtable.llm.common import fill, stored, work_folder
 
 #: Fixed values of the format.
 MAGIC = b"WARC/1.0\r\n"
@@ -41,13 +41,15 @@ def records(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES, date: str = DA
     """(value): the text of one record per page, without its closing blank lines.
 
     The payload's digest, not the payload, is grouped; only digests that occur twice come back to
-    the pages, and copies meet in the map tasks first.
+    the pages, and copies meet in the map tasks first. Those are written, so that Spark knows their
+    size and shuffles payloads only where they are too many to broadcast.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", fill("html").alias("html"))
     rows = rows.withColumn("n", F.octet_length("html")).withColumn("digest", F.sha1("html"))
     large = rows.where(F.col("n") >= revisit_bytes).groupBy("digest")
     repeated = large.agg(F.max("page_id").alias("kept"), F.count("*").alias("copies"))
     repeated = repeated.where("copies > 1 and kept is not null").drop("copies")
+    repeated = stored(repeated, work_folder(pages.sparkSession, "warc-digests"))
     rows = rows.join(repeated, "digest", "left")
     revisit = F.col("kept").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("kept"))
     head = F.concat(
