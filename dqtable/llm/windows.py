@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -25,34 +26,51 @@ from pyspark.sql import functions as F
 from dqtable.llm.common import fill, pieces, stored
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_SECOND = np.uint64(0xD1B54A32D192ED03)
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
-_SLICE = 1 << 20
+_SLICE = 1 << 18
+_POWERS: dict[str, np.ndarray] = {}
+_BYTES = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def run_hash(units: np.ndarray, length: int, seed: np.uint64 = _ODD) -> np.ndarray:
-    """A hash of each run of `length` units, by doubling; as long as `units`, filled at the end."""
-    have, size = {1: units}, 1
-    while 2 * size <= length:
-        a = have[size]
-        mixed = _mix(a[: len(a) - size] ^ seed)
-        have[2 * size] = mixed * seed + a[size:] if len(a) > size else a[:0]
-        size *= 2
-    out, done = have[size], size
-    for step in sorted(have, reverse=True):
-        while done + step <= length:
-            tail = have[step][done:]
-            count = min(len(out), len(tail))
-            out = _mix(out[:count] ^ seed) * seed + tail[:count]
-            done += step
-    out = _mix(out) | np.uint64(1)
-    return np.concatenate([out, np.full(len(units) - len(out), _TOP)])
+    """Spread the bits, in place."""
+    spare = np.empty_like(x)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+        np.right_shift(x, np.uint64(shift), out=spare)
+        np.bitwise_xor(x, spare, out=x)
+        if factor > 1:
+            np.multiply(x, np.uint64(factor), out=x)
+    return x
+
+
+def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse modulo 2^64, kept for the task's next texts."""
+    if len(_POWERS.get("power", ())) < count:
+        size = max(count, _SLICE)
+        for name, base in (("power", int(_ODD)), ("inverse", pow(int(_ODD), -1, 1 << 64))):
+            factors = np.full(size, base, np.uint64)
+            factors[0] = 1
+            _POWERS[name] = np.cumprod(factors, dtype=np.uint64)
+    return _POWERS["power"][:count], _POWERS["inverse"][:count]
+
+
+def run_hash(units: np.ndarray, length: int) -> np.ndarray:
+    """A hash of each run of `length` units, by sums of powers; as long as `units`, filled up.
+
+    Runs that collide only cost work later: contents decide.
+    """
+    if len(units) < length:
+        return np.full(len(units), _TOP)
+    power, inverse = _powers(len(units))
+    total = np.zeros(len(units) + 1, np.uint64)
+    np.cumsum(units * power, out=total[1:])
+    out = np.full(len(units), _TOP)
+    run = out[: len(units) - length + 1]
+    np.subtract(total[length:], total[:-length], out=run)
+    np.multiply(run, inverse[: len(run)], out=run)
+    _mix(run)
+    np.bitwise_or(run, np.uint64(1), out=run)
+    return out
 
 
 def _sliding(pick: Callable, a: np.ndarray, width: int) -> np.ndarray:
@@ -78,66 +96,82 @@ class Spec:
 
 
 class Texts:
-    """Some texts, one after another, as units with their gram hashes."""
+    """Some texts, one after another, as units; their grams and anchors are found when asked for.
+
+    `parts`: per text, its bytes or its list of words.
+    """
 
-    def __init__(self, spec: Spec, texts: list[bytes]):
-        self.spec = spec
+    def __init__(self, spec: Spec, parts: list):
+        self.spec, self.parts = spec, parts
+        self.length = np.array([len(p) for p in parts], np.int64)
+        self.start = np.r_[0, np.cumsum(self.length)][:-1].astype(np.int64)
         if spec.unit == "byte":
-            self.words, self.data = None, b"".join(texts)
-            self.length = np.array([len(t) for t in texts], np.int64)
-            units = np.frombuffer(self.data, np.uint8).astype(np.uint64) + np.uint64(1)
+            self.words, self.data = None, b"".join(parts)
         else:
-            lists = [t.split() for t in texts]
-            self.length = np.array([len(w) for w in lists], np.int64)
-            self.words = [w for words in lists for w in words]
-            known: dict[bytes, int] = {}
-            for w in self.words:
-                if w not in known:
-                    known[w] = xxhash.xxh3_64_intdigest(w)
-            units = np.fromiter(map(known.__getitem__, self.words), np.uint64, len(self.words))
-        self.units = units
-        self.start = np.r_[0, np.cumsum(self.length)][:-1].astype(np.int64)
-        self.end = np.repeat(self.start + self.length, self.length)
-        self.grams = run_hash(units, spec.gram)
-        self._anchors()
-
-    def _anchors(self) -> None:
-        width, count = self.spec.width, len(self.grams) - self.spec.width + 1
-        self.anchor = np.zeros(len(self.grams), bool)
-        self.least = np.zeros(max(0, count), np.uint64)
-        if count <= 0:
-            return
-        inside = np.arange(count) + self.spec.window <= self.end[:count]
-        self.least = np.where(inside, _sliding(np.minimum, self.grams, width), np.uint64(0))
-        edge = np.zeros(width - 1, np.uint64)
-        best = _sliding(np.maximum, np.concatenate([edge, self.least, edge]), width)
-        self.anchor = best == self.grams
+            self.words = [w for words in parts for w in words]
+
+    @classmethod
+    def of(cls, spec: Spec, texts: list[bytes]) -> Texts:
+        return cls(spec, texts if spec.unit == "byte" else [t.split() for t in texts])
+
+    @cached_property
+    def grams(self) -> np.ndarray:
+        if self.words is None:
+            units = _BYTES[np.frombuffer(self.data, np.uint8)]
+        else:
+            digests = map(xxhash.xxh3_64_intdigest, self.words)
+            units = np.fromiter(digests, np.uint64, len(self.words))
+        return run_hash(units, self.spec.gram)
+
+    @cached_property
+    def least(self) -> np.ndarray:
+        """The smallest gram of the window at each position; zero where no window fits its text."""
+        if len(self.grams) < self.spec.width:
+            return self.grams[:0]
+        out = _sliding(np.minimum, self.grams, self.spec.width)
+        for start, length in zip(self.start.tolist(), self.length.tolist(), strict=True):
+            out[start + max(0, length - self.spec.window + 1) : start + length] = 0
+        return out
+
+    @cached_property
+    def anchor(self) -> np.ndarray:
+        """Flags of the positions that are the smallest gram of some window."""
+        if not len(self.least):
+            return np.zeros(len(self.grams), bool)
+        edge = np.zeros(self.spec.width - 1, np.uint64)
+        around = np.concatenate([edge, self.least, edge])
+        return _sliding(np.maximum, around, self.spec.width) == self.grams
 
     def content(self, a: int, b: int) -> bytes:
         return self.data[a:b] if self.words is None else b" ".join(self.words[a:b])
 
-    def of(self, positions: np.ndarray) -> np.ndarray:
+    def text_of(self, positions: np.ndarray) -> np.ndarray:
         """The text that each position lies in."""
         return np.searchsorted(self.start, positions, "right") - 1
 
-    def mark(self, marks: list[list[int] | None]) -> np.ndarray:
-        """Flags of the units that `marks` names, per text from its start."""
-        flags = np.zeros(len(self.grams), bool)
-        for start, own in zip(self.start.tolist(), marks, strict=True):
-            if own is not None and len(own):
-                flags[start + np.asarray(own, np.int64)] = True
-        return flags
+    def mark(self, marks: list[list[int]]) -> np.ndarray:
+        """The positions that `marks` names, per text from its start."""
+        if not marks:
+            return np.zeros(0, np.int64)
+        own = [np.asarray(m, np.int64) + s for m, s in zip(marks, self.start.tolist(), strict=True)]
+        return np.concatenate(own)
 
     def candidates(self, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Windows whose (first) anchor is marked, and those anchors."""
-        window = np.flatnonzero(self.least)
+        if not len(marked) or not len(self.least):
+            return marked[:0], marked[:0]
+        flags = np.zeros(len(self.grams), bool)
+        flags[marked] = True
+        edge = np.zeros(len(self.grams) + 1, np.int32)
+        np.add.at(edge, np.maximum(marked - self.spec.width + 1, 0), 1)
+        np.add.at(edge, marked + 1, -1)
+        near = np.cumsum(edge)[: len(self.least)] > 0
+        window = np.flatnonzero(near & (self.least > 0))
         places = np.flatnonzero(self.anchor)
-        if not len(window) or not len(places):
-            return window[:0], window[:0]
-        at = np.searchsorted(places, window)
+        at = (np.cumsum(self.anchor) - self.anchor)[window]  # anchors before the window
         while len(wrong := np.flatnonzero(self.grams[places[at]] != self.least[window])):
             at[wrong] += 1
-        keep = marked[places[at]]
+        keep = flags[places[at]]
         return window[keep], places[at[keep]]
 
 
@@ -156,10 +190,11 @@ def _scan(docs: DataFrame, spec: Spec) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part, texts in pieces(batch, "text", _SLICE):
-                own = Texts(spec, texts)
+                own = Texts.of(spec, texts)
                 places = np.flatnonzero(own.anchor)
-                at = np.searchsorted(own.of(places), np.arange(len(texts) + 1)).astype(np.int32)
-                first = own.start[own.of(places)] if len(places) else places
+                doc = own.text_of(places)
+                at = np.searchsorted(doc, np.arange(len(texts) + 1)).astype(np.int32)
+                first = own.start[doc]
                 columns = [
                     part.column("uid"),
                     part.column("doc_id"),
@@ -187,8 +222,7 @@ def _contexts(docs: DataFrame, spec: Spec) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part, texts in pieces(batch, "text", _SLICE):
-                own = Texts(spec, texts)
-                double = run_hash(own.units, 2 * spec.gram)
+                own = Texts.of(spec, texts)
                 window, place = own.candidates(own.mark(part.column("marks").to_pylist()))
                 if not len(window):
                     continue
@@ -197,9 +231,10 @@ def _contexts(docs: DataFrame, spec: Spec) -> DataFrame:
                 # windows of a text and anchor are neighbours, first those that double to both sides
                 cut = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
                 first, last = window[cut], window[np.r_[cut[1:], len(window)] - 1]
-                key = double[place[cut] - np.where(left[cut], spec.gram, 0)]
-                key = _mix(key + left[cut].astype(np.uint64)).view(np.int64)
-                doc = own.of(first)
+                at = place[cut] - np.where(left[cut], spec.gram, 0)
+                key = _mix(own.grams[at] + left[cut]) * _ODD + own.grams[at + spec.gram]
+                key = key.view(np.int64)
+                doc = own.text_of(first)
                 spans = zip(first.tolist(), (last + spec.window).tolist(), strict=True)
                 columns = [
                     pa.array(key),
@@ -275,25 +310,31 @@ def repeated(
 
 
 def removals(own: Texts, part: pa.RecordBatch) -> np.ndarray:
-    """Flags of the units that a repeated window covers, later copies whole."""
-    window, _ = own.candidates(own.mark(part.column("marks").to_pylist()))
-    removed = np.zeros(len(own.grams) + 1, bool)
-    removed[window] = True
-    for doc, (ranges, copy) in enumerate(
-        zip(part.column("owned").to_pylist(), part.column("copy").to_pylist(), strict=True)
-    ):
-        start, stop = own.start[doc], own.start[doc] + own.length[doc]
-        if copy:
-            last = max(0, own.length[doc] - own.spec.window + 1)
-            removed[start : start + last] = True
-        elif ranges:
-            for r in ranges:
-                removed[start + r["start"] : min(start + r["start"] + r["windows"], stop)] = False
-    at = np.flatnonzero(removed)
-    edge = np.zeros(len(own.grams) + 1, np.int64)
-    np.add.at(edge, at, 1)
-    np.add.at(edge, at + own.spec.window, -1)
-    return np.cumsum(edge)[:-1] > 0
+    """Flags of the units that a repeated window covers, later copies whole.
+
+    Only texts with marks are hashed again.
+    """
+    marks, owned = part.column("marks").to_pylist(), part.column("owned").to_pylist()
+    removed = np.zeros(int(own.length.sum()), bool)
+    some = [i for i, m in enumerate(marks) if m is not None]
+    if some:
+        sub = Texts(own.spec, [own.parts[i] for i in some])
+        first = np.zeros(len(sub.grams) + 1, bool)
+        first[sub.candidates(sub.mark([marks[i] for i in some]))[0]] = True
+        for start, i in zip(sub.start.tolist(), some, strict=True):
+            for r in owned[i] or ():
+                first[start + r["start"] : start + r["start"] + r["windows"]] = False
+        at = np.flatnonzero(first)
+        edge = np.zeros(len(sub.grams) + 1, np.int64)
+        np.add.at(edge, at, 1)
+        np.add.at(edge, at + own.spec.window, -1)
+        cover = np.cumsum(edge) > 0
+        for start, i in zip(sub.start.tolist(), some, strict=True):
+            length = own.length[i]
+            removed[own.start[i] : own.start[i] + length] = cover[start : start + length]
+    for i in np.flatnonzero(part.column("copy").fill_null(False).to_numpy(zero_copy_only=False)):
+        removed[own.start[i] : own.start[i] + own.length[i]] = True
+    return removed
 
 
 def judged(docs: DataFrame, repeats: DataFrame, spec: Spec, schema: str, judge) -> DataFrame:
@@ -307,7 +348,7 @@ def judged(docs: DataFrame, repeats: DataFrame, spec: Spec, schema: str, judge)
         names = ["doc_id", *(c.split()[0] for c in schema.split(", "))]
         for batch in batches:
             for part, texts in pieces(batch, "text", _SLICE):
-                own = Texts(spec, texts)
+                own = Texts.of(spec, texts)
                 columns = judge(own, removals(own, part))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=names)
 
