@@ -5,7 +5,8 @@ three quarters whose covariance is smallest give centre and covariance. A docume
 Mahalanobis distance from the bulk of its group is beyond a cutoff is rejected.
 
 Rows: one per row of `docs`. A null text has no words and fails the base rule. Null lang or source
-is a value of its own. Groups with few rows are judged with their language, or with all documents.
+is a value of its own. Groups with few rows are judged by an estimate of all rows of their language,
+or of all documents where the language has few as well.
 Ties at the edge of the three quarters all count. Repeated rows count as often as they occur.
 """
 
@@ -119,16 +120,25 @@ def _key(name: str) -> Column:
 
 
 def _groups(rows: DataFrame, min_rows: int) -> DataFrame:
-    """(lang_key, source_key, grp): the group whose estimate judges a language and source."""
+    """(lang_key, source_key, grp, fits): whose estimate judges a language and source, and which
+    estimates its rows enter: its own, and that of its language and of all rows where needed."""
     counts = rows.groupBy("lang_key", "source_key").count()
-    in_lang = F.sum("count").over(Window.partitionBy("lang_key"))
-    return counts.withColumn("lang_rows", in_lang).select(
+    in_lang = Window.partitionBy("lang_key")
+    small = F.col("count") < min_rows
+    counts = counts.withColumn("lang_rows", F.sum("count").over(in_lang))
+    counts = counts.withColumn("lang_small", F.max(small).over(in_lang))
+    rest = counts.agg(F.max(F.col("lang_rows") < min_rows).alias("all_small"))
+    counts = counts.crossJoin(F.broadcast(rest))
+    # the length tells a source from a language whose name looks like it
+    own = F.concat_ws("\t", F.length("lang_key"), "lang_key", "source_key")
+    lang, large = F.col("lang_key"), F.col("lang_rows") >= min_rows
+    fits = [F.when(~small, own), F.when(F.col("lang_small") & large, lang)]
+    fits = F.array_compact(F.array(*fits, F.when(F.col("all_small"), F.lit(""))))
+    return counts.select(
         "lang_key",
         "source_key",
-        F.when(F.col("count") >= min_rows, F.concat_ws("\t", "lang_key", "source_key"))
-        .when(F.col("lang_rows") >= min_rows, F.col("lang_key"))
-        .otherwise(F.lit(""))
-        .alias("grp"),
+        F.when(~small, own).when(large, lang).otherwise(F.lit("")).alias("grp"),
+        fits.alias("fits"),
     )
 
 
@@ -242,9 +252,10 @@ def fitted(stats: DataFrame, folder: str, min_rows: int) -> tuple[DataFrame, Dat
     """The groups and their estimates, from a stored table of statistics."""
     keyed = stats.withColumn("lang_key", _key("lang")).withColumn("source_key", _key("source"))
     groups = stored(_groups(keyed, min_rows), f"{folder}/groups")
-    in_group = keyed.join(groups, ["lang_key", "source_key"]).select("grp", *NAMES)
+    fits = groups.select("lang_key", "source_key", F.explode("fits").alias("grp"))
+    in_group = keyed.join(fits, ["lang_key", "source_key"]).select("grp", *NAMES)
     vectors = stored(in_group, f"{folder}/vectors")
-    return groups, estimates(vectors, folder)
+    return groups.drop("fits"), estimates(vectors, folder)
 
 
 def judged(rows: DataFrame, groups: DataFrame, params: DataFrame, cutoff: float) -> DataFrame:

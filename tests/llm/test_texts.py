@@ -55,6 +55,18 @@ def test_outliers_go_and_ordinary_documents_stay(spark):
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == list(range(600))
 
 
+def test_small_sources_are_judged_by_all_rows_of_their_language(spark):
+    """Three rows beside a large source, one of them junk, and a language of one junk row."""
+    rng = random.Random(9)
+    junk = [" ".join(f"{ordinary(rng)[:5]}#$%|<>&*" for _ in range(90)) for _ in range(2)]
+    rows = [(i, ordinary(rng), "en", "large") for i in range(400)]
+    rows += [(400, ordinary(rng), "en", "small"), (401, ordinary(rng), "en", "small"), (402, junk[0], "en", "small")]
+    rows += [(403, junk[1], "xx", None), (404, ordinary(rng), "yy", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert [r.doc_id for r in quality_verdicts(df).where("not kept").orderBy("doc_id").collect()] == [402, 403]
+    assert sorted(r.doc_id for r in keep_good(df).collect()) == [i for i in range(405) if i not in (402, 403)]
+
+
 ITEMS = [(7, "a b"), (8, "B"), (9, None), (10, "!!"), (None, "é2"), (11, "q é2 a b z"), (12, "a b"), (13, "k l m n o p q r s t u v")]
 TEXTS = [(1, "A b c"), (2, "x a B"), (3, None), (4, ""), (None, "q é2 a b z"), (5, "a b" * 3000), (6, "j k l-m n o p q r s t u"), (6, "z")]
 
