@@ -1,13 +1,13 @@
 """Quality rules: text statistics and robust multivariate outliers.
 
 Per (lang, source) the minimum covariance determinant is estimated: of the statistic vectors, the
-three quarters whose covariance is smallest give centre and covariance. A document whose
-Mahalanobis distance from the bulk of its group is beyond a cutoff is rejected.
+half whose covariance is smallest give centre and covariance. A document whose Mahalanobis distance
+from the bulk of its group is beyond a cutoff is rejected.
 
 Rows: one per row of `docs`. A null text has no words and fails the base rule. Null lang or source
 is a value of its own. Groups with few rows are judged by an estimate of all rows of their language,
 or of all documents where the language has few as well.
-Ties at the edge of the three quarters all count. Repeated rows count as often as they occur.
+Ties at the edge of the half all count. Repeated rows count as often as they occur.
 """
 
 from __future__ import annotations
@@ -32,14 +32,14 @@ LIMIT = 16 * SCALE
 FEATURES = {"f_length": 0.5, "f_word": 0.1, "f_symbols": 0.5, "f_lines": 0.1, "f_repeats": 0.1}
 NAMES = tuple(FEATURES)
 PAIRS = [(i, j) for i in range(len(NAMES)) for j in range(i, len(NAMES))]
-#: Share of a group that its estimate rests on, and the chi-square quantile of that share (5 degrees).
-SHARE, SHARE_QUANTILE = 0.75, 6.6257
+#: The chi-square quantile (5 degrees) of the half of a group that its estimate rests on.
+HALF_QUANTILE = 4.3515
 #: Squared distance beyond which a document is rejected, in units where the bulk is chi-square.
 CUTOFF = 80.0
 #: Rows that a group needs for an estimate of its own.
 MIN_ROWS = 200
-#: Concentration steps per start.
-STEPS = 3
+#: A determinant that falls by less than this (logarithm) has stopped falling.
+STILL = 1e-9
 _BINS = 16  # bins of the squared distance per power of two
 
 
@@ -154,7 +154,7 @@ def _bin(distance: Column) -> Column:
 
 
 _PARAMS = ", ".join(
-    ["grp string", "start int", "logdet double", "n long"]
+    ["grp string", "logdet double"]
     + [f"c_{n} double" for n in NAMES]
     + [f"w_{i}_{j} double" for i, j in PAIRS]
 )
@@ -171,8 +171,7 @@ def _solve(frames):
             cov[:, i, j] = cov[:, j, i] = frame[f"p_{i}_{j}"] / n - mean[:, i] * mean[:, j]
         cov = cov / SCALE**2 + floor
         inverse = np.linalg.inv(cov)
-        out = {"grp": frame["grp"], "start": frame["start"]}
-        out |= {"logdet": np.linalg.slogdet(cov)[1], "n": frame["n"]}
+        out = {"grp": frame["grp"], "logdet": np.linalg.slogdet(cov)[1]}
         out |= {f"c_{x}": mean[:, i] / SCALE for i, x in enumerate(NAMES)}
         out |= {f"w_{i}_{j}": inverse[:, i, j] * (1 if i == j else 2) for i, j in PAIRS}
         yield pd.DataFrame(out)
@@ -186,37 +185,33 @@ def _moments() -> list[Column]:
     return [F.count("*").alias("n"), *sums, *products]
 
 
-def _starts(vectors: DataFrame) -> DataFrame:
-    """Two first estimates per group: all rows, and medians with quartile ranges."""
-    everyone = vectors.groupBy("grp").agg(*_moments()).withColumn("start", F.lit(0))
-    everyone = everyone.mapInPandas(_solve, _PARAMS)
-    quarts = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    spread = vectors.groupBy("grp").agg(
-        F.count("*").alias("n"), *[F.percentile(n, quarts).alias(n) for n in NAMES]
-    )
-
-    def from_quartiles(frames):
-        floor = np.array(list(FEATURES.values()))
-        for frame in frames:
-            q = np.stack([np.stack(frame[x].to_list()) for x in NAMES], axis=1) / SCALE
-            variance = np.square((q[:, :, 2] - q[:, :, 0]) / 1.349) + np.square(floor)
-            out = {"grp": frame["grp"], "start": 1, "logdet": np.log(variance).sum(1)}
-            out |= {"n": frame["n"]} | {f"c_{x}": q[:, i, 1] for i, x in enumerate(NAMES)}
-            out |= {f"w_{i}_{j}": 1 / variance[:, i] if i == j else 0.0 for i, j in PAIRS}
-            yield pd.DataFrame(out)
+def _starts(vectors: DataFrame, folder: str) -> DataFrame:
+    """A first estimate per group: medians, and median distances from them.
 
-    return everyone.unionByName(spread.mapInPandas(from_quartiles, _PARAMS))
+    Half of a group can be anything without moving them far. The determinant counts as infinite.
+    """
+    middle = vectors.groupBy("grp").agg(*[F.percentile(n, F.lit(0.5)).alias(f"m_{n}") for n in NAMES])
+    middle = stored(middle, f"{folder}/medians")
+    gaps = [F.percentile(F.abs(F.col(n) - F.col(f"m_{n}")), F.lit(0.5)).alias(f"g_{n}") for n in NAMES]
+    spread = vectors.join(middle, "grp").groupBy("grp").agg(*gaps).join(middle, "grp")
+    inverse = []
+    for i, j in PAIRS:
+        sd = F.col(f"g_{NAMES[i]}") * (1.4826 / SCALE)
+        diagonal = 1 / (sd * sd + FEATURES[NAMES[i]] ** 2)
+        inverse.append((diagonal if i == j else F.lit(0.0)).alias(f"w_{i}_{j}"))
+    centre = [(F.col(f"m_{n}") / SCALE).alias(f"c_{n}") for n in NAMES]
+    return spread.select("grp", F.lit(float("inf")).alias("logdet"), *centre, *inverse)
 
 
 def _nearest(vectors: DataFrame, params: DataFrame) -> DataFrame:
-    """Per group, start and bin of the distance: moments, and the rows in nearer bins."""
-    binned = vectors.join(params.drop("n", "logdet"), "grp").withColumn("bin", _bin(_distance()))
-    sums = binned.groupBy("grp", "start", "bin").agg(*_moments())
-    whole = Window.partitionBy("grp", "start")
+    """Per group and bin of the distance: moments, and the rows in nearer bins."""
+    binned = vectors.join(params.drop("logdet"), "grp").withColumn("bin", _bin(_distance()))
+    sums = binned.groupBy("grp", "bin").agg(*_moments())
+    whole = Window.partitionBy("grp")
     nearer = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("nearer", F.coalesce(F.sum("n").over(nearer), F.lit(0)))
     return sums.withColumn("rows", F.sum("n").over(whole)).where(
-        F.col("nearer") < F.ceil(F.col("rows") * SHARE)
+        F.col("nearer") < F.ceil((F.col("rows") + len(NAMES) + 1) / 2)
     )
 
 
@@ -226,20 +221,27 @@ def estimates(vectors: DataFrame, folder: str) -> DataFrame:
     `vectors`: a stored table (grp, transformed statistics). Each concentration step is one pass
     with sums per group and bin of the distance, merged in the map tasks, so a group with a third
     of all rows costs no task more than others. All sums are of whole numbers: their order is free.
+    A group takes steps until its determinant stops falling; it falls in every one before.
     """
-    params = stored(_starts(vectors), f"{folder}/start")
-    for step in range(STEPS):
-        near = _nearest(vectors, params).groupBy("grp", "start")
+    params = _starts(vectors, folder).withColumn("falls", F.lit(True))
+    params = stored(params, f"{folder}/start")
+    step = 0
+    while not (falling := params.where("falls").drop("falls")).isEmpty():
+        near = _nearest(vectors, falling).groupBy("grp")
         sums = [f"s_{n}" for n in NAMES] + [f"p_{i}_{j}" for i, j in PAIRS]
         moments = near.agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in sums])
-        params = stored(moments.mapInPandas(_solve, _PARAMS), f"{folder}/step-{step}")
-    first = F.row_number().over(Window.partitionBy("grp").orderBy("logdet", "start"))
-    best = params.withColumn("r", first).where("r = 1").drop("r")
-    best = stored(best, f"{folder}/best")
+        moved = stored(moments.mapInPandas(_solve, _PARAMS), f"{folder}/moved-{step}")
+        last = params.select("grp", F.col("logdet").alias("before"), "falls")
+        fell = F.col("falls") & (F.col("logdet") < F.col("before") - STILL)
+        better = moved.join(last, "grp").where(fell).drop("before")
+        rest = params.join(better.select("grp"), "grp", "left_anti").withColumn("falls", F.lit(False))
+        params = stored(better.unionByName(rest), f"{folder}/step-{step}")
+        step += 1
+    best = params.drop("falls")
     edge = _nearest(vectors, best).groupBy("grp").agg(F.max("bin").alias("edge"))
     scale = F.greatest(F.pow(F.lit(2.0), (F.col("edge") + 1) / _BINS), F.lit(2.0**-9))
-    scaled = best.join(edge, "grp").withColumn("scale", scale / SHARE_QUANTILE)
-    return stored(scaled.drop("edge", "start", "n", "logdet"), f"{folder}/estimates")
+    scaled = best.join(edge, "grp").withColumn("scale", scale / HALF_QUANTILE)
+    return stored(scaled.drop("edge", "logdet"), f"{folder}/estimates")
 
 
 def base_failed(min_words: int = 50) -> Column:

@@ -67,6 +67,15 @@ def test_small_sources_are_judged_by_all_rows_of_their_language(spark):
     assert sorted(r.doc_id for r in keep_good(df).collect()) == [i for i in range(405) if i not in (402, 403)]
 
 
+@pytest.mark.parametrize("copies", [False, True])
+def test_a_third_of_a_source_is_junk(spark, copies):
+    rng = random.Random(10)
+    junk = [" ".join(f"{ordinary(rng)[:5]}#$%|<>&*" for _ in range(90)) for _ in range(1 if copies else 120)]
+    rows = [(i, ordinary(rng) if i < 240 else junk[i % len(junk)], "en", "a") for i in range(360)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert sorted(r.doc_id for r in quality_verdicts(df).where("kept").collect()) == list(range(240))
+
+
 ITEMS = [(7, "a b"), (8, "B"), (9, None), (10, "!!"), (None, "é2"), (11, "q é2 a b z"), (12, "a b"), (13, "k l m n o p q r s t u v")]
 TEXTS = [(1, "A b c"), (2, "x a B"), (3, None), (4, ""), (None, "q é2 a b z"), (5, "a b" * 3000), (6, "j k l-m n o p q r s t u"), (6, "z")]
 
