@@ -17,16 +17,22 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from dqtable.llm.common import work_folder
+from dqtable.llm.common import stored, work_folder
 from dqtable.llm.windows import Spec, Texts, judged, numbered, repeated
 
 #: Bytes per window, per anchor, and the depth where tries take over.
 WINDOW, GRAM, SHALLOW = 100, 32, 72
-#: Bytes of contexts that are sorted at once, unless one key has more.
+#: Bytes of contexts that are sorted at once, unless one key has more (at most _BUSY contexts).
 _CHUNK = 1 << 20
 #: Suffixes that are sorted at once.
 _SUFFIXES = 1 << 19
+#: Contexts of a key that one task takes; those of keys with more are cut into windows first.
+_BUSY = 1 << 15
+#: Contexts that are cut into windows at once.
+_CUT = 1 << 12
+_NAMES = ("key", "lead", "content", "windows", "doc_id", "uid", "start")
 
 
 class BlindTrie:
@@ -153,8 +159,8 @@ def _open(label: np.ndarray) -> np.ndarray:
     return np.r_[same, False] | np.r_[False, same]
 
 
-def _first_starts(rows: list[tuple], length: int, shallow: int) -> list[tuple[int, int, int]]:
-    """(uid, start, windows) of the windows that start first in contexts that share keys.
+def _firsts(rows: list[tuple], length: int, shallow: int) -> list[tuple[int, int]]:
+    """(row, offset) of the windows that start first in contexts that share keys.
 
     rows: (key, lead, content, windows, doc_id, uid, start). A window lies `lead - i` before its
     anchor, and windows at different distances differ, so key and distance are a group.
@@ -180,8 +186,13 @@ def _first_starts(rows: list[tuple], length: int, shallow: int) -> list[tuple[in
         label = equal_classes(data, base[row] + at, group, length, shallow)
         rank = np.lexsort((start[row] + at, uid[row], doc[row], null[row], label))
         best = rank[np.r_[True, label[rank][1:] != label[rank][:-1]]]
-        out += zip(uid[row[best]].tolist(), (start[row] + at)[best].tolist())
-    return _ranges(out)
+        out += zip(row[best].tolist(), at[best].tolist())
+    return out
+
+
+def _first_starts(rows: list[tuple], length: int, shallow: int) -> list[tuple[int, int, int]]:
+    """(uid, start, windows) of the windows that start first in contexts that share keys."""
+    return _ranges([(rows[i][5], rows[i][6] + at) for i, at in _firsts(rows, length, shallow)])
 
 
 def _ranges(starts: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
@@ -196,14 +207,45 @@ def _ranges(starts: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
     return [tuple(r) for r in out]
 
 
+def _dealt(contexts: DataFrame, spec: Spec) -> DataFrame:
+    """Contexts, those of busy keys as single windows whose key also tells distance and bytes.
+
+    Where many texts share a passage, the windows over its edges make a context per text under one
+    key. Equal windows have equal keys, distances and bytes, so they still meet; of those cut at
+    once only the first goes on.
+    """
+    rows = contexts.select("key", "lead", "content", "windows", "first.*")
+    busy = contexts.groupBy("key").count().where(F.col("count") > _BUSY).select("key")
+    busy = stored(busy, work_folder(contexts.sparkSession, "busy-keys"))
+    if busy.isEmpty():
+        return rows
+
+    def cut(batches):
+        for batch in (b.slice(i, _CUT) for b in batches for i in range(0, b.num_rows, _CUT)):
+            held = list(zip(*(batch.column(c).to_pylist() for c in _NAMES), strict=True))
+            out = []
+            for i, at in _firsts(held, spec.window, SHALLOW):
+                key, lead, content, _, doc, uid, start = held[i]
+                out.append((key, lead - at, content[at : at + spec.window], 1, doc, uid, start + at))
+            columns = list(zip(*out, strict=True)) or [[]] * len(_NAMES)
+            kinds = [batch.schema.field(c).type for c in _NAMES]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=list(_NAMES)
+            )
+
+    single = rows.join(busy, "key", "left_semi").select(*_NAMES)
+    single = single.mapInArrow(cut, single.schema)
+    single = single.withColumn("key", F.xxhash64("key", "lead", "content"))
+    return rows.join(busy, "key", "left_anti").select(*_NAMES).unionByName(single)
+
+
 def first_windows(contexts: DataFrame, spec: Spec) -> DataFrame:
     """(uid, start, windows): where each distinct window starts first, by sorting contexts per key.
 
     A key with one context needs no sorting: its first place owns all windows. Rows of a partition
     come ordered by key and are sorted some keys at a time.
     """
-    names = ("key", "lead", "content", "windows", "doc_id", "uid", "start")
-    dealt = contexts.select("key", "lead", "content", "windows", "first.*").repartition("key")
+    dealt = _dealt(contexts, spec).repartition("key")
 
     def batch_of(rows):
         kinds = (pa.int64(), pa.int64(), pa.int32())
@@ -217,7 +259,7 @@ def first_windows(contexts: DataFrame, spec: Spec) -> DataFrame:
         held, group, size = [], [], 0
         for batch in batches:
             alone = []
-            for row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+            for row in zip(*(batch.column(c).to_pylist() for c in _NAMES), strict=True):
                 if group and group[0][0] != row[0]:
                     if len(group) == 1:
                         alone.append((group[0][5], group[0][6], group[0][3]))

@@ -9,6 +9,7 @@ from conftest import SF_DIR
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from dqtable.llm import suffix_dedup
 from dqtable.llm.common import read_table
 from dqtable.llm.substring_dedup import without_repeats
 from dqtable.llm.suffix_dedup import BlindTrie, equal_classes, without_repeated_bytes
@@ -72,6 +73,24 @@ def test_near_copies(spark, seed):
     assert all(brute.sha(bytes(r.kept)) == r.kept_sha256 for r in found)
 
 
+def test_no_task_sorts_all_texts_around_one_passage(spark, monkeypatch):
+    """The edges of a passage make a context per text under one key, and the same result in parts."""
+    rng = random.Random(4)
+    passage = "".join(rng.choices("abcdefgh ", k=170))
+    word = lambda: "".join(rng.choices("ijklmnop", k=rng.randint(60, 140)))
+    rows = [(rng.choice([i, None]), f"{word()}{passage}{word()}" if i % 3 else word()) for i in range(120)]
+    rows += near_copies(7)
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    seen, inner = [], suffix_dedup.first_windows
+    monkeypatch.setattr(suffix_dedup, "_BUSY", 20)
+    monkeypatch.setattr(suffix_dedup, "first_windows", lambda *a: seen.append(a) or inner(*a))
+    got = without_repeated_bytes(df).collect()
+    assert brute.Counter(tuple(r)[:5] for r in got) == brute.repeated_bytes(rows)
+    (contexts, spec), = seen
+    assert contexts.groupBy("key").count().agg({"count": "max"}).first()[0] > 70
+    assert suffix_dedup._dealt(contexts, spec).groupBy("key").count().agg({"count": "max"}).first()[0] <= 20
+
+
 def test_empty_and_whole_tables(spark):
     docs = read_table(spark, SF_DIR, "documents")
     assert without_repeats(docs.where("false")).isEmpty()
