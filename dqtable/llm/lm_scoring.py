@@ -38,6 +38,8 @@ SEGMENT = 2048
 ROUNDS, RATE = 3, 0.15
 #: Words whose counts go to every task (a few MB); the others' counts are joined.
 KNOWN = 200_000
+#: Parts of the words of equal count at the edge of the known ones.
+PARTS = 4096
 #: Distinct words that a counting task holds before it hands them on.
 HELD = 400_000
 #: Tokens that a task trains on or scores at once.
@@ -341,20 +343,26 @@ def count_words(docs: DataFrame) -> DataFrame:
 def _frequent(counts: DataFrame) -> dict[bytes, int]:
     """The most frequent words with their counts, at most KNOWN, most frequent first.
 
-    Words are counted by the magnitude of their counts, and whole magnitudes taken, so a task sends
-    the driver no word that is not among them.
+    Words are counted by the magnitude of their counts, and whole magnitudes taken; the one that
+    crosses KNOWN is taken by count, and the count that crosses it by parts of a hash. So a task
+    sends the driver no word that is not among them.
     """
-    size = F.floor(F.log2("c") * 64).cast("int")
-    words = counts.where("word <> x''").withColumn("size", size)
-    least, total = None, 0
-    for r in sorted(words.groupBy("size").count().collect(), key=lambda r: -r.size):
-        total += r["count"]
-        if total > KNOWN:
+    words = counts.where("word <> x''").withColumn("size", F.floor(F.log2("c") * 64).cast("int"))
+    words = words.withColumn("part", -F.pmod(F.xxhash64("word"), F.lit(PARTS)))
+    taken, level, room = F.lit(False), F.lit(True), KNOWN
+    for name in ("size", "c", "part"):
+        edge = None
+        for r in sorted(words.where(level).groupBy(name).count().collect(), key=lambda r: -r[name]):
+            if r["count"] > room:
+                edge = r[name]
+                break
+            room -= r["count"]
+        if edge is None:
+            taken |= level
             break
-        least = r.size
-    if least is None:
-        return {}
-    rows = words.where(F.col("size") >= least).select("word", "c").collect()
+        taken |= level & (F.col(name) > edge)
+        level &= F.col(name) == edge
+    rows = words.where(taken).select("word", "c").collect()
     rows = sorted(((bytes(r.word), r.c) for r in rows), key=lambda r: (-r[1], r[0]))
     return dict(rows)
 

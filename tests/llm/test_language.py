@@ -104,3 +104,14 @@ def test_the_model_learns_what_counts_cannot(spark):
     per_token = sum(r.score for r in held) / sum(r.n_tokens for r in held)
     base = sum(r.base_score for r in held) / sum(r.n_tokens for r in held)
     assert per_token > base + 0.4
+
+
+def test_words_of_the_magnitude_that_crosses_the_bound(spark, monkeypatch):
+    """They are taken by count, and those of one count in part."""
+    monkeypatch.setattr(lm_scoring, "KNOWN", 40)
+    some = [(b"", 9)] + [(b"a%d" % i, 1000 + i % 2) for i in range(50)]
+    known = lm_scoring._frequent(spark.createDataFrame(some, "word binary, c long"))
+    assert 38 <= len(known) <= 40 and b"" not in known
+    assert [c for c in known.values()][:25] == [1001] * 25 and set(list(known.values())[25:]) == {1000}
+    few = spark.createDataFrame(some[:30], "word binary, c long")
+    assert lm_scoring._frequent(few) == dict(some[1:30])
