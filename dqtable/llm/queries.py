@@ -13,6 +13,7 @@ from dqtable.llm.lm_scoring import language_scores
 from dqtable.llm.pii import personal_data
 from dqtable.llm.quality import quality_verdicts
 from dqtable.llm.simhash_dedup import simhash_components
+from dqtable.llm.spelling import spelling_variants
 from dqtable.llm.substring_dedup import without_repeats
 from dqtable.llm.suffix_dedup import without_repeated_bytes
 from dqtable.llm.token_counts import token_counts
@@ -61,6 +62,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(read_table(spark, sf_dir, "pages"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_quality_rules": op2_quality_rules,
@@ -72,6 +77,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_warc": op10_warc,
+    "op11_spelling_variants": op11_spelling_variants,
 }
 
 WARC_SQL = """
