@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from dqtable.llm.byte_bpe import encoded
 from dqtable.llm.common import read_table
 from dqtable.llm.decontaminate import decontaminated
+from dqtable.llm.hard_negatives import hard_negatives
 from dqtable.llm.lm_scoring import language_scores
+from dqtable.llm.minhash_dedup import minhash_components
 from dqtable.llm.pii import personal_data
 from dqtable.llm.quality import quality_verdicts
 from dqtable.llm.simhash_dedup import simhash_components
@@ -66,6 +68,14 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(read_table(spark, sf_dir, "documents"))
 
 
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_components(read_table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(read_table(spark, sf_dir, "embeddings"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_quality_rules": op2_quality_rules,
@@ -78,6 +88,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_warc": op10_warc,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_minhash_dedup": op12_minhash_dedup,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 WARC_SQL = """
@@ -148,9 +160,58 @@ select d.doc_id, len(w) as n_words, len(w) - coalesce(n, 0) as n_removed,
 from d left join kept on d.doc_id = kept.doc_id
 """
 
+MINHASH_SQL = rf"""
+with recursive d as (select doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as w from documents),
+s as (
+  select distinct doc_id, array_to_string(w[k:k + 2], ' ') as g
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 2, least(len(w), 1)) + 1)) as k from d)
+),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (
+  select x.doc_id as a, y.doc_id as b, count(*) as k
+  from s x join s y on x.g = y.g and x.doc_id < y.doc_id group by 1, 2
+),
+l as (
+  select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b
+  where 100 * k >= 85 * (x.n + y.n - k)
+),
+e as (select a, b from l union all select b, a from l),
+r as (select doc_id as node, doc_id as other from d union select node, b from r join e on other = a),
+c as (select node, min(other) as least from r group by node)
+select d.doc_id, coalesce(n, 0) as n_shingles, least as component_id, d.doc_id = least as kept
+from d left join n on d.doc_id = n.doc_id join c on d.doc_id = node
+"""
+
+NEGATIVES_SQL = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * cast(x as double))) as q
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+s as (
+  select a.vec_id as anchor_id, b.vec_id as other, a.label = b.label as same,
+    cast(list_inner_product(a.q, b.q) as bigint) as score
+  from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
+),
+p as (
+  select anchor_id, other as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, other) <= 5
+)
+select anchor_id, positive_id,
+  cast(row_number() over (partition by anchor_id, positive_id order by score desc, other) as integer) as rank,
+  other as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id)
+where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify rank <= 10
+"""
+
 #: The others have no SQL form; tests hold them against plain readings of their contracts.
 LLM_ORACLE: dict[str, str] = {
     "op4_benchmark_decontamination": DECONTAMINATION_SQL,
     "op5_substring_dedup": SUBSTRINGS_SQL,
     "op10_warc": WARC_SQL,
+    "op12_minhash_dedup": MINHASH_SQL,
+    "op13_hard_negatives": NEGATIVES_SQL,
 }

@@ -18,7 +18,7 @@ def documents(spark):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES) == list(range(1, 14))
     assert set(LLM_QUERIES) | {"pipeline"} <= set(registered.queries())
     assert set(LLM_ORACLE) <= set(registered.oracle_sql())
 
