@@ -16,6 +16,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,8 +25,11 @@ from dqtable.llm.common import fill, stored, work_folder
 #: Fixed values of the format.
 MAGIC = b"WARC/1.0\r\n"
 END = "\r\n\r\n"
-#: Records per archive file: keeps a file at some ten MB, as a task reads files whole.
-FILE_RECORDS = 4096
+#: Bytes of an archive file, beyond which the next record starts a new one: a task reads files whole.
+FILE_BYTES = 32 << 20
+#: Files that a writing task may keep open.
+OPEN_FILES = 64
+_OPEN = "spark.sql.maxConcurrentOutputFileWriters"
 #: Equal payloads of at least so many bytes are stored once.
 REVISIT_BYTES = 1000
 DATE = "2000-01-01T00:00:00Z"
@@ -80,9 +84,35 @@ def records(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES, date: str = DA
 
 
 def write_archives(pages: DataFrame, folder: str, revisit_bytes: int = REVISIT_BYTES) -> None:
-    """Archive files below `folder`, one or more per task."""
-    writer = records(pages, revisit_bytes).write.mode("overwrite").option("lineSep", END)
-    writer.option("maxRecordsPerFile", FILE_RECORDS).text(folder)
+    """Archive files below `folder`, one or more per task.
+
+    A task fills one file after another, each with FILE_BYTES and the rest of its last record. Spark
+    keeps the files of a task open, so that it need not sort the records by file.
+    """
+    limit = FILE_BYTES
+
+    def dealt(batches):
+        before = 0
+        for batch in batches:
+            value = batch.column("value")
+            size = pc.binary_length(value).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = before + np.cumsum(size + len(END))
+            file = pa.array(np.r_[before, ends[:-1]] // limit, pa.int64())
+            before = int(ends[-1]) if len(ends) else before
+            yield pa.RecordBatch.from_arrays([value, file], names=["value", "file"])
+
+    rows = records(pages, revisit_bytes).mapInArrow(dealt, "value string, file long")
+    conf = pages.sparkSession.conf
+    usual = conf.get(_OPEN, None)
+    conf.set(_OPEN, str(OPEN_FILES))
+    try:
+        writer = rows.write.mode("overwrite").partitionBy("file").option("lineSep", END)
+        writer.text(folder)
+    finally:
+        if usual is None:
+            conf.unset(_OPEN)
+        else:
+            conf.set(_OPEN, usual)
 
 
 def _header(text: bytes) -> dict[bytes, bytes]:
@@ -90,23 +120,28 @@ def _header(text: bytes) -> dict[bytes, bytes]:
     return {name.strip().lower(): value.strip() for name, value in pairs}
 
 
+def _number(text: bytes) -> int | None:
+    """A whole number of 64 bits, else none: payloads hold headers of any kind."""
+    if len(text) > 20 or not text.removeprefix(b"-").isdigit():
+        return None
+    return number if -(2**63) <= (number := int(text)) < 2**63 else None
+
+
 def _page(name: bytes | None) -> int | None:
-    digits = (name or b"").removeprefix(b"<urn:page:").removesuffix(b">")
-    return int(digits) if digits.removeprefix(b"-").isdigit() else None
+    return _number((name or b"").removeprefix(b"<urn:page:").removesuffix(b">"))
 
 
 def candidate(content: bytes, at: int) -> tuple:
     """What a magic at `at` would be: its successor's offset (-1: no record), and its fields."""
     stop = content.find(b"\r\n\r\n", at)
     header = _header(content[at:stop]) if stop >= 0 else {}
-    length = header.get(b"content-length", b"")
-    end = stop + 4 + int(length) if length.isdigit() else -1
+    length = _number(header.get(b"content-length", b""))
+    end = stop + 4 + length if length is not None and 0 <= length <= len(content) else -1
     if stop < 0 or end < 0 or content[end : end + 4] != b"\r\n\r\n":
         return (at, -1, None, None, None, None, None)
     kind = header.get(b"warc-type", b"").decode("latin-1")
     digest = header.get(b"warc-payload-digest", b"").decode("latin-1").removeprefix("sha1:")
-    size = header.get(b"warc-payload-length", b"")
-    size = int(size) if size.isdigit() else None
+    size = _number(header.get(b"warc-payload-length", b""))
     if kind == "response":
         body = content.find(b"\r\n\r\n", stop + 4, end)
         payload = memoryview(content)[body + 4 if body >= 0 else stop + 4 : end]
@@ -144,7 +179,8 @@ _CANDIDATE = (
 
 def candidates(spark: SparkSession, folder: str) -> DataFrame:
     """(path, at, successor, fields) for every magic in every file below `folder`."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt")
+    files = files.option("recursiveFileLookup", "true").load(folder)
 
     def run(batches):
         for batch in batches:

@@ -2,6 +2,7 @@
 
 import duckdb
 import numpy as np
+import pytest
 import pyarrow as pa
 from compare import duck_rows, spark_rows
 from conftest import SF_DIR
@@ -53,6 +54,38 @@ def test_a_damaged_record_ends_the_chain(spark, scratch):
     assert [r.payload_bytes for r in rows] == [3]
 
 
+@pytest.mark.parametrize(
+    "field, value",
+    [
+        ("Content-Length", "9" * 5000),
+        ("Content-Length", "-9"),
+        ("WARC-Payload-Length", "9" * 30),
+        ("WARC-Record-ID", f"<urn:page:{'9' * 19}>"),
+        ("WARC-Record-ID", f"<urn:page:-{'9' * 25}>"),
+        ("WARC-Refers-To", f"<urn:page:{2**63}>"),
+        ("Content-Length", "é"),
+    ],
+)
+def test_fake_records_in_pages(spark, field, value):
+    """Records inside html, with numbers that no record has."""
+    fake = f"x\r\n\r\nWARC/1.0\r\nWARC-Type: revisit\r\n{field}: {value}\r\n"
+    fake += "" if field == "Content-Length" else "Content-Length: 3\r\n"
+    pages = [(1, "u", fake + "\r\nabc\r\n\r\n" + "end"), (2, "u", "plain"), (3, "u", fake * 20)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert spark_rows(warc.archive_round_trip(df)) == by_sql(pages)
+
+
+def test_files_are_bounded_by_bytes(spark, scratch, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 50_000)
+    pages = [(i, "u", f"{i} " + "x" * (i % 9 * 2500)) for i in range(200)] + [(900, "u", "y" * 400_000)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(2)
+    warc.write_archives(df, f"{scratch}/w")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{scratch}/w")
+    sizes = sorted(r.length for r in files.select("length").collect())
+    assert len(sizes) > 30 and sizes[-2] < 50_000 + 21_000 and sizes[-1] > 400_000
+    assert spark_rows(warc.read_archives(spark, f"{scratch}/w")) == by_sql(pages)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 9), min_size=1, max_size=40), st.randoms())
 def test_pointer_jumping_follows_the_links(steps, random):
