@@ -1,8 +1,8 @@
 """Quality rules: text statistics and robust multivariate outliers.
 
 Per (lang, source) the minimum covariance determinant is estimated: of the statistic vectors, the
-half whose covariance is smallest give centre and covariance. A document whose Mahalanobis distance
-from the bulk of its group is beyond a cutoff is rejected.
+half whose covariance is smallest give centre and covariance; the rows near it by a chi-square bound
+give the final ones. A document whose Mahalanobis distance from these is beyond a cutoff is rejected.
 
 Rows: one per row of `docs`. A null text has no words and fails the base rule. Null lang or source
 is a value of its own. Groups with few rows are judged by an estimate of all rows of their language,
@@ -34,6 +34,9 @@ NAMES = tuple(FEATURES)
 PAIRS = [(i, j) for i in range(len(NAMES)) for j in range(i, len(NAMES))]
 #: The chi-square quantile (5 degrees) of the half of a group that its estimate rests on.
 HALF_QUANTILE = 4.3515
+#: The chi-square quantile (5 degrees) of 97.5 %, within which rows enter the second estimate, and
+#: the factor that makes up for the rows beyond it: 0.975 / P(chi-square of 7 degrees below it).
+NEAR_QUANTILE, NEAR_FACTOR = 12.8325, 1.0555
 #: Squared distance beyond which a document is rejected, in units where the bulk is chi-square.
 CUTOFF = 80.0
 #: Rows that a group needs for an estimate of its own.
@@ -123,10 +126,10 @@ def _groups(rows: DataFrame, min_rows: int) -> DataFrame:
     """(lang_key, source_key, grp, fits): whose estimate judges a language and source, and which
     estimates its rows enter: its own, and that of its language and of all rows where needed."""
     counts = rows.groupBy("lang_key", "source_key").count()
-    in_lang = Window.partitionBy("lang_key")
     small = F.col("count") < min_rows
-    counts = counts.withColumn("lang_rows", F.sum("count").over(in_lang))
-    counts = counts.withColumn("lang_small", F.max(small).over(in_lang))
+    by_lang = counts.groupBy("lang_key")
+    by_lang = by_lang.agg(F.sum("count").alias("lang_rows"), F.max(small).alias("lang_small"))
+    counts = counts.join(by_lang, "lang_key")
     rest = counts.agg(F.max(F.col("lang_rows") < min_rows).alias("all_small"))
     counts = counts.crossJoin(F.broadcast(rest))
     # the length tells a source from a language whose name looks like it
@@ -221,7 +224,8 @@ def estimates(vectors: DataFrame, folder: str) -> DataFrame:
     `vectors`: a stored table (grp, transformed statistics). Each concentration step is one pass
     with sums per group and bin of the distance, merged in the map tasks, so a group with a third
     of all rows costs no task more than others. All sums are of whole numbers: their order is free.
-    A group takes steps until its determinant stops falling; it falls in every one before.
+    A group takes steps until its determinant stops falling; it falls in every one before. The
+    half's estimate, scaled, only says which rows are near; all those give the estimate that judges.
     """
     params = _starts(vectors, folder).withColumn("falls", F.lit(True))
     params = stored(params, f"{folder}/start")
@@ -240,8 +244,15 @@ def estimates(vectors: DataFrame, folder: str) -> DataFrame:
     best = params.drop("falls")
     edge = _nearest(vectors, best).groupBy("grp").agg(F.max("bin").alias("edge"))
     scale = F.greatest(F.pow(F.lit(2.0), (F.col("edge") + 1) / _BINS), F.lit(2.0**-9))
-    scaled = best.join(edge, "grp").withColumn("scale", scale / HALF_QUANTILE)
-    return stored(scaled.drop("edge", "logdet"), f"{folder}/estimates")
+    half = best.join(edge, "grp").withColumn("scale", scale / HALF_QUANTILE)
+    half = stored(half.drop("edge", "logdet"), f"{folder}/half")
+    near = vectors.join(half, "grp").where(_distance() <= NEAR_QUANTILE * F.col("scale"))
+    moments = stored(near.groupBy("grp").agg(*_moments()), f"{folder}/near")
+    # few rows spread less than what they come from
+    few = F.col("n") / F.greatest(F.col("n") - len(NAMES) - 1, F.lit(1))
+    scales = moments.select("grp", (few * NEAR_FACTOR).alias("scale"))
+    judging = moments.mapInPandas(_solve, _PARAMS).drop("logdet").join(scales, "grp")
+    return stored(judging, f"{folder}/estimates")
 
 
 def base_failed(min_words: int = 50) -> Column:
