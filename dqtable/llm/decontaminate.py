@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from dqtable.llm.common import fill, pieces, stored, work_folder
 
-#: Words of items that are matched in one pass over the documents (about 100 MB in a task).
+#: Words of items that are matched in one pass over the documents (about 100 MB in a task). Their
+#: shingles, numbers of three words, stay below 63 bits.
 BLOCK_WORDS = 1_000_000
 SHINGLE = 3
 _WORD_BYTES = bytes(
@@ -51,6 +52,8 @@ class Windows:
                 owners.setdefault(tuple(words[i : i + window]), set()).add(number.get(item, -1))
         self.vocabulary = vocabulary
         self.base = len(vocabulary) + 1
+        if self.base**SHINGLE >= 1 << 63:
+            raise ValueError(f"{len(vocabulary)} words in a block: their shingles have no number")
         self.length = np.array([len(w) for w in owners], np.int64)
         self.words = np.zeros((len(owners), window), np.int64)
         for i, w in enumerate(owners):
@@ -173,23 +176,59 @@ def _count_shingles(docs: DataFrame, windows: Windows) -> dict[int, int]:
     return {r.k: r.n for r in counts.groupBy("k").agg(F.sum("n").alias("n")).collect()}
 
 
+def _item_pieces(benchmark: DataFrame, window: int) -> DataFrame:
+    """(item, text, n): the words of each item once, in pieces of at most BLOCK_WORDS that overlap
+    by all but one word of a window, so every window lies in one of them."""
+    most = max(BLOCK_WORDS, window)
+    step = most - window + 1
+
+    def run(batches):
+        for batch in batches:
+            for part, texts in pieces(batch, "text"):
+                items, out, count = part.column("item").to_pylist(), [], []
+                own = []
+                for item, text in zip(items, texts, strict=True):
+                    words = words_of(text)
+                    last = max(0, len(words) - window) if words else -1
+                    for start in range(0, last + 1, step):
+                        cut = words[start : start + most]
+                        own.append(item)
+                        out.append(b" ".join(cut).decode())
+                        count.append(len(cut))
+                columns = [pa.array(own, pa.string()), pa.array(out, pa.string()), pa.array(count, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["item", "text", "n"])
+
+    items = benchmark.where("text is not null")
+    items = items.select(F.col("item_id").cast("string").alias("item"), "text").distinct()
+    return items.mapInArrow(run, "item string, text string, n long")
+
+
+def _parts(items: DataFrame, parts: int, salt: int = 0):
+    """The items by parts of a hash; a part beyond BLOCK_WORDS is parted again."""
+    part = F.pmod(F.xxhash64("item", "text", F.lit(salt)), F.lit(parts))
+    keyed = items.withColumn("part", part)
+    sizes = keyed.groupBy("part").agg(F.sum("n").alias("n"), F.count("*").alias("rows"))
+    for r in sorted(sizes.collect()):
+        own = keyed.where(F.col("part") == r.part).drop("part")
+        if r.n > BLOCK_WORDS and r.rows > 1:
+            yield from _parts(own, max(2, -(-2 * r.n // BLOCK_WORDS)), salt + 1)
+        else:
+            yield own
+
+
 def blocks(docs: DataFrame, benchmark: DataFrame, window: int):
-    """The items in blocks of at most about BLOCK_WORDS words, ready to match.
+    """The items in blocks of at most BLOCK_WORDS words, ready to match.
 
-    A block has a size bound, so it can go to the driver and to every task; more items mean more
-    passes over the documents.
+    A block can go to the driver and to every task; more items mean more passes over the documents.
+    Repeated rows are merged and long items cut before, so the bound holds for any benchmark.
     """
-    words = F.size(F.split(F.col("text"), r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+"))
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text")
-    items = items.where("text is not null")
-    total = items.agg(F.sum(words)).first()[0] or 0
-    count = -(-total // BLOCK_WORDS)
-    for number in range(count):
-        part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == number)
+    folder = work_folder(docs.sparkSession, "items")
+    items = stored(_item_pieces(benchmark, window), folder)
+    total = items.agg(F.sum("n")).first()[0] or 0
+    for part in _parts(items, -(-total // BLOCK_WORDS)) if total else ():
         block = Windows([(r.item, r.text.encode()) for r in part.collect()], window)
-        if len(block.length):
-            block.set_prefixes(_count_shingles(docs, block))
-            yield block
+        block.set_prefixes(_count_shingles(docs, block))
+        yield block
 
 
 def annotated(docs: DataFrame, benchmark: DataFrame, carry: list[str], window: int) -> DataFrame:

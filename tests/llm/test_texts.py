@@ -94,6 +94,27 @@ def test_decontamination(spark, monkeypatch, block):
         assert not any(r.contaminated for r in decontaminate.decontaminated(some, other).collect())
 
 
+def test_decontamination_by_long_items(spark, monkeypatch):
+    """An item of more words than a block holds, and many copies of an item."""
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 40)
+    long = [f"w{i}" for i in range(200)]
+    items = [(1, " ".join(long)), *[(2, "copy of an item, " * 3)] * 30, (3, "one two")]
+    texts = [(i, " ".join(["x", *long[i : i + 10], "y"])) for i in range(0, 191, 7)]
+    texts += [(500, " ".join(long)), (501, " ".join(long[-22:])), (502, "one two three"), (503, " ".join(long[3:12]))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    parts = list(decontaminate.blocks(docs, benchmark, 10))
+    assert len(parts) > 3 and max(len(b.vocabulary) for b in parts) <= 40
+    got = brute.Counter(tuple(r)[:6] for r in decontaminate.decontaminated(docs, benchmark).collect())
+    assert got == brute.Counter((doc, *brute.decontaminated(text, items)) for doc, text in texts)
+
+
+def test_a_block_whose_shingles_have_no_number_is_refused():
+    words = " ".join(f"w{i:x}" for i in range(1 << 21)).encode()
+    with pytest.raises(ValueError, match="no number"):
+        decontaminate.Windows([("1", words)], 10)
+
+
 def test_decontamination_of_documents(spark, documents):
     items = [(r.item_id, r.text) for r in read_table(spark, SF_DIR, "benchmark").collect()]
     found = decontaminate.decontaminated(
