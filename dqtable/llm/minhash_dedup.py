@@ -296,10 +296,12 @@ def _block_links(members: DataFrame, sets: Sets, folder: str) -> DataFrame:
     seen = dealt.groupBy("key", "p", "q").applyInPandas(suspects, "key long, uid long").distinct()
     seen = stored(seen, f"{folder}/suspects")
     uids = stored(seen.select("uid").distinct(), f"{folder}/suspect-uids")
-    whole = stored(sets.of(uids), f"{folder}/suspect-sets")
+    whole = sets.of(uids)
     kept = members.join(seen, ["key", "uid"])
     shared = kept.groupBy("uid").agg(F.array_sort(F.collect_set("key")).alias("keys"))
-    dealt = _dealt(kept).join(sets.sketches, "uid").join(shared, "uid").join(whole, "uid")
+    # one row per set before they meet the members, who are many times as many
+    each = shared.join(whole, "uid").join(sets.sketches, "uid")
+    dealt = _dealt(kept).join(stored(each, f"{folder}/suspect-rows"), "uid")
 
     def links(frame: pd.DataFrame) -> pd.DataFrame:
         out, label = [], {g: g for g in frame["group"]}
