@@ -17,7 +17,7 @@ from __future__ import annotations
 import heapq
 from collections import Counter
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,16 +36,16 @@ STEPS, LANES, PER_LANE = 32, 512, 2000
 SEGMENT = 2048
 #: Rounds of training, each on its share of the documents, and Adagrad's step.
 ROUNDS, RATE = 3, 0.15
-#: Words whose counts go to every task (a few MB); the others' counts are joined.
-KNOWN = 200_000
+#: Words whose counts go to every task, and bytes of the longest one; the others' counts are joined.
+KNOWN, LONGEST = 200_000, 64
 #: Parts of the words of equal count at the edge of the known ones.
 PARTS = 4096
 #: Distinct words that a counting task holds before it hands them on.
 HELD = 400_000
 #: Tokens that a task trains on or scores at once.
 CHUNK = 3_000_000
-#: Groups in which the tasks' weights are averaged before the driver sees them.
-MERGES = 16
+#: Sets of weights that one task, or the driver at last, adds up.
+FAN_IN = 64
 END, REST = 0, 1
 _SHAPES = {
     "table": (VOCABULARY, WIDTH),
@@ -347,7 +347,8 @@ def _frequent(counts: DataFrame) -> dict[bytes, int]:
     crosses KNOWN is taken by count, and the count that crosses it by parts of a hash. So a task
     sends the driver no word that is not among them.
     """
-    words = counts.where("word <> x''").withColumn("size", F.floor(F.log2("c") * 64).cast("int"))
+    words = counts.where((F.octet_length("word") > 0) & (F.octet_length("word") <= LONGEST))
+    words = words.withColumn("size", F.floor(F.log2("c") * 64).cast("int"))
     words = words.withColumn("part", -F.pmod(F.xxhash64("word"), F.lit(PARTS)))
     taken, level, room = F.lit(False), F.lit(True), KNOWN
     for name in ("size", "c", "part"):
@@ -367,8 +368,13 @@ def _frequent(counts: DataFrame) -> dict[bytes, int]:
     return dict(rows)
 
 
-def trained(docs: DataFrame, ids: dict[bytes, int], rounds: int = ROUNDS) -> dict[str, np.ndarray]:
-    """Weights after all rounds; each round averages what the tasks learned from its documents."""
+def trained(
+    docs: DataFrame, ids: dict[bytes, int], folder: str, rounds: int = ROUNDS
+) -> dict[str, np.ndarray]:
+    """Weights after all rounds; each round averages what the tasks learned from its documents.
+
+    The tasks' weights are written and added up in levels, FAN_IN at a time.
+    """
     spark = docs.sparkSession
     weights = first_weights(len(ids) + 1)
     words = spark.sparkContext.broadcast(ids)
@@ -388,15 +394,23 @@ def trained(docs: DataFrame, ids: dict[bytes, int], rounds: int = ROUNDS) -> dic
                         held, total = [], total + size
             run_lanes(network, _segments(held), step)
             total += sum(map(len, held))
-            blob = pa.array([packed(own).astype("<f4").tobytes()] if total else [], pa.binary())
+            flat = (packed(own).astype("<f8") * total).tobytes()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([total] if total else [], pa.int64()), blob], names=["n", "weights"]
+                [pa.array([total] if total else [], pa.int64()), pa.array([flat] if total else [], pa.binary())],
+                names=["n", "weights"],
             )
 
         part = docs.where(~held_out() & (share == number)).select(fill().alias("text"))
         learned = part.mapInArrow(run, "n long, weights binary")
-        learned = learned.withColumn("merge", F.spark_partition_id() % MERGES)
-        sums = learned.groupBy("merge").applyInArrow(_weighted, "n long, weights binary").collect()
+        learned = learned.withColumn("part", F.spark_partition_id())
+        level = 0
+        learned = stored(learned, f"{folder}/round-{number}-{level}")
+        while learned.count() > FAN_IN:
+            level += 1
+            dealt = learned.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int"))
+            merged = dealt.groupBy("part").applyInArrow(_added, "n long, weights binary, part int")
+            learned = stored(merged, f"{folder}/round-{number}-{level}")
+        sums = learned.collect()
         total = sum(r.n for r in sums)
         if total:
             flat = [np.frombuffer(r.weights, "<f8") for r in sorted(sums, key=lambda r: r.weights)]
@@ -404,18 +418,51 @@ def trained(docs: DataFrame, ids: dict[bytes, int], rounds: int = ROUNDS) -> dic
     return weights
 
 
-def _weighted(rows: pa.Table) -> pa.Table:
-    """Weights of several tasks, multiplied by their tokens and added, in one order."""
-    pairs = sorted(zip(rows["n"].to_pylist(), rows["weights"].to_pylist(), strict=True))
-    flat = sum(n * np.frombuffer(w, "<f4").astype(np.float64) for n, w in pairs)
-    columns = [pa.array([sum(n for n, _ in pairs)], pa.int64()), pa.array([flat.tobytes()], pa.binary())]
-    return pa.Table.from_arrays(columns, names=["n", "weights"])
+def _added(key: tuple[pa.Scalar], rows: pa.Table) -> pa.Table:
+    """Weights of several tasks, each multiplied by its tokens, added in one order."""
+    flat = sum(np.frombuffer(w, "<f8") for w in sorted(rows["weights"].to_pylist()))
+    columns = [
+        pa.array([sum(rows["n"].to_pylist())], pa.int64()),
+        pa.array([flat.tobytes()], pa.binary()),
+        pa.array([key[0].as_py()], pa.int32()),
+    ]
+    return pa.Table.from_arrays(columns, names=["n", "weights", "part"])
 
 
-def _scored(docs: DataFrame, ids, known, weights) -> DataFrame:
+def _looked_up(lists: list[list[bytes]], index: dict[bytes, int], logs: np.ndarray):
+    """What a slice of texts gives without the counts of rare words.
+
+    `index` numbers the known words, most frequent first; `logs` has their log10 counts plus one.
+    Per text: the network's ids with the end, (words + 1, log_c, words that it takes for REST, their
+    log_c), and the words that are not known with their numbers.
+    """
+    size = np.array([len(words) for words in lists], np.int64)
+    doc = np.repeat(np.arange(len(lists)), size)
+    words = list(chain.from_iterable(lists))
+    at = np.fromiter(map(index.get, words, repeat(-1)), np.int32, len(words))
+    inside = (at >= 0) & (at < VOCABULARY - 2)
+    log = np.where(at >= 0, logs[at], 0.0)
+
+    def per_text(values):
+        return np.bincount(doc, values, len(lists)).astype(np.float64)
+
+    sums = (size + 1, per_text(log), per_text(~inside).astype(np.int64), per_text(np.where(inside, 0.0, log)))
+    stops = size.cumsum() + np.arange(len(lists))
+    ids = np.full(len(words) + len(lists), END, np.int32)
+    place = np.ones(len(ids), bool)
+    place[stops] = False
+    ids[place] = np.where(inside, at + 2, REST)
+    tails: list[Counter] = [Counter() for _ in lists]
+    rare = np.flatnonzero(at < 0)
+    for k, d in zip(rare.tolist(), doc[rare].tolist(), strict=True):
+        tails[d][words[k]] += 1
+    return np.split(ids, stops[:-1] + 1), sums, tails
+
+
+def _scored(docs: DataFrame, known: dict[bytes, int], weights) -> DataFrame:
     """Per row, what the task can tell without the counts of rare words, and those words."""
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast((ids, known, packed(weights)))
+    sent = spark.sparkContext.broadcast((list(known), list(known.values()), packed(weights)))
     rows = docs.select(
         F.monotonically_increasing_id().alias("uid"),
         "doc_id",
@@ -425,25 +472,22 @@ def _scored(docs: DataFrame, ids, known, weights) -> DataFrame:
     fields = "n_tokens long, log_c double, rest long, log_rest double, log_net double"
 
     def run(batches):
-        vocabulary, counts, flat = sent.value
+        words, counts, flat = sent.value
         network = Network(unpacked(flat))
-        logs = {w: float(np.log10(c + 1)) for w, c in counts.items()}
+        index = {w: i for i, w in enumerate(words)}
+        logs = np.log10(np.array([*counts, 0], np.float64) + 1)
 
         def finish(parts, found, docs):
             net = run_lanes(network, docs) / np.log(10)
             at = 0
-            for part in parts:
-                own = found[at : at + part.num_rows]
+            for part, (sums, tails) in zip(parts, found, strict=True):
                 columns = [part.column(c) for c in ("uid", "doc_id", "held_out")]
-                kinds = (pa.int64(), pa.float64(), pa.int64(), pa.float64())
-                columns += [pa.array([f[k] for f in own], t) for k, t in enumerate(kinds)]
+                columns += [pa.array(s) for s in sums]
                 columns.append(pa.array(net[at : at + part.num_rows]))
-                tail = [list(f[4].items()) for f in own]
-                offsets = np.r_[0, np.cumsum([len(t) for t in tail])].astype(np.int32)
-                pairs = [p for t in tail for p in t]
+                offsets = np.r_[0, np.cumsum([len(t) for t in tails])].astype(np.int32)
+                own, times = (list(chain.from_iterable(x)) for x in zip(*((t.keys(), t.values()) for t in tails)))
                 struct = pa.StructArray.from_arrays(
-                    [pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.int32())],
-                    names=["word", "times"],
+                    [pa.array(own, pa.binary()), pa.array(times, pa.int32())], names=["word", "times"]
                 )
                 columns.append(pa.ListArray.from_arrays(offsets, struct))
                 names = ["uid", "doc_id", "held_out", *(f.split()[0] for f in fields.split(", ")), "tail"]
@@ -453,17 +497,10 @@ def _scored(docs: DataFrame, ids, known, weights) -> DataFrame:
         parts, found, held, size = [], [], [], 0
         for batch in batches:
             for part, texts in pieces(batch, "text"):
-                lists = [tokens_of(t) for t in texts]
-                for words in lists:
-                    often = [logs.get(w) for w in words]
-                    tail = Counter(w for w, x in zip(words, often, strict=True) if x is None)
-                    log_c = sum(x for x in often if x is not None)
-                    inside = [x for w, x in zip(words, often, strict=True) if x is not None and w in vocabulary]
-                    found.append(
-                        (len(words) + 1, log_c, len(words) - len(inside), log_c - sum(inside), tail)
-                    )
-                held += _numbered(lists, vocabulary)
-                size += sum(len(x) for x in lists) + len(lists)
+                ids, sums, tails = _looked_up([tokens_of(t) for t in texts], index, logs)
+                found.append((sums, tails))
+                held += ids
+                size += int(sums[0].sum())
                 parts.append(part.select(["uid", "doc_id", "held_out"]))
                 if size > CHUNK:
                     yield from finish(parts, found, held)
@@ -489,8 +526,8 @@ def language_scores(docs: DataFrame) -> DataFrame:
     known = _frequent(counts)
     frequent = list(known)[: VOCABULARY - 2]
     ids = {word: i + 2 for i, word in enumerate(frequent)}
-    weights = trained(docs, ids)
-    scored = stored(_scored(docs, ids, known, weights), f"{folder}/scored")
+    weights = trained(docs, ids, folder)
+    scored = stored(_scored(docs, known, weights), f"{folder}/scored")
     ends = tokens and (counts.where("word = x''").first().c or 0)
     # what the network leaves to the common token: words outside its vocabulary, and unseen ones
     rest = tokens - ends - sum(known[w] for w in frequent)

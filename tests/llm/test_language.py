@@ -115,3 +115,14 @@ def test_words_of_the_magnitude_that_crosses_the_bound(spark, monkeypatch):
     assert [c for c in known.values()][:25] == [1001] * 25 and set(list(known.values())[25:]) == {1000}
     few = spark.createDataFrame(some[:30], "word binary, c long")
     assert lm_scoring._frequent(few) == dict(some[1:30])
+
+
+def test_weights_merge_in_levels(spark, monkeypatch):
+    """Whatever the fan-in, the same weights but for rounding; long words are joined."""
+    rows = [(i, f"w{i % 7} a b {'long' * 30}") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
+    want = {r.doc_id: r for r in language_scores(df).collect()}
+    monkeypatch.setattr(lm_scoring, "FAN_IN", 2)
+    for r in language_scores(df).collect():
+        assert r.score == pytest.approx(want[r.doc_id].score, rel=1e-5)
+        assert r.base_score == pytest.approx(brute.unigram(rows)[2][r.doc_id][3], rel=1e-9)
