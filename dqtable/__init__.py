@@ -17,7 +17,11 @@ from dqtable.operators.clean import clean_data, clean_rows, dedup_counts, flag_r
 from dqtable.operators.headers import conform, normalize_headers, schema_diff
 from dqtable.operators.outbox import outbox
 from dqtable.operators.profile import (
+    correlation_of,
+    merge_pairs,
+    merge_profiles,
     missing_of,
+    pair_states,
     profile_columns,
     profile_correlation,
     profile_exact,
@@ -33,6 +37,7 @@ from dqtable.operators.score import alerts, score
 from dqtable.operators.summary import run_metadata, run_summary
 from dqtable.plans.batch import run_batch
 from dqtable.session import session_options
+from dqtable.sinks.tables import finished_runs, read_runs
 from dqtable.sources.csv import load_csv, stream_csv
 from dqtable.sources.tables import load_parquet, union_sources
 from dqtable.streaming.incremental import clean_incremental
@@ -53,22 +58,28 @@ __all__ = [
     "clean_text",
     "cleaning_report",
     "conform",
+    "correlation_of",
     "dedup_counts",
+    "finished_runs",
     "fix_email",
     "flag_rows",
     "load_csv",
     "load_parquet",
+    "merge_pairs",
+    "merge_profiles",
     "missing_of",
     "normalize_headers",
     "normalize_phone",
     "null_tokens",
     "outbox",
+    "pair_states",
     "profile_columns",
     "profile_correlation",
     "profile_exact",
     "profile_missing",
     "profile_stats",
     "profile_summary",
+    "read_runs",
     "register_functions",
     "reject_rows",
     "run_batch",

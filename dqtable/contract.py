@@ -8,7 +8,14 @@ from dataclasses import dataclass, field
 from dqtable.functions.text import NULL_TOKENS
 
 # Rule kind -> default part of the counter name, `invalid_<label>_dropped`.
-RULE_LABELS = {"email": "emails", "phone": "phones", "number": "numbers", "date": "dates"}
+RULE_LABELS = {
+    "email": "emails",
+    "phone": "phones",
+    "number": "numbers",
+    "date": "dates",
+    "not_null": "nulls",
+    "unique": "repeats",
+}
 
 # Text of a record that could not be read as a row; null for all other rows.
 CORRUPT = "_corrupt_record"
@@ -16,7 +23,12 @@ CORRUPT = "_corrupt_record"
 
 @dataclass(frozen=True)
 class Rule:
-    """A row whose value fails its rule is rejected."""
+    """A row whose value fails its rule is rejected.
+
+    `not_null` fails where there is no value, `unique` in every row whose value another row has as
+    well (nulls are no values; copies of a row are one row once they are dropped). Both leave the
+    value as it is, and neither is part of the people contract.
+    """
 
     kind: str
     label: str = ""

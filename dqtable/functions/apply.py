@@ -15,7 +15,10 @@ Step = Callable[[Column], Column]
 
 def rule_steps(kind: str, data_type: T.DataType, date_range: tuple[str, str] | None) -> list[Step]:
     """The projections a rule consists of. A column that already is a number or a date skips the
-    text steps; any other type is read through its text."""
+    text steps; any other type is read through its text. Rules about presence and about other rows
+    leave the value alone."""
+    if kind in ("not_null", "unique"):
+        return [lambda c: c]
     if kind == "number" and isinstance(data_type, T.NumericType):
         return [lambda c: rules.non_negative(c.cast("double"))]
     if kind == "date" and isinstance(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import replace
 from functools import reduce
 from operator import and_
@@ -27,6 +28,11 @@ ROW = "row"
 RAW = "raw"
 REASONS = "reject_reasons"
 MALFORMED = "malformed"
+# Rows that an earlier delivery held, and the column of their digests.
+DELIVERED = "delivered_before"
+DIGEST = "digest"
+#: Shared values that go to every task, the most frequent ones.
+FREQUENT = 1000
 
 
 def bad(column: str) -> str:
@@ -44,11 +50,48 @@ def dedup_counts(df: DataFrame, name: str = COPIES) -> DataFrame:
     return df.groupBy(*(F.col(f"`{c}`") for c in df.columns)).agg(F.count(F.lit(1)).alias(name))
 
 
+def row_digest(columns: Sequence[Column]) -> Column:
+    """SHA-256 of a row's values as text; the length before each tells values and nulls apart."""
+    texts = (c.cast("string") for c in columns)
+    parts = (F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("-")) for t in texts)
+    return F.unhex(F.sha2(F.concat(*parts), 256))
+
+
+def mark_shared(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Add, for each `{target: column}`, whether other rows have the value of `column` as well.
+
+    Values are counted in the map tasks first. The most frequent ones, FREQUENT at most, go to every
+    task; rows that have one are dealt out evenly while the other values are joined, so no task
+    gathers the rows of a value that many share.
+    """
+    for target, column in columns.items():
+        value = F.col(f"`{column}`")
+        taken = [*df.columns, *columns]
+        hot_value, hot, few_value, few, salt, place = (
+            unused(f"_{n}", taken) for n in ("hot_value", "hot", "few_value", "few", "salt", "place")
+        )
+        counts = df.where(value.isNotNull()).groupBy(value.alias(few_value))
+        counts = counts.agg(F.count(F.lit(1)).alias(few)).where(F.col(few) > 1)
+        top = counts.orderBy(F.col(few).desc()).limit(FREQUENT)
+        top = top.select(F.col(few_value).alias(hot_value), F.lit(True).alias(hot))
+        rest = counts.select(few_value, F.lit(0).alias(salt), F.lit(True).alias(few))
+        dealt = 1 + F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)), F.lit(1 << 20))
+        alone = value.isNull() | F.col(hot).isNotNull()
+        df = df.join(F.broadcast(top), value == F.col(hot_value), "left")
+        df = df.withColumn(place, F.when(alone, dealt).otherwise(0).cast("int"))
+        met = (value == F.col(few_value)) & (F.col(place) == F.col(salt))
+        df = df.join(rest, met, "left")
+        df = df.withColumn(target, F.coalesce(hot, few, F.lit(False)))
+        df = df.drop(hot_value, hot, few_value, few, salt, place)
+    return df
+
+
 def flag_rows(
     df: DataFrame,
     contract: TableContract,
     drop_duplicates: bool = True,
     where: Column | str | None = None,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
     """One row per distinct input row: `row` (cleaned columns), `raw` (the same as delivered), a
     `bad_<column>` flag per rule, `reject_reasons`, `kept` and `copies`.
@@ -57,7 +100,11 @@ def flag_rows(
     Rows are compared as delivered: neither cleaning nor null tokens make two rows copies. Records
     that `load_csv` could not read as rows are rejected as `malformed`. `where` is a condition on
     delivered columns; it is applied first and reaches the scan. (A filter on the result cannot, as
-    `kept` keeps filters from repeating the rules below it.) Everything downstream (kept rows,
+    `kept` keeps filters from repeating the rules below it.)
+
+    `seen` (digest): digests of rows that earlier deliveries held, see `dqtable.operators.ledger`.
+    Such rows are rejected as `delivered_before` and fail nothing else; every row's digest is in the
+    column `digest` then. Everything downstream (kept rows,
     rejects, report) reads this frame; when more than one of them is needed, write it once, see
     `dqtable.plans.batch`.
     """
@@ -80,6 +127,14 @@ def flag_rows(
     if absent:
         rows = rows.withColumns({c: F.lit(None).cast("string") for c in absent})
 
+    digest = before = None
+    if seen is not None:
+        digest, before = (unused(n, [*columns, copies]) for n in (DIGEST, DELIVERED))
+        own = row_digest([F.col(f"`{c}`") for c in columns])
+        known = seen.select(F.col(DIGEST).alias("_seen")).groupBy("_seen").agg(F.lit(True).alias(before))
+        rows = rows.withColumn(digest, own)
+        rows = rows.join(known, F.col(digest) == F.col("_seen"), "left").drop("_seen")
+
     texts = nullable_texts(rows.select(*(F.col(f"`{c}`") for c in columns)), contract)
     tokens = [F.lit(token) for token in contract.null_tokens]
     clean: dict[str, str] = {}
@@ -92,11 +147,21 @@ def flag_rows(
         {clean[c]: (clean[c] if c in texts else c, rule) for c, rule in contract.rules.items()},
         contract.date_range,
     )
-    failures = {c: F.col(f"`{clean[c]}`").isNull() for c in ruled}
+    alone = [c for c, rule in contract.rules.items() if rule.kind == "unique"]
+    shared: dict[str, str] = {}
+    for c in alone:
+        shared[c] = unused(f"_shared_{c}", [*rows.columns, *shared.values()])
+    rows = mark_shared(rows, {shared[c]: clean[c] for c in alone})
+    failures = {
+        c: F.col(f"`{shared[c]}`") if c in shared else F.col(f"`{clean[c]}`").isNull() for c in ruled
+    }
     if CORRUPT in columns:
         # What is no row of the table has no fields that could fail their rules.
         failures = {c: failed & F.col(CORRUPT).isNull() for c, failed in failures.items()}
         failures[MALFORMED] = F.col(CORRUPT).isNotNull()
+    if before:
+        again = F.coalesce(F.col(f"`{before}`"), F.lit(False))
+        failures = {c: failed & ~again for c, failed in failures.items()} | {DELIVERED: again}
     # The partition number never is negative: the test only makes `kept` non-deterministic, and
     # a filter on it is then not copied below the rules, where it would evaluate them again.
     kept = reduce(and_, (~failed for failed in failures.values()), F.spark_partition_id() >= 0)
@@ -114,6 +179,7 @@ def flag_rows(
         reasons.alias(REASONS),
         kept.alias(KEPT),
         F.col(f"`{copies}`").alias(COPIES),
+        *([F.col(f"`{digest}`").alias(DIGEST)] if digest else []),
     )
 
 

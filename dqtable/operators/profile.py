@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from dqtable.errors import ContractError
+from dqtable.operators.headers import unused
+
+# Code that tasks run is sent to them, so that executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PROFILE_VERSION = "1.0"
 STATISTICS = ("mean", "min", "max", "sum")
-# Columns beside the stacked one: six sums for each stay within compiled code.
-BLOCK = 8
+# Values of a batch that are multiplied at once.
+CELLS = 1 << 20
 
 
 def numeric_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
@@ -126,15 +135,19 @@ def profile_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 
 
 def stats_wide(stats: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per statistic, one column per field. The fields are named, so no job looks for them."""
-    return stats.groupBy("statistic").pivot("column", list(columns)).agg(F.first("value"))
+    """One row per statistic, one column per field. The fields are named, so no job looks for them.
+    Where a field is called `statistic`, the key has underscores in front."""
+    key = unused("statistic", columns)
+    named = stats.withColumnRenamed("statistic", key)
+    return named.groupBy(key).pivot("column", list(columns)).agg(F.first("value"))
 
 
 def profile_columns(df: DataFrame) -> DataFrame:
-    """One row per column: number, column, numeric, rows, missing, mean, min, max, sum.
+    """One row per column: number, column, numeric, rows, missing, n, exact, mean, min, max, sum.
 
     The summary, missing values and statistics of a table in one pass; write it once and read them
-    from it. Without rows for an empty table.
+    from it, or add several up with `merge_profiles`. `n` counts the values behind the mean, `exact`
+    is the sum of whole numbers where it fits in 64 bits. Without rows for an empty table.
     """
     numeric = set(numeric_columns(df))
     none = F.lit(None)
@@ -153,6 +166,8 @@ def profile_columns(df: DataFrame) -> DataFrame:
     sums = grouped.agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum("missing").alias("missing"),
+        F.count("value").alias("n"),
+        F.try_sum("whole").alias("exact"),
         *_moments(),
     )
     named = F.array(*(F.struct(F.lit(c).alias("c"), F.lit(c in numeric).alias("n")) for c in df.columns))
@@ -162,10 +177,38 @@ def profile_columns(df: DataFrame) -> DataFrame:
         F.col("x.n").alias("numeric"),
         "rows",
         "missing",
+        "n",
+        "exact",
         *STATISTICS,
     )
 
 
+def merge_profiles(profiles: DataFrame, delivery: str = "run_id") -> DataFrame:
+    """`profile_columns` of several deliveries, told apart by a column, as that of their union.
+
+    Rows of a delivery that lacks a column count as missing there. Means are weighted by the values
+    behind them; whole sums stay exact as long as they fit in 64 bits.
+    """
+    per_delivery = profiles.groupBy(delivery).agg(F.max("rows").alias("rows"))
+    rows = per_delivery.agg(F.sum("rows")).scalar()
+    weighted = F.sum(F.when(F.col("n") > 0, F.col("mean") * F.col("n")))
+    inexact = F.count_if(F.col("exact").isNull() & (F.col("n") > 0)) > 0
+    exact = F.when(~inexact, F.try_sum("exact"))
+    merged = profiles.groupBy("column").agg(
+        F.min("number").alias("number"),
+        F.bool_or("numeric").alias("numeric"),
+        (rows - F.sum(F.col("rows") - F.col("missing"))).alias("missing"),
+        F.sum("n").alias("n"),
+        exact.alias("exact"),
+        F.try_divide(weighted, F.sum("n")).alias("mean"),
+        F.min("min").alias("min"),
+        F.max("max").alias("max"),
+        F.coalesce(exact.cast("double"), F.sum("sum")).alias("sum"),
+    )
+    merged = merged.withColumn("rows", rows)
+    return merged.select("number", "column", "numeric", "rows", "missing", "n", "exact", *STATISTICS)
+
+
 def summary_of(profile: DataFrame) -> DataFrame:
     """`profile_summary` from a written profile."""
     names = F.array_sort(F.collect_list(F.when(F.col("numeric"), F.struct("number", "column"))))
@@ -223,81 +266,158 @@ def profile_exact(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     )
 
 
-def _centred(df: DataFrame, numeric: Sequence[str]) -> list[Column]:
-    """The columns less their means, which come from one earlier pass (a scalar subquery): products
-    of values far from zero would lose the digits that tell them apart."""
-    # NaN is missing; infinite values leave the mean undefined, then nothing is subtracted
-    means = [F.avg(_value(df, c)).alias(f"m{i}") for i, c in enumerate(numeric)]
-    centre = df.agg(F.struct(*means).alias("means")).scalar()
-    out = []
-    for i, c in enumerate(numeric):
-        mean = centre[f"m{i}"]
-        finite = mean.isNotNull() & (F.abs(mean) < float("inf"))
-        out.append(_value(df, c) - F.when(finite, mean).otherwise(0.0))
-    return out
+#: Per two columns: sums over the rows where both have a value, about a centre of each.
+_SUMS = ("n", "spoiled", "s_a", "s_b", "q_a", "q_b", "p", "low_a", "high_a", "low_b", "high_b")
+_CENTRES = ("centre_a", "centre_b")
+_PAIR = ", ".join(
+    ["a int, b int", *(f"{c} double" for c in _CENTRES), "n long, spoiled long"]
+    + [f"{c} double" for c in _SUMS[2:]]
+)
 
 
-def profile_correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(col_a, col_b, corr): the full Pearson matrix over rows where both values are present.
+class _PairSums:
+    """Sums of products of all columns with each other, batch by batch as matrix products.
+
+    Products are of values less a centre, as products of values far from zero would lose the digits
+    that tell them apart. The centre is the mean of what comes first.
+    """
 
-    Any number of columns; name some for a smaller matrix. Empty for fewer than two. Each row is
-    stacked once per column and block of other columns, so p columns make p * p / BLOCK rows, and
-    the sums of a pair's two sides meet in a table of p * p rows. Null where a column is constant
-    or has a single value: a rounding residue in the variance would pass for variation, so
-    constancy is read from minimum and maximum.
+    def __init__(self, columns: int):
+        shape = columns, columns
+        self.centre = np.full(columns, np.nan)
+        self.n, self.spoiled = np.zeros(shape), np.zeros(shape)
+        self.s, self.q, self.p = np.zeros(shape), np.zeros(shape), np.zeros(shape)
+        self.low, self.high = np.full(shape, np.inf), np.full(shape, -np.inf)
+
+    def add(self, values: np.ndarray) -> None:
+        """`values`: rows x columns, NaN where one is missing."""
+        there, wild = ~np.isnan(values), np.isinf(values)
+        finite = there & ~wild
+        count = finite.sum(axis=0)
+        new = np.isnan(self.centre) & (count > 0)
+        self.centre[new] = np.where(finite, values, 0.0).sum(axis=0)[new] / count[new]
+        values = values - np.nan_to_num(self.centre)
+        x, m = np.where(finite, values, 0.0), there.astype(float)
+        self.n += m.T @ m
+        self.spoiled += wild.T.astype(float) @ m
+        self.s += x.T @ m
+        self.q += (x * x).T @ m
+        self.p += x.T @ x
+        # columns with gaps in the same rows leave the same rows to the others
+        gaps: dict[bytes, list[int]] = {}
+        for b in range(values.shape[1]):
+            gaps.setdefault(np.packbits(there[:, b]).tobytes(), []).append(b)
+        for same in gaps.values():
+            rows = values[there[:, same[0]]]
+            if len(rows):
+                low, high = np.fmin.reduce(rows, axis=0), np.fmax.reduce(rows, axis=0)
+                self.low[:, same] = np.fmin(self.low[:, same], low[:, None])
+                self.high[:, same] = np.fmax(self.high[:, same], high[:, None])
+
+    def batch(self) -> pa.RecordBatch:
+        a, b = np.triu_indices(len(self.n))
+        centre = np.nan_to_num(self.centre)
+        both = [centre[a], centre[b]]
+        both += [(self.n[a, b]).astype(np.int64), (self.spoiled + self.spoiled.T)[a, b].astype(np.int64)]
+        both += [self.s[a, b], self.s[b, a], self.q[a, b], self.q[b, a], self.p[a, b]]
+        both += [self.low[a, b], self.high[a, b], self.low[b, a], self.high[b, a]]
+        arrays = [pa.array(x) for x in (a.astype(np.int32), b.astype(np.int32), *both)]
+        return pa.RecordBatch.from_arrays(arrays, names=["a", "b", *_CENTRES, *_SUMS])
+
+
+def _merged(states: DataFrame, keys: list[str]) -> DataFrame:
+    """States of several tasks or deliveries as one: sums are moved to a common centre and added."""
+    pair, n = Window.partitionBy(*keys), F.col("n")
+    to = {}
+    for s in "ab":
+        total = F.sum(n * F.col(f"centre_{s}") + F.col(f"s_{s}")).over(pair)
+        to[f"to_{s}"] = F.coalesce(F.try_divide(total, F.sum(n).over(pair)), F.lit(0.0))
+    moved = states.withColumns(to)
+    by = {s: F.col(f"centre_{s}") - F.col(f"to_{s}") for s in "ab"}
+    moved = moved.withColumns(
+        {f"q_{s}": F.col(f"q_{s}") + 2 * by[s] * F.col(f"s_{s}") + n * by[s] * by[s] for s in "ab"}
+        | {"p": F.col("p") + by["a"] * F.col("s_b") + by["b"] * F.col("s_a") + n * by["a"] * by["b"]}
+        | {f"s_{s}": F.col(f"s_{s}") + n * by[s] for s in "ab"}
+        | {f"{end}_{s}": F.col(f"{end}_{s}") + by[s] for s in "ab" for end in ("low", "high")}
+    )
+    total = {c: F.sum for c in _SUMS}
+    total |= {f"low_{s}": F.min for s in "ab"} | {f"high_{s}": F.max for s in "ab"}
+    sums = [call(c).alias(c) for c, call in total.items()]
+    centres = [F.min(f"to_{s}").alias(f"centre_{s}") for s in "ab"]
+    return moved.groupBy(*keys).agg(*centres, *sums)
+
+
+def pair_states(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(col_a, col_b, centre_a, centre_b, n, ...): what correlation needs of every two columns.
+
+    One row per two columns and per column with itself, from one pass: tasks sum matrix products over
+    Arrow batches and hand on one row per two columns. States of several tables add up
+    (`merge_pairs`).
     """
     numeric = numeric_columns(df, columns)
-    if len(numeric) < 2:
-        return df.limit(0).select(
-            F.lit("").alias("col_a"), F.lit("").alias("col_b"), F.lit(0.0).alias("corr")
-        )
-    names = [f"v{i}" for i in range(len(numeric))]
-    centred = df.select(*(v.alias(n) for v, n in zip(_centred(df, numeric), names, strict=True)))
-    # As text: some hundred small expressions, which would take longer to build one by one.
-    blocks = [names[i : i + BLOCK] for i in range(0, len(names), BLOCK)]
-    cells = [
-        ", ".join([str(a), str(b * BLOCK), x, *ys, *["cast(null as double)"] * (BLOCK - len(ys))])
-        for a, x in enumerate(names)
-        for b, ys in enumerate(blocks)
-    ]
-    others = ", ".join(f"y{k}" for k in range(BLOCK))
-    stacked = centred.selectExpr(
-        f"stack({len(cells)}, {', '.join(cells)}) as (a, first, x, {others})"
-    ).where("x is not null")
-
-    def sums(k: int) -> list[str]:
-        x = f"case when y{k} is not null then x end"
-        parts = {"n": f"count(y{k})", "s": f"sum({x})", "q": f"sum(({x}) * x)"}
-        parts |= {"p": f"sum(x * y{k})", "low": f"min({x})", "high": f"max({x})"}
-        return [f"{call} as {name}{k}" for name, call in parts.items()]
-
-    grouped = stacked.groupBy("a", "first").agg(*(F.expr(c) for k in range(BLOCK) for c in sums(k)))
-    one = [
-        f"named_struct('b', first + {k}, "
-        + ", ".join(f"'{c}', {c}{k}" for c in ("n", "s", "q", "p", "low", "high"))
-        + ")"
-        for k in range(BLOCK)
-    ]
-    sides = grouped.selectExpr("a", f"inline(array({', '.join(one)}))")
-    sides = sides.where(F.col("b") < len(numeric))
-    other = sides.select(
-        F.col("a").alias("b"),
-        F.col("b").alias("a"),
-        *(F.col(c).alias(f"{c}_b") for c in ("s", "q", "low", "high")),
+    width = len(numeric)
+    if not numeric:
+        texts = (F.lit("").alias(c) for c in ("col_a", "col_b"))
+        counts = (F.lit(0).cast("long").alias(c) for c in _SUMS[:2])
+        doubles = (F.lit(0.0).alias(c) for c in _SUMS[2:])
+        centres = (F.lit(0.0).alias(c) for c in _CENTRES)
+        return df.limit(0).select(*texts, *centres, *counts, *doubles)
+    values = df.select(*(_quoted(c).cast("double").alias(f"v{i}") for i, c in enumerate(numeric)))
+
+    def run(batches):
+        sums, rows = _PairSums(width), 0
+        for batch in batches:
+            step = max(1, CELLS // width)
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                sums.add(np.stack([c.to_numpy(zero_copy_only=False) for c in part.columns], axis=1))
+            rows += batch.num_rows
+        if rows:
+            yield sums.batch()
+
+    name = F.array(*map(F.lit, numeric))
+    return _merged(values.mapInArrow(run, _PAIR), ["a", "b"]).select(
+        *(F.get(name, F.col(side)).alias(f"col_{side}") for side in "ab"), *_CENTRES, *_SUMS
     )
-    both = sides.join(other, ["a", "b"])
-    covariance = F.col("p") - F.try_divide(F.col("s") * F.col("s_b"), F.col("n"))
-    spread = (F.col("q") - F.try_divide(F.col("s") * F.col("s"), F.col("n"))) * (
-        F.col("q_b") - F.try_divide(F.col("s_b") * F.col("s_b"), F.col("n"))
+
+
+def merge_pairs(states: DataFrame) -> DataFrame:
+    """`pair_states` of several tables as that of their union."""
+    return _merged(states, ["col_a", "col_b"]).select("col_a", "col_b", *_CENTRES, *_SUMS)
+
+
+def correlation_of(states: DataFrame) -> DataFrame:
+    """`profile_correlation` from states: both orders of every two columns."""
+    n = F.col("n")
+    covariance = F.col("p") - F.try_divide(F.col("s_a") * F.col("s_b"), n)
+    spread = (F.col("q_a") - F.try_divide(F.col("s_a") * F.col("s_a"), n)) * (
+        F.col("q_b") - F.try_divide(F.col("s_b") * F.col("s_b"), n)
     )
-    varies = (F.col("low") < F.col("high")) & (F.col("low_b") < F.col("high_b"))
-    ratio = F.when(varies & (spread > 0), F.try_divide(covariance, F.sqrt(spread)))
+    # A rounding residue in the variance would pass for variation: constancy shows in the extremes.
+    varies = (F.col("low_a") < F.col("high_a")) & (F.col("low_b") < F.col("high_b"))
+    sound = varies & (spread > 0) & (F.col("spoiled") == 0)
+    ratio = F.when(sound, F.try_divide(covariance, F.sqrt(spread)))
     corr = (
         F.when(ratio.isNull() | F.isnan(ratio), None)
-        .when(F.col("a") == F.col("b"), 1.0)
+        .when(F.col("col_a") == F.col("col_b"), 1.0)
         .otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), ratio)))
     )
-    name = F.array(*map(F.lit, numeric))
-    return both.select(
-        F.get(name, F.col("a")).alias("col_a"), F.get(name, F.col("b")).alias("col_b"), corr.alias("corr")
-    )
+    found = states.select("col_a", "col_b", corr.alias("corr"))
+    one = F.struct("col_a", "col_b", "corr")
+    other = F.struct(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr")
+    same = F.col("col_a") == F.col("col_b")
+    return found.select(F.inline(F.when(same, F.array(one)).otherwise(F.array(one, other))))
+
+
+def profile_correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(col_a, col_b, corr): the full Pearson matrix over rows where both values are present.
+
+    Any number of columns; name some for a smaller matrix. Empty for fewer than two. Null where a
+    column is constant, has a single value, or holds an infinite one.
+    """
+    numeric = numeric_columns(df, columns)
+    if len(numeric) < 2:
+        return df.limit(0).select(
+            F.lit("").alias("col_a"), F.lit("").alias("col_b"), F.lit(0.0).alias("corr")
+        )
+    return correlation_of(pair_states(df, numeric))

@@ -8,13 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dqtable.contract import TableContract
-from dqtable.operators.clean import COPIES, KEPT, MALFORMED, ROW, bad
+from dqtable.operators.clean import COPIES, DELIVERED, KEPT, MALFORMED, ROW, bad
 
 REPORT_VERSION = "1.0"
 
 
-def report_aggregates(contract: TableContract, malformed: bool = False) -> list[Column]:
-    """The counters; `malformed` adds records that could not be read as rows.
+def report_aggregates(
+    contract: TableContract, malformed: bool = False, delivered: bool = False
+) -> list[Column]:
+    """The counters; `malformed` adds records that could not be read as rows, `delivered` counts
+    rows of earlier deliveries among the duplicates, with all their copies.
 
     Failures are counted after duplicates are dropped and per rule: a row that fails two rules
     counts in both. Rules that share a label share a counter."""
@@ -31,15 +34,21 @@ def report_aggregates(contract: TableContract, malformed: bool = False) -> list[
         ).alias(name)
         for name in contract.counters
     ]
+    again = F.col(bad(DELIVERED)).cast("int") if delivered else F.lit(0)
     return [
         total(F.col(COPIES)).alias("original_rows"),
-        total(F.col(COPIES) - 1).alias("duplicates_dropped"),
+        total(F.col(COPIES) - 1 + again).alias("duplicates_dropped"),
         *failures,
         *([total(F.col(bad(MALFORMED)).cast("int")).alias(f"{MALFORMED}_dropped")] * malformed),
         total(F.col(KEPT).cast("int")).alias("final_rows"),
     ]
 
 
+def counted(flagged: DataFrame) -> tuple[bool, bool]:
+    """Whether a flagged table may hold malformed records, and rows of earlier deliveries."""
+    return bad(MALFORMED) in flagged.columns, bad(DELIVERED) in flagged.columns
+
+
 def cleaning_report(
     flagged: DataFrame,
     contract: TableContract,
@@ -53,7 +62,7 @@ def cleaning_report(
     `drift` adds the (missing, unexpected) column names as arrays.
     """
     keys = [F.col(ROW)[c].alias(c) for c in by]
-    counters = report_aggregates(contract, bad(MALFORMED) in flagged.columns)
+    counters = report_aggregates(contract, *counted(flagged))
     report = flagged.groupBy(*keys).agg(*counters)
     if drift is None:
         return report

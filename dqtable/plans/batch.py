@@ -10,14 +10,27 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dqtable.contract import TableContract
-from dqtable.operators.clean import COPIES, KEPT, MALFORMED, RAW, REASONS, ROW, bad, flag_rows
+from dqtable.operators.clean import (
+    COPIES,
+    DELIVERED,
+    DIGEST,
+    KEPT,
+    MALFORMED,
+    RAW,
+    REASONS,
+    ROW,
+    bad,
+    flag_rows,
+)
 from dqtable.operators.headers import normalize_headers, schema_diff
+from dqtable.operators.ledger import delivered_digests, record_delivery
 from dqtable.operators.outbox import DEFAULT_TEMPLATE, outbox, profile_values
 from dqtable.operators.profile import (
+    correlation_of,
     missing_of,
     numeric_columns,
+    pair_states,
     profile_columns,
-    profile_correlation,
     stats_of,
     stats_wide,
     summary_of,
@@ -26,7 +39,9 @@ from dqtable.operators.report import REPORT_VERSION, cleaning_report
 from dqtable.operators.score import alerts, score
 from dqtable.operators.summary import run_metadata, run_summary
 from dqtable.sinks.tables import (
+    begin_run,
     check_not_empty,
+    commit_run,
     observe_counts,
     run_path,
     write_csv,
@@ -52,7 +67,7 @@ class WrittenRows:
 def write_rows(flagged: DataFrame, path: str) -> WrittenRows:
     """Write flagged rows partitioned by `kept`; raw values go with the rejects only."""
     fields = flagged.schema[ROW].dataType.names
-    known = {COPIES, bad(MALFORMED), *map(bad, fields)}
+    known = {COPIES, DIGEST, bad(MALFORMED), bad(DELIVERED), *map(bad, fields)}
     halves = flagged.select(
         ROW,
         *(c for c in flagged.columns if c in known),
@@ -80,18 +95,24 @@ def run_batch(
     clean_csv: bool = False,
     where: Column | str | None = None,
     time: datetime | None = None,
+    ledger: str | None = None,
 ) -> dict[str, str]:
     """Clean a table and write rows, report sheets, outbox and run record; returns the paths.
 
     `by` names the report keys; without any, the whole table is the delivery of `client_name`.
     `clean_csv` also writes the kept rows as CSV; `where` is a condition on delivered columns;
-    `time` goes to the run record (now, in UTC, if it is not given). A run over no rows at all is
-    an error; one that keeps none is not.
+    `time` goes to the run record (now, in UTC, if it is not given). `ledger` is a folder that holds
+    the digests of all rows delivered so far: rows that another run brought count as copies. A run
+    over no rows at all is an error; one that keeps none is not.
+
+    Until the last write, the run is not among the finished ones (`read_runs`).
     """
     spark: SparkSession = df.sparkSession
     time = time or datetime.now(UTC).replace(tzinfo=None)
     totals = Observation(f"counts_{run_id}")
-    flagged = flag_rows(df, contract, drop_duplicates, where)
+    begin_run(spark, path, run_id)
+    seen = delivered_digests(spark, ledger, run_id) if ledger else None
+    flagged = flag_rows(df, contract, drop_duplicates, where, seen)
     rows_path = run_path(path, "rows", run_id)
     rows = write_rows(observe_counts(flagged, contract, totals), rows_path)
 
@@ -101,14 +122,19 @@ def run_batch(
         by = ("client_id",)
         report = report.select(F.lit(client_name).alias(by[0]), "*")
     clean = rows.clean
-    paths = write_report({"report": report, "profile": profile_columns(clean)}, path, run_id)
-    written = check_not_empty(
-        spark.read.parquet(paths["report"]), "report", F.col("original_rows") > 0
-    )
-    paths |= write_report({"alerts": alerts(score(written), thresholds, by)}, path, run_id)
-    alerted = spark.read.parquet(paths["alerts"])
-    profile = spark.read.parquet(paths["profile"])
+    paths: dict[str, str] = {}
+
+    def written(name: str, df: DataFrame) -> DataFrame:
+        """The sheet as written, read with the schema it was written with: no job looks for it."""
+        paths.update(write_report({name: df}, path, run_id))
+        return spark.read.schema(df.schema).parquet(paths[name])
+
+    profile = written("profile", profile_columns(clean))
+    report = check_not_empty(written("report", report), "report", F.col("original_rows") > 0)
+    alerted = written("alerts", alerts(score(report), thresholds, by))
     numeric, stats = numeric_columns(clean), stats_of(profile)
+    several = clean if len(numeric) > 1 else clean.select()
+    pairs = written("pairs", pair_states(several))
     messages = {"REPORT_PATH": F.lit(paths["report"]), **profile_values(stats)}
     counts = totals.get
     record = spark.range(1).select(
@@ -124,7 +150,7 @@ def run_batch(
         "meta": summary_of(profile),
         "missing": missing_of(profile),
         "statistics": stats_wide(stats, numeric) if numeric else stats,
-        "correlation": profile_correlation(clean),
+        "correlation": correlation_of(pairs),
         "summary": run_summary(alerted, by),
         "outbox": outbox(alerted, template, by[0], extra=messages),
         "runs": score(record),
@@ -133,4 +159,7 @@ def run_batch(
     if clean_csv:
         paths["clean_csv"] = run_path(path, "clean_csv", run_id)
         write_csv(clean, paths["clean_csv"])
+    if ledger:
+        record_delivery(rows.flagged, ledger, run_id)
+    commit_run(spark, path, run_id, [*paths, "rows"])
     return {"rows": rows_path, **paths}

@@ -341,12 +341,11 @@ from flagged where not kept""",
   null::varchar as severity""",
     "malformed_report": """select count(*) as original_rows, 0::bigint as duplicates_dropped,
   0::bigint as invalid_emails_dropped,
-  count(*) filter (c_custkey % 7 <> 0 and c_custkey % 5 <> 0 and c_custkey % 3 = 0)
-    as invalid_phones_dropped,
-  count(*) filter (c_custkey % 7 = 0 or c_custkey % 5 = 0) as malformed_dropped,
-  count(*) filter (c_custkey % 7 <> 0 and c_custkey % 5 <> 0 and c_custkey % 3 <> 0)
-    as final_rows
-from customer""",
+  count(*) filter (not wrong and c_custkey % 3 = 0) as invalid_phones_dropped,
+  count(*) filter (wrong) as malformed_dropped,
+  count(*) filter (not wrong and c_custkey % 3 <> 0) as final_rows
+from (select *, c_custkey % 7 = 0 or c_custkey % 5 = 0 or c_custkey % 11 = 0 as wrong
+  from customer)""",
     "severity_by_nation": scored(BY_NATION),
     "nation_alerts": f"""select r.*, coalesce(t.rate, 0.5::double) as max_drop_rate,
   t.numbers as max_invalid_numbers, t.recipient,
@@ -425,4 +424,39 @@ from customer""",
 from ({alerted(scored(f'select d, client_id, {COUNTERS} from delivered group by d, client_id'))})""",
     "incremental_runs": f"""{WITH}, {DELIVERED} select original_rows, final_rows, severity
 from ({scored(f'select d, {COUNTERS} from delivered group by d')})""",
+    "incremental_dedup": f"""{WITH} select 0::bigint as delivery, client_id,
+  count(*) as original_rows, 0::bigint as duplicates_dropped,
+  count(*) filter (bad_email) as invalid_emails_dropped,
+  count(*) filter (bad_phone) as invalid_phones_dropped,
+  count(*) filter (bad_salary) as invalid_numbers_dropped,
+  count(*) filter (bad_date) as invalid_dates_dropped, 0::bigint as malformed_dropped,
+  count(*) filter (kept) as final_rows from flagged group by client_id
+union all select 1, client_id, count(*), count(*), 0, 0, 0, 0, 0, 0 from flagged
+where copies = 2 group by client_id""",
+    "incremental_profile": f"""with u as (
+  select * replace (case when l_linenumber <= 3 then l_tax end as l_tax) from lineitem
+) select statistic, "column" as col_a, '' as col_b, value from ({stats("u", LINEITEM)})
+union all select 'missing', 'l_tax', '', cast(count(*) - count(l_tax) as double) from u
+union all select 'correlation', col_a, col_b, corr from ({correlation("u", LINEITEM, 7)})""",
+    "whole_runs": f"""{WITH} select 'r1' as run_id, client_id,
+  cast(sum(copies) as bigint) as original_rows, count(*) filter (kept) as final_rows
+from flagged group by client_id
+union all select 'r2', client_id, cast(sum(copies) as bigint), count(*) filter (kept)
+from flagged where client_id = 'BUILDING' group by client_id""",
+    "row_rules_report": f"""{WITH}, b as (
+  select *, case when k % 3 = 0 then 'shared' when k % 7 = 0 then 'pair ' || (k // 14)
+                 when k % 5 <> 0 then 'own ' || id end as badge
+  from (select *, id::bigint as k from flagged)
+), c as (
+  select *, badge is not null and count(*) over (partition by badge) > 1 as bad_badge,
+    notes is null as bad_notes from (
+    select client_id, id, badge, notes, email, any_value(bad_email) as bad_email,
+      sum(copies) as copies from b group by all)
+) {scored("""select client_id, cast(sum(copies) as bigint) as original_rows,
+  cast(sum(copies - 1) as bigint) as duplicates_dropped,
+  count(*) filter (bad_badge) as invalid_repeats_dropped,
+  count(*) filter (bad_notes) as invalid_nulls_dropped,
+  count(*) filter (bad_email) as invalid_emails_dropped,
+  count(*) filter (not bad_badge and not bad_notes and not bad_email) as final_rows
+  from c group by client_id""")}""",
 }

@@ -26,12 +26,19 @@ from dqtable.operators.clean import (
 from dqtable.operators.headers import conform, normalize_headers, schema_diff
 from dqtable.operators.outbox import outbox
 from dqtable.operators.profile import (
+    correlation_of,
+    merge_pairs,
+    merge_profiles,
+    missing_of,
     numeric_columns,
+    pair_states,
+    profile_columns,
     profile_correlation,
     profile_exact,
     profile_missing,
     profile_stats,
     profile_summary,
+    stats_of,
     stats_wide,
 )
 from dqtable.operators.report import cleaning_report, sum_reports
@@ -49,7 +56,15 @@ from dqtable.plans.people import (
     table,
     thresholds,
 )
-from dqtable.sinks.tables import check_not_empty, shared_folder, write_csv
+from dqtable.sinks.tables import (
+    begin_run,
+    check_not_empty,
+    commit_run,
+    read_runs,
+    shared_folder,
+    write_csv,
+    write_report,
+)
 from dqtable.sources.csv import load_csv, stream_csv
 from dqtable.sources.tables import union_sources
 from dqtable.streaming.incremental import clean_incremental
@@ -258,13 +273,17 @@ def empty_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def malformed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV lines with a field too many or an open quote, counted beside the other failures."""
+    """CSV lines with a field too many (also between two stray quotes) or an open quote, counted
+    beside the other failures."""
     path = shared_folder(spark)
     key = F.col("c_custkey")
     line = F.concat_ws(
         ",",
         key.cast("string"),
-        F.when(key % 7 == 0, F.concat(F.lit('"open '), "c_name")).otherwise(F.col("c_name")),
+        F.when(key % 7 == 0, F.concat(F.lit('"open '), "c_name"))
+        .when(key % 11 == 0, F.lit('7" by 9", and more'))
+        .when(key % 13 == 0, F.lit('"one, ""two"" and 3"'))
+        .otherwise(F.col("c_name")),
         F.when(key % 5 == 0, F.lit("x@y.zz,surplus")).otherwise(F.lit("x@y.zz")),
         F.when(key % 3 == 0, F.lit("12")).otherwise(F.lit('"+254712000000"')),
         F.lit('5" pipe'),
@@ -505,7 +524,7 @@ def checked_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("client_id", "original_rows", "final_rows")
 
 
-def _deliveries(spark: SparkSession, sf_dir: str) -> str:
+def _deliveries(spark: SparkSession, sf_dir: str, ledger: bool = False) -> str:
     """Two CSV deliveries, everyone, then the copies again; each a whole run below the folder."""
     folder = shared_folder(spark)
     people = people_with_copies(spark, sf_dir)
@@ -521,6 +540,7 @@ def _deliveries(spark: SparkSession, sf_dir: str) -> str:
             f"{folder}/checkpoint",
             thresholds=thresholds(spark),
             template="${CLIENT_NAME} ${ROWS_LOADED} ${ROWS_CLEANED} ${extra_columns}",
+            ledger=f"{folder}/ledger" if ledger else None,
         ).awaitTermination()
     return f"{folder}/out"
 
@@ -543,6 +563,76 @@ def incremental_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("original_rows", "final_rows", "severity")
 
 
+def incremental_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports of deliveries whose rows are compared with all earlier ones."""
+    reports = read_runs(spark, _deliveries(spark, sf_dir, ledger=True), "report")
+    counters = [c for c in reports.columns if c.endswith(("_rows", "_dropped"))]
+    return reports.select(F.col("run_id").cast("long").alias("delivery"), "client_id", *counters)
+
+
+def incremental_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of three deliveries from the states stored with each; one lacks a column."""
+    folder = shared_folder(spark)
+    lineitem = table(spark, sf_dir, "lineitem")
+    line = F.col("l_linenumber")
+    parts = [lineitem.where(line < 3), lineitem.where(line == 3), lineitem.where(line > 3).drop("l_tax")]
+    for number, part in enumerate(parts):
+        run = f"{number:03d}"
+        begin_run(spark, folder, run)
+        sheets = {"profile": profile_columns(part), "pairs": pair_states(part)}
+        commit_run(spark, folder, run, list(write_report(sheets, folder, run)))
+    profile = merge_profiles(read_runs(spark, folder, "profile"))
+    pairs = merge_pairs(read_runs(spark, folder, "pairs"))
+    none = F.lit("")
+    cells = [
+        stats_of(profile).select("statistic", F.col("column").alias("col_a"), none.alias("col_b"), "value"),
+        missing_of(profile).select(
+            F.lit("missing").alias("statistic"),
+            F.col("column").alias("col_a"),
+            none.alias("col_b"),
+            F.col("missing").cast("double").alias("value"),
+        ),
+        correlation_of(pairs).select(
+            F.lit("correlation").alias("statistic"), "col_a", "col_b", F.col("corr").alias("value")
+        ),
+    ]
+    digits = F.when(F.col("statistic") == "correlation", F.round("value", 7)).otherwise(F.round("value", 4))
+    return reduce(DataFrame.unionByName, cells).withColumn("value", digits)
+
+
+def whole_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports of finished runs: one is whole, one was written again, one stopped midway."""
+    folder = shared_folder(spark)
+    people = dirty_people(spark, sf_dir)
+    run_batch(people, PEOPLE_BY_CLIENT, folder, "r1")
+    for _ in range(2):
+        run_batch(people, PEOPLE_BY_CLIENT, folder, "r2", where=F.col("client_id") == "BUILDING")
+    begin_run(spark, folder, "r3")
+    write_report({"report": read_runs(spark, folder, "report").drop("run_id")}, folder, "r3")
+    reports = read_runs(spark, folder, "report")
+    return reports.select("run_id", "client_id", "original_rows", "final_rows")
+
+
+ROW_RULES = TableContract(
+    keys=("client_id",),
+    required=("id", "badge", "notes", "email"),
+    rules={"badge": Rule("unique"), "notes": Rule("not_null"), "email": Rule("email")},
+)
+
+
+def row_rules_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Badges must be unique, though a third of all people share one; notes must be there."""
+    people = dirty_people(spark, sf_dir)
+    key = F.col("id").cast("long")
+    badge = (
+        F.when(key % 3 == 0, "shared")
+        .when(key % 7 == 0, F.concat(F.lit("pair "), F.floor(key / 14).cast("string")))
+        .when(key % 5 != 0, F.concat(F.lit("own "), "id"))
+    )
+    flagged = flag_rows(people.withColumn("badge", badge), ROW_RULES)
+    return score(cleaning_report(flagged, ROW_RULES, by=["client_id"]))
+
+
 QUERIES: dict[str, Query] = {
     "email_fix": _rule("email", "email", "fixed"),
     "email_valid": email_valid,
@@ -597,4 +687,8 @@ QUERIES: dict[str, Query] = {
     "incremental_clean": incremental_clean,
     "incremental_outbox": incremental_outbox,
     "incremental_runs": incremental_runs,
+    "incremental_dedup": incremental_dedup,
+    "incremental_profile": incremental_profile,
+    "whole_runs": whole_runs,
+    "row_rules_report": row_rules_report,
 }

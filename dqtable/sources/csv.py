@@ -55,8 +55,9 @@ def _names(fields: Sequence[str | None]) -> list[str]:
 
 
 def _too_many_fields(record: Column, width: int) -> Column:
-    """Short records are filled with nulls and are fine; this tells them from long ones."""
-    outside_quotes = F.when(record.contains('"'), F.regexp_replace(record, '"[^"]*+"', ""))
+    """Short records are filled with nulls and are fine; this tells them from long ones. Commas
+    belong to a field only inside quotes that begin it."""
+    outside_quotes = F.when(record.contains('"'), F.regexp_replace(record, QUOTED, "$1"))
     outside_quotes = outside_quotes.otherwise(record)
     commas = F.length(outside_quotes) - F.length(F.replace(outside_quotes, F.lit(",")))
     return F.coalesce(commas >= width, F.lit(False))

@@ -22,14 +22,15 @@ def clean_incremental(
     thresholds: DataFrame | None = None,
     template: str = DEFAULT_TEMPLATE,
     client_name: str = "Customer",
+    ledger: str | None = None,
 ) -> StreamingQuery:
     """Run what has arrived since the last call as `run_batch` does, then stop (`availableNow`).
 
     Every micro-batch is a whole run: rows, report with drift, profile, alerts, messages and
     record. The checkpoint hands out every file once. A micro-batch that is repeated after a
     failure has the same number and replaces its own directories, so rows and reports end up there
-    once. Copies are dropped within a micro-batch, not across deliveries; add reports up with
-    `sum_reports`.
+    once. Copies are dropped within a micro-batch and, with a `ledger` folder, across deliveries; add
+    reports up with `sum_reports`, profiles with `merge_profiles` and `merge_pairs`.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -44,6 +45,7 @@ def clean_incremental(
             thresholds=thresholds,
             template=template,
             client_name=client_name,
+            ledger=ledger,
         )
 
     return (

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import math
+import re
 from collections import Counter
 
 import duckdb
@@ -38,3 +41,16 @@ def spark_rows(df):
 def duck_rows(con, sql):
     cursor = con.execute(sql)
     return rows_of([d[0] for d in cursor.description], cursor.fetchall())
+
+
+def code_sizes(df) -> list[int]:
+    """Bytes of the largest method of each generated class."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            df.select("*").explain("codegen")
+    finally:
+        conf.set("spark.sql.adaptive.enabled", "true")
+    return [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())]

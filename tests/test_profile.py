@@ -3,14 +3,21 @@
 import math
 import random
 from decimal import Decimal
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pytest
+from compare import code_sizes
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from dqtable import (
     ContractError,
+    correlation_of,
+    merge_pairs,
     missing_of,
+    pair_states,
     profile_columns,
     profile_correlation,
     profile_exact,
@@ -102,6 +109,33 @@ def test_correlation_far_from_zero(spark):
     assert got["a", "b"] == pytest.approx(expected, abs=1e-9)
 
 
+def test_correlation_of_states_of_parts(frames, spark):
+    """States of parts with means far apart, and of parts that lack values, give that of the whole."""
+    rows = [(float(i), i * i % 17, 1e9 + i % 5 if i % 3 else None, None if i < 50 else i % 4) for i in range(120)]
+    df = spark.createDataFrame(rows, "a double, b long, c double, d int")
+    whole = {(r.col_a, r.col_b): r.corr for r in profile_correlation(df).collect()}
+    parts = [pair_states(df.where(c)) for c in ("a < 30", "a >= 30 and a < 45", "a >= 45", "a < 0")]
+    merged = correlation_of(merge_pairs(reduce(DataFrame.unionByName, parts)))
+    got = {(r.col_a, r.col_b): r.corr for r in merged.collect()}
+    assert got.keys() == whole.keys() and len(got) == 16
+    for pair, value in whole.items():
+        assert got[pair] == (None if value is None else pytest.approx(value, abs=1e-9))
+
+
+def test_correlation_with_infinite_values(spark):
+    rows = [(float(i), float("inf") if i == 3 else float(i % 5), float(i % 3) if i != 3 else None) for i in range(40)]
+    df = spark.createDataFrame(rows, ["a", "b", "c"])
+    got = {(r.col_a, r.col_b): r.corr for r in profile_correlation(df).collect()}
+    assert got["a", "b"] is None and got["b", "b"] is None
+    assert got["b", "c"] == pytest.approx(np.corrcoef(*zip(*[(r[1], r[2]) for r in rows if r[2] is not None]))[0, 1])
+
+
+def test_code_of_wide_correlation_compiles(spark):
+    wide = spark.range(10).select(*((F.col("id") * k).cast("double").alias(f"c{k}") for k in range(40)))
+    sizes = code_sizes(profile_correlation(wide))
+    assert sizes and max(sizes) < 8000
+
+
 def test_exact_values(spark):
     df = spark.createDataFrame(
         [(2**53 + 1, Decimal("0.10"), 1.5), (2**53 + 3, Decimal("12345678901234.56"), None)],

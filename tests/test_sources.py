@@ -90,6 +90,13 @@ def test_too_many_fields(spark, csv):
     assert (reject["_corrupt_record"], reject.reject_reasons) == ("1,2,3", ["malformed"])
 
 
+def test_quotes_within_fields_hide_no_comma(spark, csv):
+    path = csv('a,b,c\n1,5" x,2" y,extra\n1,5" x,2" y\n"x ""y"", z",2,3\n"","a,b",\n')
+    found = load_csv(spark, path, on_malformed="reject")
+    assert [r[-1] for r in rows(found)].count(None) == 3
+    assert found.where("_corrupt_record is not null").first()._corrupt_record == '1,5" x,2" y,extra'
+
+
 def test_headers(spark, csv, scratch):
     with pytest.raises(ContractError, match="more than once"):
         load_csv(spark, csv("a,a\n1,2\n"))
