@@ -31,6 +31,8 @@ MALFORMED = "malformed"
 # Rows that an earlier delivery held, and the column of their digests.
 DELIVERED = "delivered_before"
 DIGEST = "digest"
+# Where a row was read.
+PLACE = "place"
 #: Shared values that go to every task, the most frequent ones.
 FREQUENT = 1000
 
@@ -92,6 +94,7 @@ def flag_rows(
     drop_duplicates: bool = True,
     where: Column | str | None = None,
     seen: DataFrame | None = None,
+    place: Sequence[str] = (),
 ) -> DataFrame:
     """One row per distinct input row: `row` (cleaned columns), `raw` (the same as delivered), a
     `bad_<column>` flag per rule, `reject_reasons`, `kept` and `copies`.
@@ -104,26 +107,33 @@ def flag_rows(
 
     `seen` (digest): digests of rows that earlier deliveries held, see `dqtable.operators.ledger`.
     Such rows are rejected as `delivered_before` and fail nothing else; every row's digest is in the
-    column `digest` then. Everything downstream (kept rows,
+    column `digest` then. `place` names columns that say where a row was read, such as file and line:
+    they are no part of the row, and the first place of its copies goes along in `place`.
+    Everything downstream (kept rows,
     rejects, report) reads this frame; when more than one of them is needed, write it once, see
     `dqtable.plans.batch`.
     """
     named = normalize_headers(df, contract)
     if where is not None:
         named = named.where(where)
-    if CORRUPT in named.columns and CORRUPT not in contract.keys:
-        contract = replace(contract, keys=(*contract.keys, CORRUPT))
-    rows = conform(named, contract)
-    columns = rows.columns
+    own_place = unused(f"_{PLACE}", named.columns)
+    if place:
+        struct = F.struct(*(F.col(f"`{c}`") for c in place))
+        named = named.withColumn(own_place, struct).drop(*place)
+    carried = [c for c in (CORRUPT, own_place) if c in named.columns and c not in contract.keys]
+    rows = conform(named, replace(contract, keys=(*contract.keys, *carried)))
+    columns = [c for c in rows.columns if c != own_place]
     # Columns the table lacks are null in every row: they join after the shuffle.
     absent = [c for c in columns if c not in named.columns]
     rows = rows.drop(*absent)
     copies = unused(COPIES, columns)
-    rows = (
-        dedup_counts(rows, copies)
-        if drop_duplicates
-        else rows.withColumn(copies, F.lit(1).cast("long"))
-    )
+    if not drop_duplicates:
+        rows = rows.withColumn(copies, F.lit(1).cast("long"))
+    elif place:
+        alike = rows.groupBy(*(F.col(f"`{c}`") for c in rows.columns if c != own_place))
+        rows = alike.agg(F.count(F.lit(1)).alias(copies), F.min(own_place).alias(own_place))
+    else:
+        rows = dedup_counts(rows, copies)
     if absent:
         rows = rows.withColumns({c: F.lit(None).cast("string") for c in absent})
 
@@ -180,6 +190,7 @@ def flag_rows(
         kept.alias(KEPT),
         F.col(f"`{copies}`").alias(COPIES),
         *([F.col(f"`{digest}`").alias(DIGEST)] if digest else []),
+        *([F.col(f"`{own_place}`").alias(PLACE)] if place else []),
     )
 
 
@@ -189,10 +200,13 @@ def clean_rows(flagged: DataFrame) -> DataFrame:
 
 
 def reject_rows(flagged: DataFrame) -> DataFrame:
-    """Rows that failed a rule, as delivered, with the columns at fault."""
-    if unused(REASONS, flagged.schema[RAW].dataType.names) != REASONS:
-        raise ContractError(f"the table has a column {REASONS}; read `{RAW}` of the flagged rows")
-    return flagged.where(~F.col(KEPT)).select(f"{RAW}.*", REASONS)
+    """Rows that failed a rule, as delivered, with the columns at fault and, if the flagged rows have
+    it, the place where each was read first."""
+    where = flagged.schema[PLACE].dataType.names if PLACE in flagged.columns else []
+    for name in (REASONS, *where):
+        if unused(name, flagged.schema[RAW].dataType.names) != name:
+            raise ContractError(f"the table has a column {name}; read `{RAW}` of the flagged rows")
+    return flagged.where(~F.col(KEPT)).select(f"{RAW}.*", REASONS, *(f"{PLACE}.{n}" for n in where))
 
 
 def clean_data(

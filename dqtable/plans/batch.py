@@ -16,11 +16,13 @@ from dqtable.operators.clean import (
     DIGEST,
     KEPT,
     MALFORMED,
+    PLACE,
     RAW,
     REASONS,
     ROW,
     bad,
     flag_rows,
+    reject_rows,
 )
 from dqtable.operators.headers import normalize_headers, schema_diff
 from dqtable.operators.ledger import delivered_digests, record_delivery
@@ -61,13 +63,13 @@ class WrittenRows:
 
     @property
     def rejects(self) -> DataFrame:
-        return self.flagged.where(~F.col(KEPT)).select(f"{RAW}.*", REASONS)
+        return reject_rows(self.flagged)
 
 
 def write_rows(flagged: DataFrame, path: str) -> WrittenRows:
     """Write flagged rows partitioned by `kept`; raw values go with the rejects only."""
     fields = flagged.schema[ROW].dataType.names
-    known = {COPIES, DIGEST, bad(MALFORMED), bad(DELIVERED), *map(bad, fields)}
+    known = {COPIES, DIGEST, PLACE, bad(MALFORMED), bad(DELIVERED), *map(bad, fields)}
     halves = flagged.select(
         ROW,
         *(c for c in flagged.columns if c in known),
@@ -96,13 +98,15 @@ def run_batch(
     where: Column | str | None = None,
     time: datetime | None = None,
     ledger: str | None = None,
+    place: Sequence[str] = (),
 ) -> dict[str, str]:
     """Clean a table and write rows, report sheets, outbox and run record; returns the paths.
 
     `by` names the report keys; without any, the whole table is the delivery of `client_name`.
     `clean_csv` also writes the kept rows as CSV; `where` is a condition on delivered columns;
     `time` goes to the run record (now, in UTC, if it is not given). `ledger` is a folder that holds
-    the digests of all rows delivered so far: rows that another run brought count as copies. A run
+    the digests of all rows delivered so far: rows that another run brought count as copies. `place`
+    names columns that say where a row was read, which the rejects then show. A run
     over no rows at all is an error; one that keeps none is not.
 
     Until the last write, the run is not among the finished ones (`read_runs`).
@@ -112,11 +116,11 @@ def run_batch(
     totals = Observation(f"counts_{run_id}")
     begin_run(spark, path, run_id)
     seen = delivered_digests(spark, ledger, run_id) if ledger else None
-    flagged = flag_rows(df, contract, drop_duplicates, where, seen)
+    flagged = flag_rows(df, contract, drop_duplicates, where, seen, place)
     rows_path = run_path(path, "rows", run_id)
     rows = write_rows(observe_counts(flagged, contract, totals), rows_path)
 
-    drift = schema_diff(normalize_headers(df, contract), contract)
+    drift = schema_diff(normalize_headers(df.drop(*place), contract), contract)
     report = cleaning_report(rows.flagged, contract, by, drift)
     if not by:
         by = ("client_id",)

@@ -459,4 +459,15 @@ from flagged where client_id = 'BUILDING' group by client_id""",
   count(*) filter (bad_email) as invalid_emails_dropped,
   count(*) filter (not bad_badge and not bad_notes and not bad_email) as final_rows
   from c group by client_id""")}""",
+    "reject_places": f"""{WITH}, copy as (
+  select *, id::bigint as k from dirty
+), placed as (
+  select client_id, id, 2 + coalesce(sum(case when k % 10 = 0 then 2 else 1 end) over (
+    partition by client_id order by k rows between unbounded preceding and 1 preceding), 0) as line
+  from copy
+) select f.client_id as file, cast(min(line) as bigint) as line, f.id,
+  any_value(concat_ws(',', case when bad_email then 'email' end, case when bad_phone then 'phone' end,
+    case when bad_salary then 'salary' end, case when bad_date then 'date_joined' end)) as reasons
+from flagged f join placed p on f.client_id = p.client_id and f.id = p.id where not kept
+group by f.client_id, f.id""",
 }

@@ -633,6 +633,28 @@ def row_rules_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(cleaning_report(flagged, ROW_RULES, by=["client_id"]))
 
 
+def reject_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects with the file and line they begin in; some notes span lines, and there are copies."""
+    path = shared_folder(spark)
+    key = F.col("id").cast("long")
+    notes = F.when(key % 10 == 0, F.lit("two\nlines")).otherwise(F.col("notes"))
+    people = dirty_people(spark, sf_dir).withColumns({"notes": notes, "client": F.col("client_id")})
+    people = people.repartition("client").sortWithinPartitions("client", key)
+    people.write.partitionBy("client").option("header", True).option("escape", '"').csv(path)
+    read = load_csv(
+        spark,
+        path,
+        contract=PEOPLE_BY_CLIENT,
+        on_malformed="reject",
+        with_source="file",
+        with_line="line",
+        null_tokens=False,
+    )
+    rows = reject_rows(flag_rows(read, PEOPLE_BY_CLIENT, place=["file", "line"]))
+    file = F.regexp_extract("file", "client=([^/]+)/", 1)
+    return rows.select(file.alias("file"), "line", "id", F.array_join("reject_reasons", ",").alias("reasons"))
+
+
 QUERIES: dict[str, Query] = {
     "email_fix": _rule("email", "email", "fixed"),
     "email_valid": email_valid,
@@ -691,4 +713,5 @@ QUERIES: dict[str, Query] = {
     "incremental_profile": incremental_profile,
     "whole_runs": whole_runs,
     "row_rules_report": row_rules_report,
+    "reject_places": reject_places,
 }

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from dqtable.contract import CORRUPT, TableContract
 from dqtable.errors import ContractError
 from dqtable.operators.headers import normalize_headers, normalize_nulls, require_columns
+from dqtable.sources.records import records
 from dqtable.sources.tables import SOURCE, tagged
 
 # A field that begins with a quote and is closed; what is left of a line may hold one that is not.
@@ -18,7 +19,7 @@ QUOTED = r'(^|,)"(?:[^"]|"")*+"(?=,|\z)'
 UNCLOSED = r'(?:^|,)"'
 # A separator no text holds, so that the reader hands over whole lines.
 _NO_SEPARATOR = "\x01"
-_FILE = "_dq_file"
+_FILE, _LINE = "_dq_file", "_dq_line"
 
 
 def _options(encoding: str, multi_line: bool) -> dict[str, str]:
@@ -96,12 +97,14 @@ def _records(reader, names: list[str], encoding: str):
     )
 
 
-def _split(lines: DataFrame, names: list[str], encoding: str, extra: Sequence[str]) -> DataFrame:
-    """Fields of each line, and the line itself where it is no row of the table."""
+def _split(
+    lines: DataFrame, names: list[str], encoding: str, extra: Sequence[str], multi_line: bool = False
+) -> DataFrame:
+    """Fields of each line (or record), and the line itself where it is no row of the table."""
     line = F.col(f"`{lines.columns[0].replace('`', '``')}`")
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
     ddl = ", ".join(f"{f.name} string" for f in schema)
-    parsed = F.from_csv(line, ddl, _options(encoding, False))
+    parsed = F.from_csv(line, ddl, _options(encoding, multi_line))
     wrong = _too_many_fields(line, len(names)) | _unclosed(line)
     rows = lines.select(parsed.alias("f"), F.when(wrong, line).alias("wrong"), *extra)
     fields = [F.col(f"f.c{i}").alias(n) for i, n in enumerate(names)]
@@ -144,24 +147,43 @@ def load_csv(
     multi_line: bool = False,
     on_malformed: str = "error",
     with_source: bool | str = False,
+    with_line: str = "",
     null_tokens: bool = True,
 ) -> DataFrame:
     """A file, or a directory of files with the same header (a differing one is an error).
 
-    Files are split by lines. `multi_line`: records may span lines; then a file is one task, as it
-    is in UTF-16 and UTF-32. Without it, a line that leaves a quoted field open is malformed.
+    Files are split by lines. `multi_line`: records may span lines; files are split all the same,
+    after a pass that finds the blocks that begin inside a quoted field. Only in UTF-16 and UTF-32, or
+    where the header itself spans lines, a file is one task. Without `multi_line`, a line that leaves a
+    quoted field open is malformed.
 
     `on_malformed`: what to do with such lines and with records of too many fields: "error" fails
     the job, "reject" keeps them, with their text in `_corrupt_record`, and `flag_rows` rejects them.
 
     `with_source`: add the path of the file a row comes from, as `source` or under the name given.
+    `with_line`: add the number of the line a row begins in, from one, under the name given; records
+    are read as with `multi_line`.
 
     `null_tokens`: read them as nulls. False leaves them to `flag_rows`, which then shows rejects
     as they were delivered.
     """
-    multi_line = multi_line or encoding.upper().replace("-", "").startswith(("UTF16", "UTF32"))
+    wide = encoding.upper().replace("-", "").startswith(("UTF16", "UTF32"))
     tag = SOURCE if with_source is True else with_source
-    if multi_line:
+    split = (multi_line or bool(with_line)) and not wide
+    if split:
+        header = _first(spark, path, _line_options(encoding))[0]
+        names = _names(_first(spark, path, _options(encoding, True)))
+        split = len(_names(_first(spark, path, _options(encoding, False)))) == len(names)
+    if with_line and not split:
+        raise ValueError("lines are numbered in encodings of one byte per blank, below a header of one line")
+    if split:
+        lines = records(spark, path, header, encoding)
+        carried = {_FILE: "file", _LINE: "line"}
+        lines = lines.select("value", *(F.col(c).alias(n) for n, c in carried.items()))
+        rows = _split(lines, names, encoding, list(carried), multi_line=True)
+        for own, name in ((_FILE, tag), (_LINE, with_line)):
+            rows = (tagged(rows, F.col(own), name) if name else rows).drop(own)
+    elif multi_line or wide:
         names = _names(_first(spark, path, _options(encoding, True)))
         rows = _records(spark.read, names, encoding).csv(path)
         rows = tagged(rows, F.col("_metadata.file_path"), tag) if tag else rows
