@@ -14,7 +14,14 @@ from dqtable.functions.rules import (
 from dqtable.functions.sql import register_functions
 from dqtable.functions.text import clean_text, null_tokens, strip
 from dqtable.operators.clean import clean_data, clean_rows, dedup_counts, flag_rows, reject_rows
-from dqtable.operators.headers import conform, normalize_headers, schema_diff
+from dqtable.operators.headers import (
+    conform,
+    normalize_headers,
+    schema_changes,
+    schema_diff,
+    schema_table,
+)
+from dqtable.operators.ledger import post_messages
 from dqtable.operators.outbox import outbox
 from dqtable.operators.profile import (
     correlation_of,
@@ -38,7 +45,7 @@ from dqtable.operators.summary import run_metadata, run_summary
 from dqtable.plans.batch import run_batch
 from dqtable.session import session_options
 from dqtable.sinks.tables import finished_runs, read_runs
-from dqtable.sources.csv import load_csv, stream_csv
+from dqtable.sources.csv import load_csv, load_csv_files, stream_csv
 from dqtable.sources.tables import load_parquet, union_sources
 from dqtable.streaming.incremental import clean_incremental
 
@@ -64,6 +71,7 @@ __all__ = [
     "fix_email",
     "flag_rows",
     "load_csv",
+    "load_csv_files",
     "load_parquet",
     "merge_pairs",
     "merge_profiles",
@@ -73,6 +81,7 @@ __all__ = [
     "null_tokens",
     "outbox",
     "pair_states",
+    "post_messages",
     "profile_columns",
     "profile_correlation",
     "profile_exact",
@@ -85,7 +94,9 @@ __all__ = [
     "run_batch",
     "run_metadata",
     "run_summary",
+    "schema_changes",
     "schema_diff",
+    "schema_table",
     "score",
     "session_options",
     "stats_of",

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from dqtable.contract import CORRUPT, TableContract
 from dqtable.errors import ContractError
@@ -90,3 +91,29 @@ def normalize_nulls(df: DataFrame, contract: TableContract) -> DataFrame:
     texts = nullable_texts(df, contract)
     tokens = [F.lit(token) for token in contract.null_tokens]
     return df.withColumns({c: null_tokens(F.col(f"`{c}`"), tokens) for c in texts})
+
+
+def schema_table(df: DataFrame) -> DataFrame:
+    """(position, column, type) of a table, to be kept with each delivery."""
+    rows = [(n, f.name, f.dataType.simpleString()) for n, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(rows, "position int, column string, type string")
+
+
+def schema_changes(schemas: DataFrame, delivery: str = "run_id") -> DataFrame:
+    """(delivery, column, change, before, after): what differs from the delivery before.
+
+    `schemas` holds the `schema_table` of all deliveries, told apart by a column and in its order.
+    """
+    runs = schemas.select(F.col(delivery).alias("now")).distinct()
+    runs = runs.withColumn("last", F.lag("now").over(Window.orderBy("now"))).where("last is not null")
+    after = schemas.join(runs, schemas[delivery] == F.col("now"))
+    after = after.select("now", "column", F.col("type").alias("after"))
+    before = schemas.join(runs, schemas[delivery] == F.col("last"))
+    before = before.select("now", "column", F.col("type").alias("before"))
+    change = (
+        F.when(F.col("before").isNull(), "added")
+        .when(F.col("after").isNull(), "removed")
+        .otherwise("type changed")
+    )
+    both = after.join(before, ["now", "column"], "full").where(~F.col("before").eqNullSafe(F.col("after")))
+    return both.select(F.col("now").alias(delivery), "column", change.alias("change"), "before", "after")

@@ -24,7 +24,7 @@ from dqtable.operators.clean import (
     flag_rows,
     reject_rows,
 )
-from dqtable.operators.headers import normalize_headers, schema_diff
+from dqtable.operators.headers import normalize_headers, schema_diff, schema_table
 from dqtable.operators.ledger import delivered_digests, record_delivery
 from dqtable.operators.outbox import DEFAULT_TEMPLATE, outbox, profile_values
 from dqtable.operators.profile import (
@@ -120,7 +120,8 @@ def run_batch(
     rows_path = run_path(path, "rows", run_id)
     rows = write_rows(observe_counts(flagged, contract, totals), rows_path)
 
-    drift = schema_diff(normalize_headers(df.drop(*place), contract), contract)
+    delivered = normalize_headers(df.drop(*place), contract)
+    drift = schema_diff(delivered, contract)
     report = cleaning_report(rows.flagged, contract, by, drift)
     if not by:
         by = ("client_id",)
@@ -156,6 +157,7 @@ def run_batch(
         "statistics": stats_wide(stats, numeric) if numeric else stats,
         "correlation": correlation_of(pairs),
         "summary": run_summary(alerted, by),
+        "schema": schema_table(delivered),
         "outbox": outbox(alerted, template, by[0], extra=messages),
         "runs": score(record),
     }

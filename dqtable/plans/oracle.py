@@ -470,4 +470,19 @@ from flagged where client_id = 'BUILDING' group by client_id""",
     case when bad_salary then 'salary' end, case when bad_date then 'date_joined' end)) as reasons
 from flagged f join placed p on f.client_id = p.client_id and f.id = p.id where not kept
 group by f.client_id, f.id""",
+    "mixed_files": """select c_custkey::varchar as id,
+  case when c_custkey % 3 < 2 then 'é ' || c_name end as name,
+  case when c_custkey % 3 <> 1 then c_mktsegment end as department,
+  case when c_custkey % 3 = 1 then c_nationkey::varchar end as phone,
+  case c_custkey % 3 when 0 then 'a' when 1 then 'b' else 'c' end as file from customer""",
+    "messages_once": f"""{WITH} select 'r1' as run, client_id, {BODY} as body from ({BY_CLIENT})
+union all select 'r3', client_id, {BODY} from ({scored(
+        f"""select client_id, {COUNTERS} from flagged
+  where client_id = 'BUILDING' and id::bigint % 2 = 0 group by client_id"""
+    )})""",
+    "schema_history": f"""{WITH} select run_id, "column", change, before, after, original_rows from (
+  values ('002', 'badge', 'added', null, 'int'), ('002', 'notes', 'removed', 'string', null),
+    ('003', 'notes', 'added', null, 'string'), ('003', 'salary', 'type changed', 'string', 'double')
+) v(run_id, "column", change, before, after),
+(select cast(sum(copies) as bigint) as original_rows from flagged)""",
 }

@@ -23,7 +23,8 @@ from dqtable.operators.clean import (
     flag_rows,
     reject_rows,
 )
-from dqtable.operators.headers import conform, normalize_headers, schema_diff
+from dqtable.operators.headers import conform, normalize_headers, schema_changes, schema_diff
+from dqtable.operators.ledger import post_messages
 from dqtable.operators.outbox import outbox
 from dqtable.operators.profile import (
     correlation_of,
@@ -65,7 +66,7 @@ from dqtable.sinks.tables import (
     write_csv,
     write_report,
 )
-from dqtable.sources.csv import load_csv, stream_csv
+from dqtable.sources.csv import load_csv, load_csv_files, stream_csv
 from dqtable.sources.tables import union_sources
 from dqtable.streaming.incremental import clean_incremental
 
@@ -655,6 +656,49 @@ def reject_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(file.alias("file"), "line", "id", F.array_join("reject_reasons", ",").alias("reasons"))
 
 
+def mixed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of three headers in one directory, one of them in Latin-1."""
+    folder = shared_folder(spark)
+    customers = table(spark, sf_dir, "customer")
+    key, third = F.col("c_custkey").cast("string"), F.col("c_custkey") % 3
+    name = F.concat(F.lit("é "), "c_name")
+    people = customers.where(third == 0).select(key.alias("ID"), name.alias("Name"), F.col("c_mktsegment").alias("Dept"))
+    write_csv(people, f"{folder}/a")
+    people = customers.where(third == 1).select(F.col("c_nationkey").cast("string").alias("phone"), key.alias(" id "), name.alias("NAME"))
+    write_csv(people, f"{folder}/b", encoding="ISO-8859-1")
+    people = customers.where(third == 2).select(key.alias("id"), F.col("c_mktsegment").alias("division"))
+    write_csv(people, f"{folder}/c")
+    read = load_csv_files(spark, folder, ["UTF-8", "ISO-8859-1"], contract=PEOPLE, with_source="file")
+    return read.withColumn("file", F.regexp_extract("file", "/([abc])/[^/]*$", 1))
+
+
+def messages_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of four runs: one is repeated, one has nothing new, one has news for one client."""
+    path = shared_folder(spark)
+    people = dirty_people(spark, sf_dir)
+    fewer = people.where("client_id <> 'BUILDING' or cast(id as bigint) % 2 = 0")
+    for run, rows in (("r1", people), ("r1", people), ("r2", people), ("r3", fewer)):
+        flagged = flag_rows(rows, PEOPLE_BY_CLIENT)
+        report = score(cleaning_report(flagged, PEOPLE_BY_CLIENT, by=["client_id"]))
+        post_messages(outbox(alerts(report, thresholds(spark))), path, run)
+    return spark.read.parquet(path).select(F.col("batch").alias("run"), "client_id", "body")
+
+
+def schema_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries: a column comes, one goes, one changes its type, with the rows concerned."""
+    folder = shared_folder(spark)
+    people = dirty_people(spark, sf_dir)
+    number = F.expr("try_cast(salary as double)")
+    for run, rows in (
+        ("001", people),
+        ("002", people.withColumn("badge", F.lit(1)).drop("notes")),
+        ("003", people.withColumns({"badge": F.lit(1), "salary": number})),
+    ):
+        run_batch(rows, PEOPLE_BY_CLIENT, folder, run)
+    rows = read_runs(spark, folder, "runs").select("run_id", "original_rows")
+    return schema_changes(read_runs(spark, folder, "schema")).join(rows, "run_id")
+
+
 QUERIES: dict[str, Query] = {
     "email_fix": _rule("email", "email", "fixed"),
     "email_valid": email_valid,
@@ -714,4 +758,7 @@ QUERIES: dict[str, Query] = {
     "whole_runs": whole_runs,
     "row_rules_report": row_rules_report,
     "reject_places": reject_places,
+    "mixed_files": mixed_files,
+    "messages_once": messages_once,
+    "schema_history": schema_history,
 }

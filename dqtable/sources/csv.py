@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,8 @@ QUOTED = r'(^|,)"(?:[^"]|"")*+"(?=,|\z)'
 UNCLOSED = r'(?:^|,)"'
 # A separator no text holds, so that the reader hands over whole lines.
 _NO_SEPARATOR = "\x01"
+#: Files whose headers are read at a time.
+HEADER_JOBS = 8
 _FILE, _LINE = "_dq_file", "_dq_line"
 
 
@@ -39,7 +43,7 @@ def _line_options(encoding: str) -> dict[str, str]:
     return _options(encoding, False) | {"sep": _NO_SEPARATOR, "quote": "", "escape": ""}
 
 
-def _first(spark: SparkSession, path: str, options: dict[str, str]) -> list[str]:
+def _first(spark: SparkSession, path: str | list[str], options: dict[str, str]) -> list[str]:
     """The fields of the first record, read by the same parser; a job over one row."""
     first = spark.read.options(**options).csv(path).first()
     if first is None:
@@ -137,9 +141,79 @@ def _malformed(rows: DataFrame, width: int) -> DataFrame:
     return rows.withColumn(CORRUPT, F.when(_too_many_fields(F.col(CORRUPT), width), record))
 
 
-def load_csv(
+def _catalogue(
+    spark: SparkSession, path: str, encodings: Sequence[str], multi_line: bool
+) -> dict[tuple[str, tuple[str, ...]], list[str]]:
+    """The files below a path by encoding and header, in the order of their names.
+
+    The header is one row per file, as the driver keeps one entry per file to plan a scan. Only where
+    there is a choice of encodings is there a pass over the data: it tells per file whether all of its
+    bytes are UTF-8, merged in the map tasks.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    files = sorted(r.path for r in listed.select("path").collect())
+    other: set[str] = set()
+    if len(encodings) > 1:
+        lines = spark.read.option("recursiveFileLookup", "true").text(path)
+        file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        valid = lines.groupBy(file.alias("file")).agg(F.bool_and(F.is_valid_utf8("value")).alias("valid"))
+        other = {r.file.split(":", 1)[-1].lstrip("/") for r in valid.where("not valid").collect()}
+
+    def group(file: str) -> tuple[str, tuple[str, ...]]:
+        encoding = encodings[file.split(":", 1)[-1].lstrip("/") in other]
+        return encoding, tuple(_names(_first(spark, file, _options(encoding, multi_line))))
+
+    with ThreadPoolExecutor(HEADER_JOBS) as pool:
+        groups = list(pool.map(group, files))
+    found: dict[tuple[str, tuple[str, ...]], list[str]] = {}
+    for file, key in zip(files, groups, strict=True):
+        found.setdefault(key, []).append(file)
+    return found
+
+
+def load_csv_files(
     spark: SparkSession,
     path: str,
+    encodings: Sequence[str] = ("UTF-8",),
+    *,
+    contract: TableContract | None = None,
+    multi_line: bool = False,
+    on_malformed: str = "error",
+    with_source: bool | str = True,
+    with_line: str = "",
+    null_tokens: bool = True,
+) -> DataFrame:
+    """All files below a directory, whatever their headers; columns meet by normalised name and are
+    null where a file lacks them. One scan per header.
+
+    `encodings`: UTF-8 and, if given, the one in which files are read whose bytes are not all UTF-8;
+    nothing is guessed beyond that. The other options are those of `load_csv`.
+    """
+    if not 1 <= len(encodings) <= 2 or len(encodings) == 2 and encodings[0].upper() != "UTF-8":
+        raise ValueError("encodings are one, or UTF-8 and another one")
+    groups = _catalogue(spark, path, encodings, multi_line)
+    if not groups:
+        raise ContractError(f"no files in {path}")
+    parts = [
+        load_csv(
+            spark,
+            files,
+            encoding,
+            contract=contract,
+            multi_line=multi_line,
+            on_malformed=on_malformed,
+            with_source=with_source,
+            with_line=with_line,
+            null_tokens=null_tokens,
+        )
+        for (encoding, _), files in groups.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def load_csv(
+    spark: SparkSession,
+    path: str | list[str],
     encoding: str = "UTF-8",
     *,
     contract: TableContract | None = None,
@@ -150,7 +224,8 @@ def load_csv(
     with_line: str = "",
     null_tokens: bool = True,
 ) -> DataFrame:
-    """A file, or a directory of files with the same header (a differing one is an error).
+    """A file, a directory or a list of files with the same header (a differing one is an error; see
+    `load_csv_files`).
 
     Files are split by lines. `multi_line`: records may span lines; files are split all the same,
     after a pass that finds the blocks that begin inside a quoted field. Only in UTF-16 and UTF-32, or

@@ -33,7 +33,7 @@ def _ends_open(line: Column) -> Column:
     return F.regexp_replace(line, CLOSED, "$1").rlike(OPEN)
 
 
-def text_lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+def text_lines(spark: SparkSession, path: str | list[str], encoding: str) -> DataFrame:
     """(value, file, start, of, block, outside, inside): lines as written, numbers of their file and
     block, and whether a quoted field is open behind a line that begins outside or inside one.
     Encodings of one byte per blank only."""
@@ -151,7 +151,7 @@ class _Block:
             yield CONTINUES if self.kind == CONTINUES else OPENS, self.held_line, b"\n".join(self.held)
 
 
-def records(spark: SparkSession, path: str, header: str, encoding: str) -> DataFrame:
+def records(spark: SparkSession, path: str | list[str], header: str, encoding: str) -> DataFrame:
     """(value, file, line): the records of all files, without headers and empty lines.
 
     `line` counts from one. What goes to every task is one number and one flag per block that a file

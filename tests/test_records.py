@@ -3,6 +3,8 @@
 import csv as reader
 import io
 import random
+from pathlib import Path
+from urllib.parse import unquote
 
 import numpy as np
 import pytest
@@ -10,7 +12,18 @@ from conftest import SF_DIR
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from dqtable import load_csv
+from dqtable import (
+    PEOPLE,
+    Rule,
+    TableContract,
+    clean_rows,
+    flag_rows,
+    load_csv,
+    load_csv_files,
+    read_runs,
+    reject_rows,
+    run_batch,
+)
 from dqtable.plans.people import table
 from dqtable.sources.records import states
 
@@ -113,3 +126,47 @@ def test_a_column_of_customers(spark, scratch):
     names.coalesce(1).write.option("header", True).option("escape", '"').csv(f"{scratch}/one")
     df = load_csv(spark, f"{scratch}/one", multi_line=True)
     assert sorted(tuple(r) for r in df.collect()) == sorted((str(a), b) for a, b in names.collect())
+
+
+def test_files_of_several_headers_and_encodings(spark, scratch):
+    files = {
+        "a.csv": ("Dept,id\nx,1\né,2\n", "utf-8"),
+        "b c.csv": ("id, Remarks\n3,ü\n", "latin-1"),
+        "deep+er/d%20.csv": ("id, Remarks\n4,ß\n5,\"a\nb\"\n", "utf-8"),
+        "e.csv": ("Dept,id\ny,6\n", "ascii"),
+    }
+    for name, (text, encoding) in files.items():
+        path = Path(scratch, name)
+        path.parent.mkdir(exist_ok=True)
+        path.write_bytes(text.encode(encoding))
+    df = load_csv_files(
+        spark, scratch, ["UTF-8", "ISO-8859-1"], contract=PEOPLE, multi_line=True, with_source="file", with_line="line"
+    )
+    got = sorted((r.id, r.department, r.notes, unquote(r.file).rsplit("/", 1)[1], r.line) for r in df.collect())
+    assert got == [
+        ("1", "x", None, "a.csv", 2), ("2", "é", None, "a.csv", 3), ("3", None, "ü", "b c.csv", 2),
+        ("4", None, "ß", "d%20.csv", 2), ("5", None, "a\nb", "d%20.csv", 3), ("6", "y", None, "e.csv", 2),
+    ]
+    with pytest.raises(ValueError, match="UTF-8"):
+        load_csv_files(spark, scratch, ["ISO-8859-1", "UTF-8"])
+
+
+def test_places_of_copies(spark, scratch):
+    """The first place of each row, in the rejects and in those of a run."""
+    for name, text in (("a", "id,email\n1,x\n2,u@v.ww\n1,x\n"), ("b", "id,email\n7,y,z\n1,x\n3,q\n")):
+        Path(scratch, f"{name}.csv").write_text(text)
+    contract = TableContract(required=("id", "email"), rules={"email": Rule("email")})
+    df = load_csv(spark, scratch, on_malformed="reject", with_source="file", with_line="line", contract=contract)
+    want = [("1", "a.csv", 2, "email"), ("3", "b.csv", 4, "email"), (None, "b.csv", 2, "malformed")]
+
+    def shown(rows):
+        cells = ((r.id if not r._corrupt_record else None, r.file.rsplit("/", 1)[1], r.line, *r.reject_reasons) for r in rows)
+        return sorted(cells, key=str)
+
+    flagged = flag_rows(df, contract, place=["file", "line"])
+    assert shown(reject_rows(flagged).collect()) == sorted(want, key=str)
+    assert clean_rows(flagged).columns == ["id", "email"]
+    run_batch(df, contract, f"{scratch}/out", "r1", by=(), place=["file", "line"])
+    rows = read_runs(spark, f"{scratch}/out", "rows").where("kept = 'false'").select("raw.*", "place.*", "reject_reasons")
+    assert shown(rows.collect()) == sorted(want, key=str)
+    assert read_runs(spark, f"{scratch}/out", "report").first().original_rows == 6

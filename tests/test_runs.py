@@ -33,7 +33,7 @@ def test_run_writes_every_sheet_and_can_be_repeated(spark, scratch):
     tables = {name: spark.read.parquet(path) for name, path in paths.items()}
     assert set(tables) == {
         "rows", "report", "profile", "alerts", "metadata", "meta", "missing", "statistics", "correlation", "summary",
-        "outbox", "runs", "pairs",
+        "outbox", "runs", "pairs", "schema",
     }
     assert tables["rows"].count() == 150 and tables["rows"].where("kept = 'true'").count() == 29
     assert tables["report"].agg(F.sum("final_rows")).first()[0] == 29
