@@ -4,7 +4,8 @@ Long texts are cut into overlapping chunks that are pre-tokenised apart. A chunk
 within a pre-token, so its first boundaries may be wrong; where a boundary coincides with one of
 the chunk before, both agree from there on, as a match depends only on what follows its start. The
 text is cut at those places, and the pieces are encoded apart. Where two chunks agree nowhere in
-their overlap (a run of thousands of letters or blanks), the rest of the text stays one piece.
+their overlap (a run of thousands of letters or blanks), they form one piece, which is pre-tokenised
+again as a whole: if it has no boundary where it ends, it is joined with the next piece, and so on.
 
 Rows: one per row of `docs`. A null text is an empty one and has no tokens. Repeated rows and equal
 or null doc_ids are kept apart by a row number. Special tokens in a text are ordinary text. Other
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dqtable.llm.common import fill, with_columns
+from dqtable.llm.common import fill, stored, with_columns, work_folder
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Code points per chunk, and how far a chunk reaches into the next one.
@@ -71,8 +72,13 @@ class Codec:
 
 
 def boundaries(codec: Codec, text: str, last: bool) -> tuple[list[int], list[int]]:
-    """Ends of pre-tokens among the first OVERLAP code points, and behind CHUNK (from there)."""
-    ends = np.fromiter((m.end() for m in codec.pattern.finditer(text)), np.int64)
+    """Ends of pre-tokens among the first OVERLAP code points, and behind CHUNK (from there).
+
+    Not those behind a blank: how a run of blanks is split depends on what follows it, so a piece that
+    ended in one would be split otherwise on its own.
+    """
+    found = (m.end() for m in codec.pattern.finditer(text))
+    ends = np.fromiter((e for e in found if not text[e - 1].isspace()), np.int64)
     sure = ends if last else ends[ends <= len(text) - MARGIN]
     return sure[sure <= OVERLAP].tolist(), (sure[sure >= CHUNK] - CHUNK).tolist()
 
@@ -112,7 +118,8 @@ def _chunks(rows: DataFrame) -> DataFrame:
 
 
 def _pieces(chunks: DataFrame, sent, pattern: str) -> DataFrame:
-    """(uid, piece, text): the texts cut where neighbouring chunks agree."""
+    """(uid, piece, several, text): the texts cut where neighbouring chunks agree. A piece of
+    several chunks need not end at a boundary, as its chunks may have been wrong together."""
     schema = with_columns(chunks, "head array<long>, tail array<long>")
 
     def run(batches):
@@ -129,20 +136,72 @@ def _pieces(chunks: DataFrame, sent, pattern: str) -> DataFrame:
     meet = F.array_min(F.array_intersect("head", F.lag("tail").over(order)))
     rows = rows.withColumn("cut", F.when(F.col("no") == 0, F.lit(0)).otherwise(meet))
     sofar = order.rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("agreed", F.min(F.col("cut").isNotNull()).over(sofar))
-    rows = rows.withColumn("cut", F.when(F.col("agreed"), F.col("cut")))
     rows = rows.withColumn("next", F.lead("cut").over(order))
-    rows = rows.withColumn("piece", F.max(F.when(F.col("agreed"), F.col("no"))).over(sofar))
+    rows = rows.withColumn("piece", F.max(F.when(F.col("cut").isNotNull(), F.col("no"))).over(sofar))
     start = F.coalesce("cut", F.lit(0))
     stop = F.when(F.col("last"), F.length("text")).otherwise(
         F.coalesce(CHUNK + F.col("next"), F.lit(CHUNK))
     )
     own = F.col("text").substr((start + 1).cast("int"), (stop - start).cast("int"))
-    parts = rows.select("uid", "piece", "no", own.alias("part"))
+    return _joined(rows.select("uid", "piece", "no", own.alias("part")))
+
+
+def _joined(parts: DataFrame) -> DataFrame:
+    """(uid, piece, several, text) from parts (uid, piece, no, part)."""
     whole = F.array_sort(F.collect_list(F.struct("no", "part")))
     joined = parts.groupBy("uid", "piece").agg(whole.alias("parts"))
     text = F.array_join(F.transform("parts", lambda p: p["part"]), "")
-    return joined.select("uid", "piece", text.alias("text"))
+    return joined.select("uid", "piece", (F.size("parts") > 1).alias("several"), text.alias("text"))
+
+
+def _verified(pieces: DataFrame, sent, pattern: str, folder: str) -> DataFrame:
+    """Pieces that all end at boundaries of their text; the first one begins at one.
+
+    A piece of one chunk does: it begins where a scan that was right agrees with its own. Others are
+    scanned with the beginning of what follows, and joined with the next piece if they do not. Each
+    round has fewer pieces, and the first finds nothing to do where no run is that long.
+    """
+
+    def run(batches):
+        codec = Codec(sent.value, pattern)
+        for batch in batches:
+            wrong = []
+            columns = (batch.column(c).to_pylist() for c in ("text", "head", "last"))
+            for text, head, last in zip(*columns, strict=True):
+                seen = last or len(head) > MARGIN
+                ends = (m.end() for m in codec.pattern.finditer(text + head))
+                wrong.append(not (seen and any(e == len(text) for e in ends)))
+            picked = [batch.column(c).filter(pa.array(wrong)) for c in ("uid", "next")]
+            yield pa.RecordBatch.from_arrays(picked, names=["uid", "piece"])
+
+    step = 0
+    while True:
+        order = Window.partitionBy("uid").orderBy("piece")
+        keys = pieces.select("uid", "piece", "several").withColumn("next", F.lead("piece").over(order))
+        unsure = keys.where("several and next is not null").select("uid", "piece", "next")
+        if unsure.isEmpty():
+            return pieces
+        short = F.length("text") <= OVERLAP
+        heads = pieces.select("uid", F.col("piece").alias("next"), F.left("text", F.lit(OVERLAP)).alias("head"), short.alias("short"))
+        ends = pieces.groupBy("uid").agg(F.max("piece").alias("end"))
+        asked = pieces.join(unsure, ["uid", "piece"]).join(heads, ["uid", "next"]).join(ends, "uid")
+        asked = asked.withColumn("last", F.col("short") & (F.col("next") == F.col("end")))
+        wrong = asked.select("uid", "next", "text", "head", "last").mapInArrow(run, "uid long, piece int")
+        wrong = stored(wrong, f"{folder}/wrong-{step}")
+        if wrong.isEmpty():
+            return pieces
+        begins = keys.join(wrong.withColumn("wrong", F.lit(True)), ["uid", "piece"], "left")
+        into = F.max(F.when(F.col("wrong").isNull(), F.col("piece"))).over(
+            order.rowsBetween(Window.unboundedPreceding, 0)
+        )
+        into = begins.select("uid", "piece", into.alias("into"), "several")
+        parts = pieces.drop("several").join(into, ["uid", "piece"])
+        merged = _joined(parts.select("uid", F.col("into").alias("piece"), F.col("piece").alias("no"), F.col("text").alias("part")))
+        again = into.groupBy("uid", F.col("into").alias("piece")).agg(F.max("several").alias("before"))
+        merged = merged.join(again, ["uid", "piece"])
+        step += 1
+        several = (F.col("several") | F.col("before")).alias("several")
+        pieces = stored(merged.select("uid", "piece", several, "text"), f"{folder}/pieces-{step}")
 
 
 def encoded(
@@ -164,7 +223,9 @@ def encoded(
     results = _tokenized(short, sent, pattern, ["doc_id"], ids)
     # numbered before the filter, as both uses must agree on the number
     long = rows.withColumn("uid", F.monotonically_increasing_id()).where(F.length("text") > CHUNK)
-    cut = _pieces(_chunks(long), sent, pattern).repartition("uid", "piece")
+    folder = work_folder(spark, "bpe")
+    cut = stored(_pieces(_chunks(long), sent, pattern), f"{folder}/pieces-0")
+    cut = _verified(cut, sent, pattern, folder).drop("several").repartition("uid", "piece")
     encoded_pieces = _tokenized(cut, sent, pattern, ["uid", "piece"], True)
     names = long.select("uid", "doc_id")
     tokens = encoded_pieces.groupBy("uid").agg(

@@ -90,3 +90,31 @@ def test_documents(spark, library):
     text = {r.doc_id: r.text for r in docs.collect()}
     got = {r.doc_id: tuple(r)[1:4] for r in byte_bpe.encoded(docs).collect()}
     assert got == {d: expected(library, t) for d, t in text.items()}
+
+
+def test_stitching_goes_on_behind_long_runs(spark, library, monkeypatch):
+    """Chunks of a few words, with runs that span none, one or several of them."""
+    monkeypatch.setattr(byte_bpe, "CHUNK", 64)
+    monkeypatch.setattr(byte_bpe, "OVERLAP", 16)
+    rng = random.Random(8)
+    runs = ["a" * 20, "b" * 70, "c" * 300, " " * 40, " " * 200, "\n" * 90, "12" * 60, "'s" * 50, "é" * 130, "... " * 30]
+    rows = []
+    for i in range(80):
+        parts = rng.choices(["ab ", "it's ", "word ", "  x", "1234 ", "\n"], k=rng.randint(20, 200))
+        for _ in range(rng.randint(0, 4)):
+            parts.insert(rng.randrange(len(parts)), rng.choice(runs))
+        rows.append((i, "".join(parts)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = brute.Counter(tuple(r)[:4] for r in byte_bpe.encoded(df).collect())
+    assert got == brute.Counter((doc, *expected(library, text)) for doc, text in rows)
+
+
+def test_one_long_run_leaves_the_rest_in_pieces(spark, scratch):
+    text = "some words " * 12_000 + "x" * 3000 + " and more words" * 12_000
+    df = spark.createDataFrame([(7, text)], "uid long, text string")
+    ranks = byte_bpe.read_ranks(public_tokenizers.path(byte_bpe.RANKS))
+    sent = spark.sparkContext.broadcast(ranks)
+    pieces = byte_bpe._pieces(byte_bpe._chunks(df), sent, public_tokenizers.PATTERN)
+    whole = byte_bpe._verified(pieces.cache(), sent, public_tokenizers.PATTERN, f"{scratch}/v")
+    assert "".join(r.text for r in whole.orderBy("piece").collect()) == text
+    assert whole.count() > 7
