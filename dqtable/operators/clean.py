@@ -33,8 +33,8 @@ DELIVERED = "delivered_before"
 DIGEST = "digest"
 # Where a row was read.
 PLACE = "place"
-#: Shared values that go to every task, the most frequent ones.
-FREQUENT = 1000
+#: Shared values that go to every task, the most frequent ones, and bytes of the longest of them.
+FREQUENT, LONGEST = 1000, 256
 
 
 def bad(column: str) -> str:
@@ -62,9 +62,9 @@ def row_digest(columns: Sequence[Column]) -> Column:
 def mark_shared(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Add, for each `{target: column}`, whether other rows have the value of `column` as well.
 
-    Values are counted in the map tasks first. The most frequent ones, FREQUENT at most, go to every
-    task; rows that have one are dealt out evenly while the other values are joined, so no task
-    gathers the rows of a value that many share.
+    Values are counted in the map tasks first. The most frequent ones, FREQUENT at most and of LONGEST
+    bytes, go to every task; rows that have one are dealt out evenly while the other values are
+    joined, so no task gathers the rows of a value that many share.
     """
     for target, column in columns.items():
         value = F.col(f"`{column}`")
@@ -74,7 +74,8 @@ def mark_shared(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
         )
         counts = df.where(value.isNotNull()).groupBy(value.alias(few_value))
         counts = counts.agg(F.count(F.lit(1)).alias(few)).where(F.col(few) > 1)
-        top = counts.orderBy(F.col(few).desc()).limit(FREQUENT)
+        short = F.octet_length(F.col(few_value).cast("string")) <= LONGEST
+        top = counts.where(short).orderBy(F.col(few).desc()).limit(FREQUENT)
         top = top.select(F.col(few_value).alias(hot_value), F.lit(True).alias(hot))
         rest = counts.select(few_value, F.lit(0).alias(salt), F.lit(True).alias(few))
         dealt = 1 + F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)), F.lit(1 << 20))
