@@ -15,12 +15,11 @@ Other columns are ignored.
 from __future__ import annotations
 
 import heapq
-from collections import Counter
 from dataclasses import dataclass
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,13 +39,18 @@ ROUNDS, RATE = 3, 0.15
 KNOWN, LONGEST = 200_000, 64
 #: Parts of the words of equal count at the edge of the known ones.
 PARTS = 4096
-#: Distinct words that a counting task holds before it hands them on.
+#: Distinct words that a counting task holds before it hands them on; it adds up slices' counts when
+#: they have twice as many rows.
 HELD = 400_000
 #: Tokens that a task trains on or scores at once.
 CHUNK = 3_000_000
 #: Sets of weights that one task, or the driver at last, adds up.
 FAN_IN = 64
+#: Rows of a softmax that are worked on while they are in the cache.
+ROWS = 2048
 END, REST = 0, 1
+#: Short ids sort by radix.
+_ID = np.int16 if VOCABULARY <= 1 << 15 else np.int32
 _SHAPES = {
     "table": (VOCABULARY, WIDTH),
     "input": (WIDTH, 3 * WIDTH),
@@ -65,9 +69,25 @@ def held_out():
     return F.crc32(text.cast("binary")) % 7 == 2
 
 
-def tokens_of(text: bytes) -> list[bytes]:
-    """Lower-cased words; the end that follows them is not in the list."""
-    return text.lower().split()
+def words_of(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """Lower-cased words of all texts, one after the other, and the number that each text has.
+
+    The ends that follow the texts are not among them.
+    """
+    # these kernels look at bytes, so the bytes need not be UTF-8
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.binary()).view(pa.string())))
+    words = lists.flatten()
+    real = np.asarray(pc.binary_length(words)) > 0  # blanks around a text leave empty words
+    before = np.zeros(len(real) + 1, np.int64)
+    np.cumsum(real, out=before[1:])
+    if not real.all():
+        words = words.filter(pa.array(real))
+    return words.view(pa.binary()), np.diff(before[np.asarray(lists.offsets)])
+
+
+def _places(words: pa.Array, known: pa.Array) -> np.ndarray:
+    """Where each word stands among the known ones; -1: nowhere."""
+    return np.asarray(pc.fill_null(pc.index_in(words, value_set=known), -1))
 
 
 def first_weights(used: int) -> dict[str, np.ndarray]:
@@ -133,22 +153,38 @@ class Lanes:
         return cls(target, start, doc, active)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+def _sigmoid(x: np.ndarray) -> None:
+    """Overwrites `x`."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    np.divide(1, x, out=x)
 
 
-def _softmax(x: np.ndarray, pick: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
-    """(log probability of the picked entry, unnormalised rows); overwrites `x`.
+def _softmax(x: np.ndarray, pick: np.ndarray, bound: float, learn: bool) -> np.ndarray:
+    """Log probability of the picked entry; to learn, `x` becomes the gradient of its negative.
 
     `bound`: no entry is larger. Rows are shifted by it only where exp could overflow.
     """
     if bound > 60:
         x -= bound - 60
-    picked = x[np.arange(len(x)), pick]
-    np.exp(x, out=x)
-    total = x @ np.ones(x.shape[1], x.dtype)
-    x /= total[:, None]
-    return picked - np.log(total), x
+    flat, at = x.reshape(-1), np.arange(len(x)) * x.shape[1] + pick
+    picked = flat[at]
+    total, ones = np.empty(len(x), x.dtype), np.ones(x.shape[1], x.dtype)
+    for low in range(0, len(x), ROWS):
+        part = x[low : low + ROWS]
+        np.exp(part, out=part)
+        np.matmul(part, ones, out=total[low : low + ROWS])
+        if learn:
+            part /= total[low : low + ROWS, None]
+    if learn:
+        flat[at] -= 1
+    return picked - np.log(total)
+
+
+def _apart(gates: np.ndarray) -> np.ndarray:
+    """Rows of three gates side by side, as three arrays (views)."""
+    return gates.reshape(len(gates), 3, WIDTH).transpose(1, 0, 2)
 
 
 def _bound(weights: np.ndarray, bias: np.ndarray) -> float:
@@ -169,23 +205,33 @@ class Network:
         """
         w = self.weights
         steps, lanes = ids.shape
-        gates = (w["table"] @ w["input"] + w["bias"])[ids]
+        # the three gates apart, so that each is contiguous
+        table = _apart(w["table"] @ w["input"] + w["bias"]).copy()
+        fresh = start.any(1)
         before = np.empty((steps, lanes, WIDTH), np.float32)
         after = np.empty_like(before)
         kept = []
         for t in range(steps):
-            before[t] = state * ~start[t][:, None]
-            inner = before[t] @ w["state"]
-            zr = _sigmoid(gates[t, :, : 2 * WIDTH] + inner[:, : 2 * WIDTH])
-            z, r = zr[:, :WIDTH], zr[:, WIDTH:]
-            n = np.tanh(gates[t, :, 2 * WIDTH :] + r * inner[:, 2 * WIDTH :])
-            state = n + z * (before[t] - n)
-            after[t] = state
+            old = before[t]
+            old[...] = state
+            if fresh[t]:
+                old[start[t]] = 0
+            inner = _apart(old @ w["state"])
+            gates = np.take(table, ids[t], axis=1)
+            zr = gates[:2]
+            zr += inner[:2]
+            _sigmoid(zr)
+            z, r, n = gates
+            n += r * inner[2]
+            np.tanh(n, out=n)
+            state = np.subtract(old, n, out=after[t])
+            state *= z
+            state += n
             if learn:
-                kept.append((z, r, n, inner[:, 2 * WIDTH :]))
-        place = np.flatnonzero(mask.ravel())
-        hidden, goal = after.reshape(-1, WIDTH)[place], target.ravel()[place]
-        log_p, d_hidden, grad = self._output(hidden, goal, learn)
+                kept.append((z, r, n, inner[2]))
+        hidden, goal = after.reshape(-1, WIDTH), target.ravel()
+        place = slice(None) if mask.all() else np.flatnonzero(mask.ravel())
+        log_p, d_hidden, grad = self._output(hidden[place], goal[place], learn)
         out = np.zeros(steps * lanes, np.float64)
         out[place] = log_p
         if learn:
@@ -198,19 +244,18 @@ class Network:
         """Log probability of the class, plus that of the word within it."""
         w = self.weights
         group, word = np.divmod(goal, CLASS_SIZE)
-        bound = _bound(w["class"], w["class_bias"])
-        log_p, d = _softmax(hidden @ w["class"] + w["class_bias"], group, bound)
-        log_p = log_p.astype(np.float64)
+        d = hidden @ w["class"]
+        d += w["class_bias"]
+        log_p = _softmax(d, group, _bound(w["class"], w["class_bias"]), learn).astype(np.float64)
         grad: dict[str, np.ndarray] = {}
         d_hidden = None
         if learn:
-            d[np.arange(len(goal)), group] -= 1
             grad = {"class": hidden.T @ d, "class_bias": d.sum(0)}
             grad |= {n: np.zeros(_SHAPES[n], np.float32) for n in ("word", "word_bias")}
             d_hidden = d @ w["class"].T
-        order = np.argsort(group, kind="stable")
+        order = np.argsort(group.astype(_ID), kind="stable")
         cut = np.searchsorted(group[order], np.arange(CLASSES + 1))
-        ordered, pick = hidden[order], word[order]
+        ordered, pick = np.take(hidden, order, axis=0), word[order]
         bound = _bound(w["word"], w["word_bias"])
         inner, back = np.empty(len(order)), np.empty_like(ordered)
         for c in range(CLASSES):
@@ -218,14 +263,17 @@ class Network:
             part = ordered[own]
             if not len(part):
                 continue
-            inner[own], d = _softmax(part @ w["word"][c] + w["word_bias"][c], pick[own], bound)
+            d = part @ w["word"][c]
+            d += w["word_bias"][c]
+            inner[own] = _softmax(d, pick[own], bound, learn)
             if learn:
-                d[np.arange(len(part)), pick[own]] -= 1
                 grad["word"][c], grad["word_bias"][c] = part.T @ d, d.sum(0)
                 back[own] = d @ w["word"][c].T
-        log_p[order] += inner
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        log_p += inner[place]
         if learn:
-            d_hidden[order] += back
+            d_hidden += np.take(back, place, axis=0)
         return log_p, d_hidden, grad
 
     def _back(self, ids, start, before, kept, d_out) -> dict[str, np.ndarray]:
@@ -234,24 +282,35 @@ class Network:
         d_inner = np.empty((steps, lanes, 3 * WIDTH), np.float32)
         d_gates = np.empty_like(d_inner)
         carry = np.zeros((lanes, WIDTH), np.float32)
-        back = w["state"].T.copy()
+        back, fresh = w["state"].T.copy(), start.any(1)
         for t in range(steps - 1, -1, -1):
             z, r, n, inner = kept[t]
-            d = d_out[t] + carry
-            d_n = d * (1 - z) * (1 - n * n)
-            d_z = d * (before[t] - n) * z * (1 - z)
-            d_r = d_n * inner * r * (1 - r)
+            d = d_out[t]
+            d += carry
+            rest = 1 - z
+            d_n = d * rest
+            d_n *= 1 - n * n
+            d_z = before[t] - n
+            d_z *= d
+            d_z *= z
+            d_z *= rest
+            d_r = d_n * inner
+            d_r *= r
+            d_r *= 1 - r
             d_gates[t, :, :WIDTH] = d_inner[t, :, :WIDTH] = d_z
             d_gates[t, :, WIDTH : 2 * WIDTH] = d_inner[t, :, WIDTH : 2 * WIDTH] = d_r
             d_gates[t, :, 2 * WIDTH :] = d_n
             d_inner[t, :, 2 * WIDTH :] = d_n * r
-            carry = (d * z + d_inner[t] @ back) * ~start[t][:, None]
+            carry = d * z
+            carry += d_inner[t] @ back
+            if fresh[t]:
+                carry[start[t]] = 0
         flat = d_gates.reshape(-1, 3 * WIDTH)
-        order = np.argsort(ids.ravel(), kind="stable")
+        order = np.argsort(ids.ravel().astype(_ID), kind="stable")
         sorted_ids = ids.ravel()[order]
         cut = np.flatnonzero(np.r_[True, sorted_ids[1:] != sorted_ids[:-1]])
         by_word = np.zeros((VOCABULARY, 3 * WIDTH), np.float32)
-        by_word[sorted_ids[cut]] = np.add.reduceat(flat[order], cut, axis=0)
+        by_word[sorted_ids[cut]] = np.add.reduceat(np.take(flat, order, axis=0), cut, axis=0)
         return {
             "table": by_word @ w["input"].T,
             "input": w["table"].T @ by_word,
@@ -297,15 +356,14 @@ class Adagrad:
             self.weights[name] -= RATE * g / np.sqrt(self.square[name])
 
 
-def _numbered(lists: list[list[bytes]], ids: dict[bytes, int]) -> list[np.ndarray]:
-    """Per document, its ids and the end."""
-    out = []
-    for words in lists:
-        own = np.empty(len(words) + 1, np.int32)
-        own[:-1] = np.fromiter(map(ids.get, words, repeat(REST)), np.int32, len(words))
-        own[-1] = END
-        out.append(own)
-    return out
+def _numbered(at: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+    """Per text, the network's ids and the end; `at`: places of words among the known ones."""
+    stops = size.cumsum() + np.arange(len(size))
+    ids = np.full(len(at) + len(size), END, np.int32)
+    place = np.ones(len(ids), bool)
+    place[stops] = False
+    ids[place] = np.where((at >= 0) & (at < VOCABULARY - 2), at + 2, REST)
+    return np.split(ids, stops[:-1] + 1)
 
 
 def _segments(docs: list[np.ndarray]) -> list[np.ndarray]:
@@ -319,21 +377,25 @@ def count_words(docs: DataFrame) -> DataFrame:
     """
 
     def run(batches):
-        def batch_of(counter):
-            words = pa.array(list(counter), pa.binary())
-            counts = pa.array(list(counter.values()), pa.int64())
-            return pa.RecordBatch.from_arrays([words, counts], names=["word", "c"])
+        def merged(held):
+            sums = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("c", "sum")])
+            return sums.select(["word", "c_sum"]).rename_columns(["word", "c"])
 
-        counter: Counter = Counter()
+        held, rows = [], 0
         for batch in batches:
             for _, texts in pieces(batch, "text"):
-                for text in texts:
-                    counter.update(tokens_of(text))
-                counter[b""] += len(texts)
-                if len(counter) > HELD:
-                    yield batch_of(counter)
-                    counter.clear()
-        yield batch_of(counter)
+                words, counts = words_of(texts)[0].value_counts().flatten()
+                held.append(pa.table({"word": words, "c": counts}))
+                held.append(pa.table({"word": pa.array([b""], pa.binary()), "c": pa.array([len(texts)], pa.int64())}))
+                rows += len(words) + 1
+                if rows > 2 * HELD:
+                    held = [merged(held)]
+                    rows = len(held[0])
+                    if rows > HELD:
+                        yield from held[0].to_batches()
+                        held, rows = [], 0
+        if held:
+            yield from merged(held).to_batches()
 
     counted = docs.where(~held_out()).select(fill().alias("text"))
     counted = counted.mapInArrow(run, "word binary, c long")
@@ -369,31 +431,32 @@ def _frequent(counts: DataFrame) -> dict[bytes, int]:
 
 
 def trained(
-    docs: DataFrame, ids: dict[bytes, int], folder: str, rounds: int = ROUNDS
+    docs: DataFrame, frequent: list[bytes], folder: str, rounds: int = ROUNDS
 ) -> dict[str, np.ndarray]:
     """Weights after all rounds; each round averages what the tasks learned from its documents.
 
     The tasks' weights are written and added up in levels, FAN_IN at a time.
     """
     spark = docs.sparkSession
-    weights = first_weights(len(ids) + 1)
-    words = spark.sparkContext.broadcast(ids)
+    weights = first_weights(len(frequent) + 1)
+    known = spark.sparkContext.broadcast(frequent)
     share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds))
     for number in range(rounds):
         now = spark.sparkContext.broadcast(packed(weights))
 
         def run(batches, now=now):
-            own = unpacked(now.value)
+            own, words = unpacked(now.value), pa.array(known.value, pa.binary())
             network, step, held, size, total = Network(own), Adagrad(own), [], 0, 0
             for batch in batches:
                 for _, texts in pieces(batch, "text"):
-                    held += _numbered([tokens_of(t) for t in texts], words.value)
-                    size = sum(map(len, held))
+                    found, sizes = words_of(texts)
+                    held += _numbered(_places(found, words), sizes)
+                    size += len(found) + len(sizes)
                     if size > CHUNK:
                         run_lanes(network, _segments(held), step)
-                        held, total = [], total + size
+                        held, size, total = [], 0, total + size
             run_lanes(network, _segments(held), step)
-            total += sum(map(len, held))
+            total += size
             flat = (packed(own).astype("<f8") * total).tobytes()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([total] if total else [], pa.int64()), pa.array([flat] if total else [], pa.binary())],
@@ -429,34 +492,30 @@ def _added(key: tuple[pa.Scalar], rows: pa.Table) -> pa.Table:
     return pa.Table.from_arrays(columns, names=["n", "weights", "part"])
 
 
-def _looked_up(lists: list[list[bytes]], index: dict[bytes, int], logs: np.ndarray):
+def _looked_up(texts: list[bytes], known: pa.Array, logs: np.ndarray):
     """What a slice of texts gives without the counts of rare words.
 
-    `index` numbers the known words, most frequent first; `logs` has their log10 counts plus one.
-    Per text: the network's ids with the end, (words + 1, log_c, words that it takes for REST, their
-    log_c), and the words that are not known with their numbers.
+    `known`: the known words, most frequent first; `logs` has their log10 counts plus one. Per text:
+    the network's ids with the end, (words + 1, log_c, words that it takes for REST, their log_c), and
+    the words that are not known: how many each text has, which, and how often.
     """
-    size = np.array([len(words) for words in lists], np.int64)
-    doc = np.repeat(np.arange(len(lists)), size)
-    words = list(chain.from_iterable(lists))
-    at = np.fromiter(map(index.get, words, repeat(-1)), np.int32, len(words))
+    words, size = words_of(texts)
+    doc = np.repeat(np.arange(len(size)), size)
+    at = _places(words, known)
     inside = (at >= 0) & (at < VOCABULARY - 2)
     log = np.where(at >= 0, logs[at], 0.0)
 
     def per_text(values):
-        return np.bincount(doc, values, len(lists)).astype(np.float64)
+        return np.bincount(doc, values, len(size)).astype(np.float64)
 
     sums = (size + 1, per_text(log), per_text(~inside).astype(np.int64), per_text(np.where(inside, 0.0, log)))
-    stops = size.cumsum() + np.arange(len(lists))
-    ids = np.full(len(words) + len(lists), END, np.int32)
-    place = np.ones(len(ids), bool)
-    place[stops] = False
-    ids[place] = np.where(inside, at + 2, REST)
-    tails: list[Counter] = [Counter() for _ in lists]
     rare = np.flatnonzero(at < 0)
-    for k, d in zip(rare.tolist(), doc[rare].tolist(), strict=True):
-        tails[d][words[k]] += 1
-    return np.split(ids, stops[:-1] + 1), sums, tails
+    coded = words.take(pa.array(rare)).dictionary_encode()
+    distinct = max(len(coded.dictionary), 1)
+    keys, times = np.unique(doc[rare] * distinct + np.asarray(coded.indices), return_counts=True)
+    owner, code = np.divmod(keys, distinct)
+    tails = np.bincount(owner, minlength=len(size)), coded.dictionary.take(pa.array(code)), times.astype(np.int32)
+    return _numbered(at, size), sums, tails
 
 
 def _scored(docs: DataFrame, known: dict[bytes, int], weights) -> DataFrame:
@@ -474,7 +533,7 @@ def _scored(docs: DataFrame, known: dict[bytes, int], weights) -> DataFrame:
     def run(batches):
         words, counts, flat = sent.value
         network = Network(unpacked(flat))
-        index = {w: i for i, w in enumerate(words)}
+        known = pa.array(words, pa.binary())
         logs = np.log10(np.array([*counts, 0], np.float64) + 1)
 
         def finish(parts, found, docs):
@@ -484,11 +543,9 @@ def _scored(docs: DataFrame, known: dict[bytes, int], weights) -> DataFrame:
                 columns = [part.column(c) for c in ("uid", "doc_id", "held_out")]
                 columns += [pa.array(s) for s in sums]
                 columns.append(pa.array(net[at : at + part.num_rows]))
-                offsets = np.r_[0, np.cumsum([len(t) for t in tails])].astype(np.int32)
-                own, times = (list(chain.from_iterable(x)) for x in zip(*((t.keys(), t.values()) for t in tails)))
-                struct = pa.StructArray.from_arrays(
-                    [pa.array(own, pa.binary()), pa.array(times, pa.int32())], names=["word", "times"]
-                )
+                lengths, own, times = tails
+                offsets = np.r_[0, np.cumsum(lengths)].astype(np.int32)
+                struct = pa.StructArray.from_arrays([own, pa.array(times)], names=["word", "times"])
                 columns.append(pa.ListArray.from_arrays(offsets, struct))
                 names = ["uid", "doc_id", "held_out", *(f.split()[0] for f in fields.split(", ")), "tail"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
@@ -497,7 +554,7 @@ def _scored(docs: DataFrame, known: dict[bytes, int], weights) -> DataFrame:
         parts, found, held, size = [], [], [], 0
         for batch in batches:
             for part, texts in pieces(batch, "text"):
-                ids, sums, tails = _looked_up([tokens_of(t) for t in texts], index, logs)
+                ids, sums, tails = _looked_up(texts, known, logs)
                 found.append((sums, tails))
                 held += ids
                 size += int(sums[0].sum())
@@ -525,8 +582,7 @@ def language_scores(docs: DataFrame) -> DataFrame:
     tokens, distinct = total.n or 0, total.v
     known = _frequent(counts)
     frequent = list(known)[: VOCABULARY - 2]
-    ids = {word: i + 2 for i, word in enumerate(frequent)}
-    weights = trained(docs, ids, folder)
+    weights = trained(docs, frequent, folder)
     scored = stored(_scored(docs, known, weights), f"{folder}/scored")
     ends = tokens and (counts.where("word = x''").first().c or 0)
     # what the network leaves to the common token: words outside its vocabulary, and unseen ones

@@ -1,9 +1,12 @@
 """The recurrent model: gradients, probabilities, state across windows, held-out scores."""
 
 import random
+import time
+from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from dqtable.llm import lm_scoring
@@ -126,3 +129,81 @@ def test_weights_merge_in_levels(spark, monkeypatch):
     for r in language_scores(df).collect():
         assert r.score == pytest.approx(want[r.doc_id].score, rel=1e-5)
         assert r.base_score == pytest.approx(brute.unigram(rows)[2][r.doc_id][3], rel=1e-9)
+
+
+def _one_by_one(texts, index, logs):
+    """What lm_scoring._looked_up gives, in plain Python."""
+    lists = [t.lower().split() for t in texts]
+    at = [[index.get(w, -1) for w in words] for words in lists]
+    ids = [[*(k + 2 if 0 <= k < lm_scoring.VOCABULARY - 2 else 1 for k in own), 0] for own in at]
+    log = [sum(logs[k] for k in own if k >= 0) for own in at]
+    tails = [Counter(w for w, k in zip(words, own, strict=True) if k < 0) for words, own in zip(lists, at, strict=True)]
+    return ids, log, tails
+
+
+def _tails(tails):
+    lengths, words, times = tails
+    pairs, at = list(zip(words.to_pylist(), times.tolist(), strict=True)), 0
+    for n in lengths.tolist():
+        yield dict(pairs[at : at + n])
+        assert len(dict(pairs[at : at + n])) == n
+        at += n
+
+
+def test_words_are_split_at_six_blanks_and_need_not_be_utf8():
+    texts = [b"", b" \t", b"  A b ", b"x".join(bytes([i]) for i in range(256)), b"\xff\xc3 \x85Q\x1c \x0b\x0c z"]
+    words, size = lm_scoring.words_of(texts)
+    assert words.to_pylist() == [w for t in texts for w in t.lower().split()]
+    assert size.tolist() == [len(t.split()) for t in texts]
+    words, size = lm_scoring.words_of(texts[:2])
+    assert (len(words), size.tolist()) == (0, [0, 0])
+
+
+def test_words_are_looked_up_together():
+    """As one by one, and in clearly less CPU time."""
+    rng = np.random.default_rng(5)
+    draws = (rng.pareto(0.6, (300, 1500)) * 10).astype(np.int64) % 1_000_000
+    texts = [b"", b" ", *(" ".join(f"Word{x}" for x in row).encode() for row in draws.tolist())]
+    count = Counter(w for t in texts for w in t.lower().split())
+    known = [w for w, _ in count.most_common(3000)]
+    index, logs = {w: i for i, w in enumerate(known)}, np.log10(np.array([*(count[w] for w in known), 0]) + 1.0)
+    table = pa.array(known, pa.binary())
+    took = {}
+    for _ in range(3):
+        for name, find in (
+            ("plain", lambda: _one_by_one(texts, index, logs)),
+            ("arrow", lambda: lm_scoring._looked_up(texts, table, logs)),
+        ):
+            begun = time.process_time()
+            got = find()
+            took[name] = min(time.process_time() - begun, took.get(name, (9e9, 0))[0]), got
+    ids, log, tails = took["plain"][1]
+    got_ids, sums, got_tails = took["arrow"][1]
+    assert [x.tolist() for x in got_ids] == ids
+    assert sums[0].tolist() == [len(x) for x in ids] and sums[1] == pytest.approx(log)
+    assert list(_tails(got_tails)) == tails and sum(map(len, tails)) > 1000
+    assert took["arrow"][0] < 0.6 * took["plain"][0]
+
+
+def test_counts_are_handed_on_when_many(spark, monkeypatch):
+    rows = [(i, f"w{i % 7} a b w{i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(lm_scoring, "HELD", 3)
+    held = brute.unigram(rows)[2]
+    train = [t for i, t in rows if not held[i][0]]
+    expected = Counter(w.encode() for t in train for w in t.split()) + Counter({b"": len(train)})
+    assert {bytes(r.word): r.c for r in lm_scoring.count_words(df).collect()} == expected
+
+
+def test_a_softmax_for_scores_does_not_normalise_its_rows():
+    """Only learning needs the gradient."""
+    rng = np.random.default_rng(3)
+    x, pick = rng.normal(size=(5000, 8)), rng.integers(0, 8, 5000)
+    share = np.exp(x) / np.exp(x).sum(1)[:, None]
+    alone, learned = x.copy(), x.copy()
+    for rows, learn in ((alone, False), (learned, True)):
+        found = lm_scoring._softmax(rows, pick, 9.0, learn)
+        assert found == pytest.approx(np.log(share[np.arange(5000), pick]))
+    assert np.array_equal(alone, np.exp(x))
+    share[np.arange(5000), pick] -= 1
+    assert np.allclose(learned, share)
